@@ -1,0 +1,122 @@
+"""Composed pipelines PIPE-01..04 — each one logical plan, in the reference's step order.
+
+All years (and states) go through one plan: the year is a column taken from
+each file, so there is no loop per year or per state, and nothing is
+collected to the driver.  The only joins are broadcast lookups of bounded
+dimensions, so the fact rows are never shuffled before the write.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .. import schemas
+from ..functions import columns as C
+from ..operators import cleanse, classify, shape, vintage
+from ..sources import fixtures
+
+# Establishment columns whose NULL becomes -1 (23).
+ESTAB_NULL_TO_UNKNOWN = ["bairro_sp", "bairro_fortaleza", "bairro_rj", "cnae_2_classe", "cnae_1_classe",
+                         "distrito_sp", "qtd_vinc_clt", "qtd_vinc_ativos", "qtd_vinc_estat", "ind_ativ_ano",
+                         "ind_cei_vinculado", "ind_pat", "ind_rais_negativa", "ind_simples", "id_municipio",
+                         "nat_jur", "regiao_adm_df", "cnae_2_subclasse", "tam_estab", "tipo_estab", "sigla_uf",
+                         "subsetor_ibge", "cep"]
+# Establishment columns cast to integer at the end (24).
+ESTAB_INT_COLUMNS = ["bairro_sp", "bairro_fortaleza", "bairro_rj", "cnae_2_classe", "cnae_1_classe", "distrito_sp",
+                     "qtd_vinc_clt", "qtd_vinc_ativos", "qtd_vinc_estat", "ind_ativ_ano", "ind_cei_vinculado",
+                     "ind_pat", "ind_rais_negativa", "ind_simples", "id_municipio", "nat_jur", "regiao_adm_df",
+                     "cnae_2_subclasse", "tam_estab", "tipo_estab", "sigla_uf", "subsetor_ibge", "cep",
+                     "padrao_sebrae"]
+
+
+# --------------------------------------------------------------------------
+# PIPE-01 establishments
+# --------------------------------------------------------------------------
+def estab_headers(df: DataFrame) -> DataFrame:
+    """SRC-03 + PRJ-02 for one header layout: repeated 'Tipo Estab' copies, then the dictionary."""
+    df = shape.disambiguate(df, {"Tipo Estab": ["tipo_estab", "ctg_tipo_estab"]})
+    return shape.rename_by_dict(df, fixtures.ESTAB_HEADERS)
+
+
+def standardize_estab(layouts: Sequence[DataFrame] | DataFrame, owner: str, activity_dim: DataFrame,
+                      size_dim: DataFrame, as_of: str | None = None, strict_division: bool = False) -> DataFrame:
+    """Raw establishment extracts (one frame per header layout, each with the
+    file's year ``ano``) → the 30 treated columns, in output order."""
+    if isinstance(layouts, DataFrame):
+        layouts = [layouts]
+    df = shape.stack_vintages([estab_headers(f) for f in layouts])                    # PRJ-02, SET-01
+    df = shape.with_audit(df, owner, ano=F.col("ano"), as_of=as_of, date_as="string")  # PRJ-04
+    df = df.withColumn("sigla_uf", C.uf_code_int("id_municipio"))                      # SCL-12
+    df = vintage.harmonize_estab(df, "ano")                                            # PRJ-06
+    df = cleanse.trim_strings(df)                                                      # SCL-01
+    df = cleanse.decode_sentinels(df, spellings=C.SENTINELS)                           # SCL-02
+    df = cleanse.null_to_unknown(df, ESTAB_NULL_TO_UNKNOWN)                            # SCL-04
+    df = df.withColumns({
+        "cnae_2_subclasse": C.pad_cnae("cnae_2_subclasse"),                            # SCL-14
+    })
+    df = df.withColumns({
+        "padrao_sebrae": classify.enterprise_flag_col(strict=strict_division),         # SCL-15, FLT-03
+        "tam_estab": C.int_text("tam_estab"),                                          # SCL-16
+    })
+    df = classify.add_sectors(df, activity_dim)                                        # LKP-01, LKP-02
+    df = classify.add_porte(df, size_dim)                                              # SCL-17, LKP-03
+    df = cleanse.cast_ints(df, ESTAB_INT_COLUMNS)                                      # SCL-09
+    df = shape.select_ordered(df, schemas.ESTAB_OUTPUT_ORDER)                          # PRJ-07, PRJ-08
+    return cleanse.fill_unknown(cleanse.trim_strings(df))
+
+
+def estab_table(df: DataFrame) -> DataFrame:
+    """Treated establishments conformed to the warehouse schema (SNK-06)."""
+    return cleanse.conform(df, schemas.SCHEMA_ESTAB_TABLE)
+
+
+# --------------------------------------------------------------------------
+# PIPE-02 employment links
+# --------------------------------------------------------------------------
+def links_stage1(raw: DataFrame, owner: str, as_of: str | None = None) -> DataFrame:
+    """Raw text (any mix of vintages, ``ano`` per row) → staging rows."""
+    df = shape.normalize_headers(raw)                                                  # PRJ-03
+    df = df.withColumn("uf", C.uf_sigla(C.uf_code_text("municipio")))                  # SCL-11, SCL-13
+    df = vintage.harmonize_links(df, "ano")                                            # PRJ-05
+    return shape.with_audit(df, owner, ano=F.col("ano"), as_of=as_of, date_as="date")  # PRJ-04
+
+
+def links_stage2(staging: DataFrame, uf: str | None = None) -> DataFrame:
+    """Staging rows → the 65-column typed table (optionally one state)."""
+    df = staging.drop("_id") if "_id" in staging.columns else staging
+    df = df.withColumn("uf", C.null_to_ni("uf"))                                       # SCL-05 (before the filter)
+    if uf is not None:
+        df = df.filter(F.col("uf") == F.lit(uf))                                       # FLT-01
+    df = cleanse.decode_sentinels(df, spellings=C.SENTINELS_LINKS, skip=["uf"])        # SCL-02
+    df = shape.disambiguate(df, {"tipo_estab": ["tipo_estab", "tipo_estab_dsc"]})      # SRC-03
+    df = df.withColumn("tempo_emprego", C.tenure_months("tempo_emprego"))              # SCL-08
+    return cleanse.conform(df, schemas.SCHEMA_LINKS)                                   # SCL-10
+
+
+def standardize_links(raw: DataFrame, owner: str, as_of: str | None = None, uf: str | None = None) -> DataFrame:
+    return links_stage2(links_stage1(raw, owner, as_of), uf)
+
+
+# --------------------------------------------------------------------------
+# PIPE-03 municipal GDP
+# --------------------------------------------------------------------------
+def treat_gdp(df: DataFrame, owner: str, as_of: str | None = None) -> DataFrame:
+    df = shape.drop_strict(df, fixtures.GDP_DROP)                                      # PRJ-01
+    df = shape.rename_by_dict(df, fixtures.GDP_HEADERS)                                # PRJ-02
+    df = shape.with_audit(df, owner, as_of=as_of, date_as="string")                    # PRJ-04
+    return cleanse.trim_strings(df)                                                    # SCL-01
+
+
+def standardize_gdp(vintages: Sequence[DataFrame], owner: str, as_of: str | None = None) -> DataFrame:
+    stacked = shape.stack_vintages([treat_gdp(v, owner, as_of) for v in vintages])   # SET-01
+    return shape.sort_gdp(cleanse.conform(stacked, schemas.SCHEMA_GDP))               # SNK-06, SRT-01
+
+
+# --------------------------------------------------------------------------
+# PIPE-04 dimensions
+# --------------------------------------------------------------------------
+def build_dimension(df: DataFrame, owner: str, as_of: str | None = None) -> DataFrame:
+    return cleanse.trim_strings(shape.with_audit(df, owner, as_of=as_of, date_as="string"))
