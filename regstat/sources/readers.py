@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..operators.shape import qcol, stack_vintages
@@ -51,10 +52,12 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], encoding: str = "cp
     java_enc = "ISO-8859-1" if enc in ("cp1252", "windows-1252") else encoding
     df = (spark.read.option("sep", sep).option("header", "true").option("encoding", java_enc)
           .option("inferSchema", "false").option("mode", "PERMISSIVE").csv(path))
+    fix = java_enc != encoding
     cols = []
-    for c in df.columns:
-        name = cp1252_fix_name(c) if java_enc != encoding else c
-        cols.append((cp1252_fix(c) if java_enc != encoding else qcol(c)).alias(name))
+    for f in df.schema.fields:
+        text = isinstance(f.dataType, T.StringType)
+        name = cp1252_fix_name(f.name) if fix else f.name
+        cols.append((cp1252_fix(f.name) if fix and text else qcol(f.name)).alias(name))
     if year_from_path:
         cols.append(F.regexp_extract(F.col("_metadata.file_path"), year_from_path, 1).cast("int").alias("ano"))
     return df.select(cols)
