@@ -124,6 +124,17 @@ ENTERPRISE_NATURES = ["2046", "2054", "2062", "2135", "2232", "2240", "2259", "2
 NON_ENTERPRISE_DIVISIONS = ["84", "94", "99"]
 
 
+def bounded(df: DataFrame, rows: int | None) -> DataFrame:
+    """Record an upper bound of ``df``'s row count (known by construction)."""
+    if rows is not None:
+        df._regstat_rows = rows  # type: ignore[attr-defined]
+    return df
+
+
+def row_bound(df: DataFrame) -> int | None:
+    return getattr(df, "_regstat_rows", None)
+
+
 def sector_of(code: str) -> str:
     """IBGE sector of one listed subclass code (rule + exceptions)."""
     if code in SECTOR_EXCEPTIONS:
@@ -173,7 +184,8 @@ def activity_dimension(spark: SparkSession, codes: Iterable[str] | DataFrame) ->
             ibge.alias("setor_ibge"),
             sebrae_from_sector(ibge).alias("setor_sebrae"),
         )
-    return spark.createDataFrame(activity_rows(codes), ACTIVITY_SCHEMA)
+    rows = activity_rows(codes)
+    return bounded(spark.createDataFrame(rows, ACTIVITY_SCHEMA), len(rows))
 
 
 def sebrae_from_sector(sector_col):
@@ -204,13 +216,14 @@ SIZE_SCHEMA = T.StructType([
 
 
 def size_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(size_rows(), SIZE_SCHEMA)
+    rows = size_rows()
+    return bounded(spark.createDataFrame(rows, SIZE_SCHEMA), len(rows))
 
 
 def uf_dimension(spark: SparkSession) -> DataFrame:
     """(codigo_uf int, uf string) for the 27 states plus 99 → NI."""
     rows = [(int(c), s) for c, s in UF_CODES] + [(99, UF_UNKNOWN)]
-    return spark.createDataFrame(rows, "codigo_uf int, uf string")
+    return bounded(spark.createDataFrame(rows, "codigo_uf int, uf string"), len(rows))
 
 
 def values_sql(rows, columns) -> str:

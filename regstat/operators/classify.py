@@ -22,6 +22,15 @@ BROADCAST_MAX_ROWS = 200_000
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows.
+
+    A dimension built here from a fixed code list carries its row count
+    (``dims.row_bound``), so no job is needed; any other frame is counted
+    with a bounded ``limit(max_rows + 1)`` job, never a full count.
+    """
+    known = dims.row_bound(dim)
+    if known is not None:
+        return known <= max_rows
     return dim.limit(max_rows + 1).count() <= max_rows
 
 
@@ -52,17 +61,20 @@ def enterprise_flag(df: DataFrame, strict: bool = False) -> DataFrame:
 # --- LKP-01 / LKP-02 ------------------------------------------------------
 def add_sectors(df: DataFrame, activity_dim: DataFrame, code_col: str = "cnae_2_subclasse") -> DataFrame:
     """``setor_ibge`` and ``setor_sebrae`` in one join ('-1' when the code is not listed)."""
-    dim = activity_dim.select(F.col("cnae_2_subclasse").alias(code_col), "setor_ibge", "setor_sebrae")
+    dim = dims.bounded(activity_dim.select(F.col("cnae_2_subclasse").alias(code_col), "setor_ibge", "setor_sebrae"),
+                       dims.row_bound(activity_dim))
     return lookup(df, dim, code_col, {"setor_ibge": dims.UNKNOWN, "setor_sebrae": dims.UNKNOWN})
 
 
 def add_setor_ibge(df: DataFrame, activity_dim: DataFrame) -> DataFrame:
-    return lookup(df, activity_dim.select("cnae_2_subclasse", "setor_ibge"), "cnae_2_subclasse",
+    dim = dims.bounded(activity_dim.select("cnae_2_subclasse", "setor_ibge"), dims.row_bound(activity_dim))
+    return lookup(df, dim, "cnae_2_subclasse",
                   {"setor_ibge": dims.UNKNOWN})
 
 
 def add_setor_sebrae(df: DataFrame, activity_dim: DataFrame) -> DataFrame:
-    return lookup(df, activity_dim.select("cnae_2_subclasse", "setor_sebrae"), "cnae_2_subclasse",
+    dim = dims.bounded(activity_dim.select("cnae_2_subclasse", "setor_sebrae"), dims.row_bound(activity_dim))
+    return lookup(df, dim, "cnae_2_subclasse",
                   {"setor_sebrae": dims.UNKNOWN})
 
 
@@ -88,7 +100,7 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     Pre-aggregated per code before the anti join, so a hot code is one row
     by the time it meets the dimension.
     """
-    side = dim.select(key).distinct()
+    side = dims.bounded(dim.select(key).distinct(), dims.row_bound(dim))
     side = F.broadcast(side) if fits_broadcast(side) else side
     per_code = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n_linhas"))
     return per_code.join(side, on=key, how="left_anti")

@@ -65,6 +65,18 @@ def select_ordered(df: DataFrame, names: Sequence[str] | T.StructType) -> DataFr
 
 
 # --- SRC-03 ---------------------------------------------------------------
+def disambiguation_map(columns: Sequence[str], groups: Mapping[str, Sequence[str]]) -> dict[str, str]:
+    """{copy name: target name} for the copies of each duplicated header, in file order."""
+    rename: dict[str, str] = {}
+    for base, targets in groups.items():
+        pat = re.compile(r"^" + re.escape(base) + r"(\.?\d+)?$")
+        copies = [c for c in columns if pat.match(c)]
+        if len(copies) > len(targets):
+            raise ValueError(f"{len(copies)} copies of {base!r}, {len(targets)} names given")
+        rename.update(zip(copies, targets))
+    return rename
+
+
 def disambiguate(df: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFrame:
     """Rename the copies of a duplicated header, in file order.
 
@@ -73,14 +85,7 @@ def disambiguate(df: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFram
     upon: copies are matched by ``base`` + digits (or ``.digits``) and ranked by
     position.
     """
-    rename: dict[str, str] = {}
-    for base, targets in groups.items():
-        pat = re.compile(r"^" + re.escape(base) + r"(\.?\d+)?$")
-        copies = [c for c in df.columns if pat.match(c)]
-        if len(copies) > len(targets):
-            raise ValueError(f"{len(copies)} copies of {base!r}, {len(targets)} names given")
-        rename.update(zip(copies, targets))
-    return rename_by_dict(df, rename)
+    return rename_by_dict(df, disambiguation_map(df.columns, groups))
 
 
 # --- SET-01 ---------------------------------------------------------------

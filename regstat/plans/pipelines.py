@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import columns as C
@@ -44,28 +45,49 @@ def estab_headers(df: DataFrame) -> DataFrame:
 def standardize_estab(layouts: Sequence[DataFrame] | DataFrame, owner: str, activity_dim: DataFrame,
                       size_dim: DataFrame, as_of: str | None = None, strict_division: bool = False) -> DataFrame:
     """Raw establishment extracts (one frame per header layout, each with the
-    file's year ``ano``) → the 30 treated columns, in output order."""
+    file's year ``ano``) → the 30 treated columns, in output order.
+
+    The per-column steps are composed into a few projections (the analyser
+    cost grows with every DataFrame call, the executed plan does not), in the
+    reference's order: state number from the raw municipality, vintage rule,
+    trim, sentinels, NULL → -1, code padding, flag, size text, lookups, casts.
+    """
     if isinstance(layouts, DataFrame):
         layouts = [layouts]
     df = shape.stack_vintages([estab_headers(f) for f in layouts])                    # PRJ-02, SET-01
-    df = shape.with_audit(df, owner, ano=F.col("ano"), as_of=as_of, date_as="string")  # PRJ-04
-    df = df.withColumn("sigla_uf", C.uf_code_int("id_municipio"))                      # SCL-12
-    df = vintage.harmonize_estab(df, "ano")                                            # PRJ-06
-    df = cleanse.trim_strings(df)                                                      # SCL-01
-    df = cleanse.decode_sentinels(df, spellings=C.SENTINELS)                           # SCL-02
-    df = cleanse.null_to_unknown(df, ESTAB_NULL_TO_UNKNOWN)                            # SCL-04
-    df = df.withColumns({
-        "cnae_2_subclasse": C.pad_cnae("cnae_2_subclasse"),                            # SCL-14
-    })
+    present = set(df.columns)
+    before_switch = F.col("ano") < vintage.ESTAB_SWITCH_YEAR
+
+    def source(c: str):
+        col = shape.qcol(c) if c in present else F.lit(None).cast("string")
+        if c in ("cep", "subsetor_ibge"):                                             # PRJ-06
+            col = F.when(before_switch, F.lit("-1")).otherwise(col)
+        return col
+
+    def decoded(c: str):                                                              # SCL-01, SCL-02, SCL-04
+        return C.null_to_unknown_col(C.sentinel_to_unknown(C.strip_ws(source(c)), C.SENTINELS))
+
+    text = [c for c in ESTAB_NULL_TO_UNKNOWN if c != "sigla_uf"]
+    df = df.select(
+        F.col("ano"),
+        C.load_date(as_of, "string").alias("curr_date"), F.lit(owner).alias("ds_owner"),  # PRJ-04
+        F.coalesce(C.uf_code_int(source("id_municipio")), F.lit(-1)).alias("sigla_uf"),    # SCL-12 (raw text)
+        *[decoded(c).alias(c) for c in text],
+    )
+    df = df.withColumn("cnae_2_subclasse", C.pad_cnae("cnae_2_subclasse"))            # SCL-14
     df = df.withColumns({
         "padrao_sebrae": classify.enterprise_flag_col(strict=strict_division),         # SCL-15, FLT-03
         "tam_estab": C.int_text("tam_estab"),                                          # SCL-16
     })
     df = classify.add_sectors(df, activity_dim)                                        # LKP-01, LKP-02
     df = classify.add_porte(df, size_dim)                                              # SCL-17, LKP-03
-    df = cleanse.cast_ints(df, ESTAB_INT_COLUMNS)                                      # SCL-09
-    df = shape.select_ordered(df, schemas.ESTAB_OUTPUT_ORDER)                          # PRJ-07, PRJ-08
-    return cleanse.fill_unknown(cleanse.trim_strings(df))
+    ints = set(ESTAB_INT_COLUMNS)                                                      # SCL-09, PRJ-07, fill
+    return df.select([
+        F.coalesce(F.col(c).try_cast("int"), F.lit(-1)).alias(c) if c in ints
+        else F.col(c) if c == "ano"
+        else F.coalesce(C.strip_ws(c), F.lit("-1")).alias(c)
+        for c in schemas.ESTAB_OUTPUT_ORDER
+    ])
 
 
 def estab_table(df: DataFrame) -> DataFrame:
@@ -77,23 +99,38 @@ def estab_table(df: DataFrame) -> DataFrame:
 # PIPE-02 employment links
 # --------------------------------------------------------------------------
 def links_stage1(raw: DataFrame, owner: str, as_of: str | None = None) -> DataFrame:
-    """Raw text (any mix of vintages, ``ano`` per row) → staging rows."""
-    df = shape.normalize_headers(raw)                                                  # PRJ-03
-    df = df.withColumn("uf", C.uf_sigla(C.uf_code_text("municipio")))                  # SCL-11, SCL-13
-    df = vintage.harmonize_links(df, "ano")                                            # PRJ-05
-    return shape.with_audit(df, owner, ano=F.col("ano"), as_of=as_of, date_as="date")  # PRJ-04
+    """Raw text (any mix of vintages, ``ano`` per row) → staging rows, one projection:
+    normalised names (PRJ-03), state letters (SCL-11, SCL-13), the vintage rule
+    table (PRJ-05) and the audit columns (PRJ-04)."""
+    named = shape.normalize_headers(raw)
+    uf = C.uf_sigla(C.uf_code_text("municipio"))
+    df = vintage.harmonize_links(named.withColumn("uf", uf), "ano")
+    return shape.with_audit(df, owner, ano=F.col("ano"), as_of=as_of, date_as="date")
 
 
 def links_stage2(staging: DataFrame, uf: str | None = None) -> DataFrame:
-    """Staging rows → the 65-column typed table (optionally one state)."""
+    """Staging rows → the 65-column typed table (optionally one state), one projection."""
     df = staging.drop("_id") if "_id" in staging.columns else staging
-    df = df.withColumn("uf", C.null_to_ni("uf"))                                       # SCL-05 (before the filter)
     if uf is not None:
-        df = df.filter(F.col("uf") == F.lit(uf))                                       # FLT-01
-    df = cleanse.decode_sentinels(df, spellings=C.SENTINELS_LINKS, skip=["uf"])        # SCL-02
-    df = shape.disambiguate(df, {"tipo_estab": ["tipo_estab", "tipo_estab_dsc"]})      # SRC-03
-    df = df.withColumn("tempo_emprego", C.tenure_months("tempo_emprego"))              # SCL-08
-    return cleanse.conform(df, schemas.SCHEMA_LINKS)                                   # SCL-10
+        df = df.filter(C.null_to_ni("uf") == F.lit(uf))                               # FLT-01 after SCL-05
+    copies = shape.disambiguation_map(df.columns, {"tipo_estab": ["tipo_estab", "tipo_estab_dsc"]})
+    source = {copies.get(c, c): c for c in df.columns}                                # SRC-03 (target → source)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = []
+    for f in schemas.SCHEMA_LINKS.fields:                                              # SCL-10
+        src = source.get(f.name)
+        if src is None:
+            col = F.lit(None)
+        elif f.name == "uf":
+            col = C.null_to_ni(shape.qcol(src))                                        # SCL-05
+        elif isinstance(types[src], T.StringType):
+            col = C.sentinel_to_unknown(shape.qcol(src), C.SENTINELS_LINKS)            # SCL-02
+        else:
+            col = shape.qcol(src)
+        if f.name == "tempo_emprego":
+            col = C.tenure_months(col)                                                 # SCL-08
+        out.append(col.try_cast(schemas.sql_type(f.dataType)).alias(f.name))
+    return df.select(out)
 
 
 def standardize_links(raw: DataFrame, owner: str, as_of: str | None = None, uf: str | None = None) -> DataFrame:

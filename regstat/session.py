@@ -22,6 +22,7 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("REGSTAT_DRIVER_MEMORY", "16g"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
