@@ -51,12 +51,19 @@ def _produce(rule: Rule, df_cols: set[str]) -> Column:
     raise ValueError(rule.kind)
 
 
-def compile_rules(rules: list[Rule], year: Column, df_cols: set[str]) -> Column:
+def compile_rules(rules: list[Rule], year: Column, df_cols: set[str], _conds: dict | None = None) -> Column:
+    """One CASE over the year; a rule covering every year is the ELSE branch."""
+    conds = {} if _conds is None else _conds
     expr = None
     for r in rules:
-        cond = year.between(r.first, r.last)
         v = _produce(r, df_cols)
-        expr = F.when(cond, v) if expr is None else expr.when(cond, v)
+        if r.first <= MIN_YEAR and r.last >= MAX_YEAR:
+            return v if expr is None else expr.otherwise(v)
+        key = (r.first, r.last)
+        if key not in conds:
+            conds[key] = (year <= r.last if r.first <= MIN_YEAR
+                          else year >= r.first if r.last >= MAX_YEAR else year.between(r.first, r.last))
+        expr = F.when(conds[key], v) if expr is None else expr.when(conds[key], v)
     return expr
 
 
@@ -112,7 +119,8 @@ def harmonize_links(df: DataFrame, ano="ano") -> DataFrame:
     cols = set(df.columns)
     rules = links_rules()
     out = [qcol(c) for c in df.columns if c not in rules]
-    out += [compile_rules(r, year, cols).alias(t) for t, r in rules.items()]
+    conds: dict = {}
+    out += [compile_rules(r, year, cols, conds).alias(t) for t, r in rules.items()]
     return df.select(out)
 
 

@@ -211,21 +211,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def raw_estab_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All raw establishment rows under target names (all strings, plus ``ano``)."""
+def raw_estab_canonical(spark: SparkSession, sf_dir: str, orders_filter: str | None = None) -> DataFrame:
+    """All raw establishment rows under target names (all strings, plus ``ano``).
+
+    ``orders_filter`` is a predicate on the raw ``orders`` columns, so that it
+    reaches the Parquet scan (a filter on the derived year would not)."""
     base = [f"{e} AS {n}" for n, e in estab_base(SPARK)]
     exprs = [f"{e} AS `{n}`" for n, e in estab_exprs(SPARK)]
-    return read_table(spark, sf_dir, "orders").selectExpr(*base).selectExpr(*exprs)
+    orders = read_table(spark, sf_dir, "orders")
+    if orders_filter:
+        orders = orders.filter(orders_filter)
+    return orders.selectExpr(*base).selectExpr(*exprs)
 
 
 def raw_estab_layouts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The raw extract as two header layouts (old before 2014, new from 2014),
     columns named as the CSV reader names them, plus the file's year ``ano``."""
-    canon = raw_estab_canonical(spark, sf_dir)
+    split = f"timestamp '{ESTAB_NEW_FROM - 15}-01-01 00:00:00'"      # first order date of the new layout
     frames = []
-    for layout, cond in [(ESTAB_LAYOUT_OLD, f"ano < {ESTAB_NEW_FROM}"), (ESTAB_LAYOUT_NEW, f"ano >= {ESTAB_NEW_FROM}")]:
+    for layout, cond in [(ESTAB_LAYOUT_OLD, f"o_orderdate < {split}"), (ESTAB_LAYOUT_NEW, f"o_orderdate >= {split}")]:
         cols = [f"`{canon_name}` AS `{raw}`" for raw, canon_name in _layout_names(layout)]
-        frames.append(canon.filter(cond).selectExpr(*cols, "ano"))
+        frames.append(raw_estab_canonical(spark, sf_dir, cond).selectExpr(*cols, "ano"))
     return frames
 
 
