@@ -83,20 +83,25 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None, exact_disti
 
 
 # --- SNK-07 ---------------------------------------------------------------
-def infer_narrow_types(df: DataFrame) -> DataFrame:
+def infer_narrow_types(df: DataFrame, use_min: bool = False) -> DataFrame:
     """Narrowest table type per column, from one aggregation pass.
 
     Integer columns (by schema): smallint when max < 32767, int when max <
-    2147483647, else bigint (strict bounds; only the max is looked at).
+    2147483647, else bigint (strict bounds; only the max is looked at, as the
+    reference does).  ``use_min=True`` also requires min > -32768 / > -2147483648,
+    so negative values cannot overflow the chosen type.
     Every other column: varchar(longest text), at least 1.
     """
     fields = df.schema.fields
     aggs = []
     for i, f in enumerate(fields):
         if isinstance(f.dataType, _INTEGRAL):
-            aggs.append(F.max(qcol(f.name)).cast("bigint").alias(f"v{i}"))
+            # with use_min, a value far below zero pushes the type up like a large one
+            hi = F.max(qcol(f.name)).cast("decimal(20,0)")
+            v = F.greatest(hi, -(F.min(qcol(f.name)).cast("decimal(20,0)")) - 1) if use_min else hi
+            aggs.append(v.alias(f"v{i}"))
         else:
-            aggs.append(F.max(F.length(qcol(f.name).cast("string"))).cast("bigint").alias(f"v{i}"))
+            aggs.append(F.max(F.length(qcol(f.name).cast("string"))).cast("decimal(20,0)").alias(f"v{i}"))
     row = df.agg(*aggs)
     args = ", ".join(
         f"{i}, '{f.name}', {'true' if isinstance(f.dataType, _INTEGRAL) else 'false'}, `v{i}`"

@@ -474,6 +474,7 @@ def build() -> dict[str, str]:
     o["pipe01_estab"] = e
     o["pipe01_estab_table"] = estab_table()
     o["pipe02_links"] = comparable(lk, LINK_FIELDS)
+    o["pipe02_links_load"] = comparable(lk, LINK_FIELDS)
     o["pipe03_gdp"] = gdp
     o["pipe04_dimensions"] = dimensions_long()
     return o

@@ -157,3 +157,26 @@ def standardize_gdp(vintages: Sequence[DataFrame], owner: str, as_of: str | None
 # --------------------------------------------------------------------------
 def build_dimension(df: DataFrame, owner: str, as_of: str | None = None) -> DataFrame:
     return cleanse.trim_strings(shape.with_audit(df, owner, as_of=as_of, date_as="string"))
+
+
+# --------------------------------------------------------------------------
+# The pipelines with their I/O (staging, validation, partitioned warehouse)
+# --------------------------------------------------------------------------
+def load_links(raw: DataFrame, owner: str, staging_path: str, table_path: str, as_of: str | None = None,
+               years: tuple[int, int] | None = None, salt_buckets: int = 8) -> DataFrame:
+    """PIPE-02 end to end: raw → staging (SNK-01) → re-read (SRC-06) → typed
+    (stage 2) → checked (SNK-05) → warehouse partitioned by (ano, uf) (SNK-02).
+
+    Every year and state is one job; a hot state is spread over
+    ``salt_buckets`` writer tasks; re-running replaces the same (ano, uf)
+    partitions instead of appending twice.  Returns the rejected rows.
+    """
+    from ..sources import readers, sinks
+
+    sinks.append_staging(links_stage1(raw, owner, as_of), staging_path, partition_by=("ano",),
+                         salt_buckets=salt_buckets)
+    typed = links_stage2(readers.read_staging(raw.sparkSession, staging_path))
+    ok, rejected = sinks.validate_and_partition(typed, years=years)
+    sinks.append_table(ok, table_path, schemas.SCHEMA_LINKS, partition_by=("ano", "uf"),
+                       salt_buckets=salt_buckets)
+    return rejected

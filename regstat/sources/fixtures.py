@@ -227,7 +227,7 @@ def raw_estab_canonical(spark: SparkSession, sf_dir: str, orders_filter: str | N
 def raw_estab_layouts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The raw extract as two header layouts (old before 2014, new from 2014),
     columns named as the CSV reader names them, plus the file's year ``ano``."""
-    split = f"timestamp '{ESTAB_NEW_FROM - 15}-01-01 00:00:00'"      # first order date of the new layout
+    split = f"TIMESTAMP_NTZ '{ESTAB_NEW_FROM - 15}-01-01 00:00:00'"  # first order date of the new layout
     frames = []
     for layout, cond in [(ESTAB_LAYOUT_OLD, f"o_orderdate < {split}"), (ESTAB_LAYOUT_NEW, f"o_orderdate >= {split}")]:
         cols = [f"`{canon_name}` AS `{raw}`" for raw, canon_name in _layout_names(layout)]

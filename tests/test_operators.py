@@ -155,3 +155,9 @@ def test_profiles_one_pass(spark):
     prof = {r["coluna"]: (r["max_valor"], r["max_len"], r["n_distintos"])
             for r in profile.column_profile(df).collect()}
     assert prof["c"] == ("bb", 2, 2)
+
+
+def test_infer_types_min_option(spark):
+    df = spark.createDataFrame([(5,), (-40000,)], "x int")
+    assert one(profile.infer_narrow_types(df))["tipo"] == "smallint"          # the reference looks at max only
+    assert one(profile.infer_narrow_types(df, use_min=True))["tipo"] == "int"
