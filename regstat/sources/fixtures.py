@@ -485,7 +485,13 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_gdp_vintages(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The two workbooks as read: workbook headers, 24 extra columns, the
     second one without the third-activity column."""
-    canon = gdp_canonical(spark, sf_dir)
+    from ..session import checkpoint_root
+
+    # The 5-table join runs once: its small (year, place) result is checkpointed
+    # to the shared folder, and both workbooks are cut from it (a union would
+    # otherwise recompute the join per branch).
+    checkpoint_root(spark)
+    canon = gdp_canonical(spark, sf_dir).checkpoint(eager=True)
     inverse = {v: k for k, v in GDP_HEADERS.items()}
     frames = []
     for cond, drop in [(f"ano < {GDP_VINTAGE_SPLIT}", None),
