@@ -113,9 +113,6 @@ def q_src04_load_vintages(spark, sf):
     return df.select(*schemas.SCHEMA_GDP.fieldNames())
 
 
-DIM_SHEETS = ["0_capa", "1_regiao", "2_nacao", "3_marca", "4_prioridade", "5_segmento", "6_evento", "7_notas"]
-
-
 def dimension_sources(spark, sf) -> dict[str, Callable[[], DataFrame]]:
     t = lambda n: fx.read_table(spark, sf, n)
     pair = lambda df, code, desc: df.select(F.col(code).cast("string").alias("codigo"),

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import dims
-from ..operators.cleanse import conform
 from ..operators.shape import qcol
 
 
@@ -117,4 +116,4 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
 
 
 __all__ = ["append_staging", "append_table", "replace_table", "range_bucket", "validate_and_partition",
-           "write_dimension", "write_partitioned", "salted", "check_schema", "conform", "read_back"]
+           "write_dimension", "write_partitioned", "salted", "check_schema", "read_back"]
