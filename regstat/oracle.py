@@ -473,9 +473,11 @@ def build() -> dict[str, str]:
                           f"ORDER BY ano, sigla_uf, id_municipio LIMIT 5")
     o["pipe01_estab"] = e
     o["pipe01_estab_table"] = estab_table()
+    o["pipe01_estab_load"] = f"SELECT * FROM ({estab_table()}) t WHERE ano BETWEEN 2010 AND 2027"
     o["pipe02_links"] = comparable(lk, LINK_FIELDS)
     o["pipe02_links_load"] = comparable(lk, LINK_FIELDS)
     o["pipe03_gdp"] = gdp
+    o["pipe03_gdp_load"] = f"SELECT *, count(*) OVER () AS n_lido FROM ({gdp}) g"
     o["pipe04_dimensions"] = dimensions_long()
     return o
 

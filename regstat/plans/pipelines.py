@@ -180,3 +180,31 @@ def load_links(raw: DataFrame, owner: str, staging_path: str, table_path: str, a
     sinks.append_table(ok, table_path, schemas.SCHEMA_LINKS, partition_by=("ano", "uf"),
                        salt_buckets=salt_buckets)
     return rejected
+
+
+def load_estab(layouts: Sequence[DataFrame] | DataFrame, owner: str, activity_dim: DataFrame, size_dim: DataFrame,
+               table_path: str, as_of: str | None = None, first_year: int = 2010, range_years: int = 3,
+               last_year: int = 2027, salt_buckets: int = 8) -> DataFrame:
+    """PIPE-01 end to end: treated rows conformed to the table (SNK-06), checked
+    against the table's 3-year ranges (SNK-04) and written by year, replacing
+    only the years present (SNK-02).  Returns the rows outside every range."""
+    from ..sources import sinks
+
+    table = estab_table(standardize_estab(layouts, owner, activity_dim, size_dim, as_of))
+    inside, outside = sinks.range_bucket(table, "ano", first_year, range_years, last_year)
+    sinks.append_table(inside.select(*schemas.SCHEMA_ESTAB_TABLE.fieldNames()), table_path,
+                       schemas.SCHEMA_ESTAB_TABLE, partition_by=("ano",), salt_buckets=salt_buckets)
+    return outside
+
+
+def load_gdp(vintages: Sequence[DataFrame], owner: str, table_path: str, as_of: str | None = None,
+             partitions: int | None = None) -> int:
+    """PIPE-03 end to end: the whole table is replaced (SNK-03), written in
+    (ano, sigla_uf, id_municipio) order by range partitions sorted inside
+    (SRT-01 without a single-task global sort); returns the rows read back."""
+    from ..sources import sinks
+
+    gdp = cleanse.conform(shape.stack_vintages([treat_gdp(v, owner, as_of) for v in vintages]), schemas.SCHEMA_GDP)
+    ordered = shape.sorted_for_write(gdp, ["ano", "sigla_uf", "id_municipio"],
+                                     partitions or gdp.sparkSession.sparkContext.defaultParallelism)
+    return sinks.replace_table(ordered, table_path)

@@ -476,6 +476,17 @@ def q_pipe01_estab(spark, sf):
     return estab_treated(spark, sf)
 
 
+def q_pipe01_estab_load(spark, sf):
+    """PIPE-01 with its I/O: range check, year-partitioned idempotent write (run twice), read back."""
+    path = scratch_path(spark, "pipe01")
+    for _ in range(2):
+        pipelines.load_estab(fx.raw_estab_layouts(spark, sf), OWNER, activity_dim(spark), dims.size_dimension(spark),
+                             path, AS_OF)
+    back = spark.read.parquet(path)
+    return back.select([F.col(f.name).cast(schemas.sql_type(f.dataType)).alias(f.name)
+                        for f in schemas.SCHEMA_ESTAB_TABLE.fields])
+
+
 def q_pipe01_estab_table(spark, sf):
     return pipelines.estab_table(estab_treated(spark, sf))
 
@@ -498,6 +509,13 @@ def q_pipe03_gdp(spark, sf):
     return gdp_table(spark, sf)
 
 
+def q_pipe03_gdp_load(spark, sf):
+    """PIPE-03 with its I/O: full replace of a range-partitioned, sorted table; count read back."""
+    path = scratch_path(spark, "pipe03")
+    n = pipelines.load_gdp(fx.raw_gdp_vintages(spark, sf), OWNER, path, AS_OF)
+    return spark.read.parquet(path).withColumn("n_lido", F.lit(n).cast("bigint"))
+
+
 def q_pipe04_dimensions(spark, sf):
     return dimensions_long(spark, sf)
 
