@@ -498,8 +498,10 @@ def q_pipe02_links(spark, sf):
 def q_pipe02_links_load(spark, sf):
     """PIPE-02 with its I/O: staging, re-read, typed, validated, written by (ano, uf), read back."""
     root = scratch_path(spark, "pipe02")
-    pipelines.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging", f"{root}/table", AS_OF)
-    pipelines.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging2", f"{root}/table", AS_OF)  # re-run
+    # 2 writer tasks per (ano, uf) at test scale; the library default (8) is sized for large years
+    pipelines.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging", f"{root}/table", AS_OF, salt_buckets=2)
+    pipelines.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging2", f"{root}/table", AS_OF,
+                         salt_buckets=2)  # re-run: replaces the same partitions
     back = spark.read.parquet(f"{root}/table")
     return comparable(back.select([F.col(f.name).cast(schemas.sql_type(f.dataType)).alias(f.name)
                                    for f in schemas.SCHEMA_LINKS.fields]))
