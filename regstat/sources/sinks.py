@@ -27,8 +27,18 @@ def salted(df: DataFrame, keys: Sequence[str], salt_buckets: int, partitions: in
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("ano",), mode: str = "append",
                       salt_buckets: int | None = None) -> None:
+    """Partitioned Parquet write.
+
+    With ``salt_buckets`` every partition value is spread over that many
+    writer tasks (fixed spread).  Without it the rows are rebalanced on the
+    partition columns (``REBALANCE`` hint): AQE splits a skewed partition by
+    size into several tasks and merges tiny ones, so there are neither huge
+    single-task partitions nor floods of small files.
+    """
     if salt_buckets:
         df = salted(df, partition_by, salt_buckets)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
