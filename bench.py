@@ -15,20 +15,20 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "pipe01_estab",            # establishments: decode, harmonise, classify (2 broadcast lookups)
-    "pipe02_links",            # employment links: 7 vintages → 65-column typed table
-    "pipe03_gdp",              # municipal GDP: 5-table join, 2 workbooks stacked
-    "prj05_harmonize_links",   # vintage rule table alone
-    "qry01_headcount",         # grouping sets over links
+    "estab_standardize",        # establishments: decode, harmonise, classify (2 broadcast lookups)
+    "links_standardize",        # employment links: 7 vintages → 65-column typed table
+    "gdp_standardize",          # municipal GDP: 5-table join, 2 workbooks stacked
+    "prj05_harmonize_links",    # vintage rule table alone
+    "qry01_headcount",          # grouping sets over links
     "qry03_mean_pay",
-    "qry04_estab_breakdown",   # grouping sets over establishments
+    "qry04_estab_breakdown",    # grouping sets over establishments
     "qry05_gdp_growth",
     "qry06_gdp_rank",
-    "agg04_null_profile",      # one-pass profiles
+    "agg04_null_profile",       # one-pass profiles
     "agg06_column_profile",
     "snk07_infer_types",
     "lkp04_star_join",
-    "src02_read_latin1",       # text write + read back of the links extract
+    "src02_read_latin1",        # text write + read back of the links extract
 ]
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from . import dims, schemas
 from .functions import columns as C
 from .operators.vintage import INT_COLUMNS, MONTHS, PAY_COLUMNS
-from .plans import pipelines as P
+from .plans import flows as P
 from .plans.analyses import BREAKDOWN
 from .plans.queries import AS_OF, ESTAB_RAW_COLUMNS, OWNER, STAGING_VIEW
 from .sources import fixtures as fx
@@ -471,14 +471,14 @@ def build() -> dict[str, str]:
                                  FROM customer GROUP BY c_nationkey) p ON g.codigo_uf = p.k"""
     o["srt02_preview"] = (f"SELECT ano, sigla_uf, id_municipio, pib_corrente FROM ({gdp}) g "
                           f"ORDER BY ano, sigla_uf, id_municipio LIMIT 5")
-    o["pipe01_estab"] = e
-    o["pipe01_estab_table"] = estab_table()
-    o["pipe01_estab_load"] = f"SELECT * FROM ({estab_table()}) t WHERE ano BETWEEN 2010 AND 2027"
-    o["pipe02_links"] = comparable(lk, LINK_FIELDS)
-    o["pipe02_links_load"] = comparable(lk, LINK_FIELDS)
-    o["pipe03_gdp"] = gdp
-    o["pipe03_gdp_load"] = f"SELECT *, count(*) OVER () AS n_lido FROM ({gdp}) g"
-    o["pipe04_dimensions"] = dimensions_long()
+    o["estab_standardize"] = e
+    o["estab_table"] = estab_table()
+    o["estab_load"] = f"SELECT * FROM ({estab_table()}) t WHERE ano BETWEEN 2010 AND 2027"
+    o["links_standardize"] = comparable(lk, LINK_FIELDS)
+    o["links_load"] = comparable(lk, LINK_FIELDS)
+    o["gdp_standardize"] = gdp
+    o["gdp_load"] = f"SELECT *, count(*) OVER () AS n_lido FROM ({gdp}) g"
+    o["dimensions_build"] = dimensions_long()
     return o
 
 

@@ -24,7 +24,7 @@ from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import readers, sinks
 from ..streaming.incremental import load_new_files
-from . import analyses, pipelines
+from . import analyses, flows
 
 OWNER = "regstat"
 AS_OF = "2024-01-31"
@@ -38,16 +38,16 @@ def activity_dim(spark: SparkSession) -> DataFrame:
 
 
 def estab_treated(spark: SparkSession, sf: str) -> DataFrame:
-    return pipelines.standardize_estab(fx.raw_estab_layouts(spark, sf), OWNER, activity_dim(spark),
+    return flows.standardize_estab(fx.raw_estab_layouts(spark, sf), OWNER, activity_dim(spark),
                                        dims.size_dimension(spark), as_of=AS_OF)
 
 
 def links_typed(spark: SparkSession, sf: str) -> DataFrame:
-    return pipelines.standardize_links(fx.raw_links(spark, sf), OWNER, as_of=AS_OF)
+    return flows.standardize_links(fx.raw_links(spark, sf), OWNER, as_of=AS_OF)
 
 
 def gdp_table(spark: SparkSession, sf: str) -> DataFrame:
-    return pipelines.standardize_gdp(fx.raw_gdp_vintages(spark, sf), OWNER, as_of=AS_OF)
+    return flows.standardize_gdp(fx.raw_gdp_vintages(spark, sf), OWNER, as_of=AS_OF)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def estab_stacked(spark: SparkSession, sf: str) -> DataFrame:
     """Both header layouts renamed (SRC-03, PRJ-02) and stacked (SET-01)."""
-    return shape.stack_vintages([pipelines.estab_headers(f) for f in fx.raw_estab_layouts(spark, sf)])
+    return shape.stack_vintages([flows.estab_headers(f) for f in fx.raw_estab_layouts(spark, sf)])
 
 
 ESTAB_RAW_COLUMNS = [n for n, _ in fx.estab_exprs(fx.SPARK)]
@@ -83,7 +83,7 @@ def q_src01_read_cp1252(spark, sf):
         (layout.write.option("sep", ";").option("header", "true").option("encoding", "ISO-8859-1")
          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
          .partitionBy("ano").mode("overwrite").csv(path))
-        frames.append(pipelines.estab_headers(readers.read_raw(spark, path, encoding="cp1252")))
+        frames.append(flows.estab_headers(readers.read_raw(spark, path, encoding="cp1252")))
     df = shape.stack_vintages(frames)
     return df.select([F.col(c) for c in ESTAB_RAW_COLUMNS])
 
@@ -109,7 +109,7 @@ def q_src04_load_vintages(spark, sf):
     """SRC-04 + SET-01: two GDP workbooks and one empty one, treated and stacked by name."""
     frames = fx.raw_gdp_vintages(spark, sf)
     readers_ = [lambda f=f: f for f in frames] + [lambda: frames[0].limit(0)]
-    df = readers.load_vintages(spark, readers_, lambda d: pipelines.treat_gdp(d, OWNER, AS_OF))
+    df = readers.load_vintages(spark, readers_, lambda d: flows.treat_gdp(d, OWNER, AS_OF))
     return df.select(*schemas.SCHEMA_GDP.fieldNames())
 
 
@@ -137,7 +137,7 @@ def dimensions_long(spark, sf) -> DataFrame:
     """SRC-05 + PIPE-04: every sheet but the first and last, built as a dimension."""
     loaded = readers.load_dimensions(dimension_sources(spark, sf), prefix="tb_rais_estab")
     return shape.stack_vintages([
-        pipelines.build_dimension(df, OWNER, AS_OF).withColumn("tabela", F.lit(name))
+        flows.build_dimension(df, OWNER, AS_OF).withColumn("tabela", F.lit(name))
         for name, df in loaded.items()
     ]).select("tabela", "codigo", "descricao", "curr_date", "ds_owner")
 
@@ -148,7 +148,7 @@ def q_src05_load_dimensions(spark, sf):
 
 def _staged_links(spark, sf) -> str:
     path = scratch_path(spark, "staging")
-    stage1 = pipelines.links_stage1(fx.raw_links(spark, sf), OWNER, AS_OF)
+    stage1 = flows.links_stage1(fx.raw_links(spark, sf), OWNER, AS_OF)
     sinks.append_staging(stage1, path, partition_by=("ano",), salt_buckets=4)
     return path
 
@@ -221,7 +221,7 @@ def q_snk01_append_staging(spark, sf):
 def q_snk02_append_table(spark, sf):
     """SNK-02: typed establishments written twice by partition overwrite: no duplicates."""
     path = scratch_path(spark, "snk02")
-    table = pipelines.estab_table(estab_treated(spark, sf))
+    table = flows.estab_table(estab_treated(spark, sf))
     sinks.append_table(table, path, schemas.SCHEMA_ESTAB_TABLE, partition_by=("ano",))
     sinks.append_table(table, path, schemas.SCHEMA_ESTAB_TABLE, partition_by=("ano",))
     back = spark.read.parquet(path)
@@ -296,7 +296,7 @@ def q_prj04_audit(spark, sf):
 
 def q_prj05_harmonize_links(spark, sf):
     """PRJ-05 (+SCL-03, SCL-06, SCL-11, SCL-13): staging rows of all seven vintages."""
-    return comparable(pipelines.links_stage1(fx.raw_links(spark, sf), OWNER, AS_OF))
+    return comparable(flows.links_stage1(fx.raw_links(spark, sf), OWNER, AS_OF))
 
 
 def q_prj06_harmonize_estab(spark, sf):
@@ -305,7 +305,7 @@ def q_prj06_harmonize_estab(spark, sf):
 
 
 def q_flt01_by_uf(spark, sf):
-    return comparable(pipelines.standardize_links(fx.raw_links(spark, sf), OWNER, AS_OF, uf="SP")
+    return comparable(flows.standardize_links(fx.raw_links(spark, sf), OWNER, AS_OF, uf="SP")
                       .select("ano", "uf", "municipio", "vl_remun_dezembro_nom", "vinculo_ativo_31_12"))
 
 
@@ -435,7 +435,7 @@ def q_agg06_column_profile(spark, sf):
 
 
 # --------------------------------------------------------------------------
-# 2.8 analyses, 2.10 sorts, 2.14 pipelines
+# 2.8 analyses, 2.10 sorts, 2.14 composed flows
 # --------------------------------------------------------------------------
 def q_qry01_headcount(spark, sf):
     return analyses.headcount(links_typed(spark, sf))
@@ -472,53 +472,53 @@ def q_srt02_preview(spark, sf):
         "ano", "sigla_uf", "id_municipio", "pib_corrente")
 
 
-def q_pipe01_estab(spark, sf):
+def q_estab_standardize(spark, sf):
     return estab_treated(spark, sf)
 
 
-def q_pipe01_estab_load(spark, sf):
+def q_estab_load(spark, sf):
     """PIPE-01 with its I/O: range check, year-partitioned idempotent write (run twice), read back."""
-    path = scratch_path(spark, "pipe01")
+    path = scratch_path(spark, "estab_load")
     for _ in range(2):
-        pipelines.load_estab(fx.raw_estab_layouts(spark, sf), OWNER, activity_dim(spark), dims.size_dimension(spark),
+        flows.load_estab(fx.raw_estab_layouts(spark, sf), OWNER, activity_dim(spark), dims.size_dimension(spark),
                              path, AS_OF)
     back = spark.read.parquet(path)
     return back.select([F.col(f.name).cast(schemas.sql_type(f.dataType)).alias(f.name)
                         for f in schemas.SCHEMA_ESTAB_TABLE.fields])
 
 
-def q_pipe01_estab_table(spark, sf):
-    return pipelines.estab_table(estab_treated(spark, sf))
+def q_estab_table(spark, sf):
+    return flows.estab_table(estab_treated(spark, sf))
 
 
-def q_pipe02_links(spark, sf):
+def q_links_standardize(spark, sf):
     return comparable(links_typed(spark, sf))
 
 
-def q_pipe02_links_load(spark, sf):
+def q_links_load(spark, sf):
     """PIPE-02 with its I/O: staging, re-read, typed, validated, written by (ano, uf), read back."""
-    root = scratch_path(spark, "pipe02")
+    root = scratch_path(spark, "links_load")
     # 2 writer tasks per (ano, uf) at test scale; the library default (8) is sized for large years
-    pipelines.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging", f"{root}/table", AS_OF, salt_buckets=2)
-    pipelines.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging2", f"{root}/table", AS_OF,
+    flows.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging", f"{root}/table", AS_OF, salt_buckets=2)
+    flows.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging2", f"{root}/table", AS_OF,
                          salt_buckets=2)  # re-run: replaces the same partitions
     back = spark.read.parquet(f"{root}/table")
     return comparable(back.select([F.col(f.name).cast(schemas.sql_type(f.dataType)).alias(f.name)
                                    for f in schemas.SCHEMA_LINKS.fields]))
 
 
-def q_pipe03_gdp(spark, sf):
+def q_gdp_standardize(spark, sf):
     return gdp_table(spark, sf)
 
 
-def q_pipe03_gdp_load(spark, sf):
+def q_gdp_load(spark, sf):
     """PIPE-03 with its I/O: full replace of a range-partitioned, sorted table; count read back."""
-    path = scratch_path(spark, "pipe03")
-    n = pipelines.load_gdp(fx.raw_gdp_vintages(spark, sf), OWNER, path, AS_OF)
+    path = scratch_path(spark, "gdp_load")
+    n = flows.load_gdp(fx.raw_gdp_vintages(spark, sf), OWNER, path, AS_OF)
     return spark.read.parquet(path).withColumn("n_lido", F.lit(n).cast("bigint"))
 
 
-def q_pipe04_dimensions(spark, sf):
+def q_dimensions_build(spark, sf):
     return dimensions_long(spark, sf)
 
 

@@ -36,7 +36,7 @@ def _norm(rows, cols):
     return sorted((tuple(v(r[i]) for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", ["pipe01_estab", "pipe02_links", "pipe03_gdp", "qry04_estab_breakdown",
+@pytest.mark.parametrize("name", ["estab_standardize", "links_standardize", "gdp_standardize", "qry04_estab_breakdown",
                                   "qry01_headcount", "snk07_infer_types", "src01_read_cp1252", "lkp04_orphans"])
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()

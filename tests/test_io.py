@@ -131,15 +131,15 @@ def test_staging_state_filter_prunes_partitions(spark, tmpdir_fresh):
 
 
 def test_load_links_end_to_end(spark, tmpdir_fresh):
-    from regstat.plans import pipelines
+    from regstat.plans import flows
     from regstat.sources import fixtures as fx
     raw = fx.raw_links(spark, "/root/testdata/sf0.001")
-    rejected = pipelines.load_links(raw, "t", f"{tmpdir_fresh}/stg", f"{tmpdir_fresh}/tb", "2024-01-31",
+    rejected = flows.load_links(raw, "t", f"{tmpdir_fresh}/stg", f"{tmpdir_fresh}/tb", "2024-01-31",
                                     years=(2010, 2019), salt_buckets=2)
     n_raw = raw.count()
     n_table = spark.read.parquet(f"{tmpdir_fresh}/tb").count()
     assert n_table + rejected.count() == n_raw
     assert rejected.filter("ano < 2020").count() == 0                    # only the year bound rejects here
-    pipelines.load_links(raw, "t", f"{tmpdir_fresh}/stg2", f"{tmpdir_fresh}/tb", "2024-01-31",
+    flows.load_links(raw, "t", f"{tmpdir_fresh}/stg2", f"{tmpdir_fresh}/tb", "2024-01-31",
                          years=(2010, 2019), salt_buckets=2)
     assert spark.read.parquet(f"{tmpdir_fresh}/tb").count() == n_table   # re-run: replaced, not doubled

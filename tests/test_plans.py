@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from regstat import dims
 from regstat.operators import classify
-from regstat.plans import analyses, pipelines
+from regstat.plans import analyses, flows
 from regstat.sources import fixtures as fx
 from regstat.sources import sinks
 
@@ -25,7 +25,7 @@ def test_establishments_pipeline_is_map_only(spark, tmpdir_fresh):
         p = f"{tmpdir_fresh}/layout{i}"
         layout.write.parquet(p)
         paths.append(spark.read.parquet(p))
-    df = pipelines.standardize_estab(paths, "t", dims.activity_dimension(spark, fx.fixture_codes()),
+    df = flows.standardize_estab(paths, "t", dims.activity_dimension(spark, fx.fixture_codes()),
                                      dims.size_dimension(spark), as_of="2024-01-31")
     plan = plan_of(df)
     assert plan.count("BroadcastHashJoin") == 2
@@ -33,9 +33,9 @@ def test_establishments_pipeline_is_map_only(spark, tmpdir_fresh):
 
 
 def test_links_stage2_from_staging_is_map_only(spark, tmpdir_fresh):
-    stage1 = pipelines.links_stage1(fx.raw_links(spark, "/root/testdata/sf0.001"), "t", "2024-01-31")
+    stage1 = flows.links_stage1(fx.raw_links(spark, "/root/testdata/sf0.001"), "t", "2024-01-31")
     sinks.append_staging(stage1, f"{tmpdir_fresh}/stg")
-    typed = pipelines.links_stage2(spark.read.parquet(f"{tmpdir_fresh}/stg"), uf="SP")
+    typed = flows.links_stage2(spark.read.parquet(f"{tmpdir_fresh}/stg"), uf="SP")
     plan = plan_of(typed)
     assert shuffles(plan) == 0
     assert "PartitionFilters" in plan or "PushedFilters" in plan
