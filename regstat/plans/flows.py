@@ -168,13 +168,14 @@ def load_links(raw: DataFrame, owner: str, staging_path: str, table_path: str, a
     (stage 2) → checked (SNK-05) → warehouse partitioned by (ano, uf) (SNK-02).
 
     Every year and state is one job; a hot state is spread over
-    ``salt_buckets`` writer tasks; re-running replaces the same (ano, uf)
-    partitions instead of appending twice.  Returns the rejected rows.
+    ``salt_buckets`` writer tasks; re-running replaces the same staging years
+    and the same (ano, uf) table partitions instead of appending twice.
+    Returns the rejected rows.
     """
     from ..sources import readers, sinks
 
     sinks.append_staging(links_stage1(raw, owner, as_of), staging_path, partition_by=("ano",),
-                         salt_buckets=salt_buckets)
+                         salt_buckets=salt_buckets, replace_partitions=True)
     typed = links_stage2(readers.read_staging(raw.sparkSession, staging_path))
     ok, rejected = sinks.validate_and_partition(typed, years=years)
     sinks.append_table(ok, table_path, schemas.SCHEMA_LINKS, partition_by=("ano", "uf"),

@@ -500,8 +500,8 @@ def q_links_load(spark, sf):
     root = scratch_path(spark, "links_load")
     # 2 writer tasks per (ano, uf) at test scale; the library default (8) is sized for large years
     flows.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging", f"{root}/table", AS_OF, salt_buckets=2)
-    flows.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging2", f"{root}/table", AS_OF,
-                         salt_buckets=2)  # re-run: replaces the same partitions
+    flows.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging", f"{root}/table", AS_OF,
+                     salt_buckets=2)  # re-run on the same folders: replaces, never doubles
     back = spark.read.parquet(f"{root}/table")
     return comparable(back.select([F.col(f.name).cast(schemas.sql_type(f.dataType)).alias(f.name)
                                    for f in schemas.SCHEMA_LINKS.fields]))

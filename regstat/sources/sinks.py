@@ -40,6 +40,9 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
+    if mode == "overwrite" and partition_by:
+        # replace only the partitions present in df (per write, not a session setting)
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -47,9 +50,11 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("
 
 # --- SNK-01 ---------------------------------------------------------------
 def append_staging(df: DataFrame, path: str, partition_by: Sequence[str] = ("ano",),
-                   salt_buckets: int | None = None) -> None:
-    """Plain append of treated rows (a re-run appends again, as a staging area does)."""
-    write_partitioned(df, path, partition_by, "append", salt_buckets)
+                   salt_buckets: int | None = None, replace_partitions: bool = False) -> None:
+    """Append treated rows to staging.  Plain append by default (a re-run appends
+    again, as the reference's staging does); ``replace_partitions=True`` makes a
+    re-run replace the years it loads instead."""
+    write_partitioned(df, path, partition_by, "overwrite" if replace_partitions else "append", salt_buckets)
 
 
 # --- SNK-02 ---------------------------------------------------------------
@@ -70,16 +75,7 @@ def append_table(df: DataFrame, path: str, schema: T.StructType, partition_by: S
     """
     check_schema(df, schema)
     out = df.select([qcol(n) for n in schema.fieldNames()])
-    if idempotent:
-        spark = df.sparkSession
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            write_partitioned(out, path, partition_by, "overwrite", salt_buckets)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    else:
-        write_partitioned(out, path, partition_by, "append", salt_buckets)
+    write_partitioned(out, path, partition_by, "overwrite" if idempotent else "append", salt_buckets)
 
 
 # --- SNK-03 ---------------------------------------------------------------

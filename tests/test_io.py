@@ -140,6 +140,7 @@ def test_load_links_end_to_end(spark, tmpdir_fresh):
     n_table = spark.read.parquet(f"{tmpdir_fresh}/tb").count()
     assert n_table + rejected.count() == n_raw
     assert rejected.filter("ano < 2020").count() == 0                    # only the year bound rejects here
-    flows.load_links(raw, "t", f"{tmpdir_fresh}/stg2", f"{tmpdir_fresh}/tb", "2024-01-31",
+    flows.load_links(raw, "t", f"{tmpdir_fresh}/stg", f"{tmpdir_fresh}/tb", "2024-01-31",
                          years=(2010, 2019), salt_buckets=2)
+    assert spark.read.parquet(f"{tmpdir_fresh}/stg").count() == n_raw      # staging years replaced too
     assert spark.read.parquet(f"{tmpdir_fresh}/tb").count() == n_table   # re-run: replaced, not doubled
