@@ -126,6 +126,22 @@ def select_files(name: Column | str, include_equals: Sequence[str] = (), include
     return cond
 
 
+def select_paths(spark: SparkSession, root: str, include_equals: Sequence[str] = (),
+                 include_prefixes: Sequence[str] = (), exclude_substrings: Sequence[str] = (),
+                 glob: str = "*") -> list[str]:
+    """Paths of the files under ``root`` whose names pass :func:`select_files`.
+
+    The listing is a ``binaryFile`` scan with only ``path`` selected, so no
+    file content is read; the result is file metadata (one string per file),
+    which is what a reader needs on the driver to plan its scan.
+    """
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(root).select("path"))
+    name = F.element_at(F.split("path", "/"), -1)
+    keep = select_files(name, include_equals, include_prefixes, exclude_substrings)
+    return sorted(r["path"] for r in files.filter(keep).collect())
+
+
 # --- SRC-08 ---------------------------------------------------------------
 def year_slices(spark: SparkSession, first: int, last: int) -> DataFrame:
     """One row per valid year from ``first`` to ``last`` (FLT-02 applied)."""

@@ -144,3 +144,14 @@ def test_load_links_end_to_end(spark, tmpdir_fresh):
                          years=(2010, 2019), salt_buckets=2)
     assert spark.read.parquet(f"{tmpdir_fresh}/stg").count() == n_raw      # staging years replaced too
     assert spark.read.parquet(f"{tmpdir_fresh}/tb").count() == n_table   # re-run: replaced, not doubled
+
+
+def test_select_paths_lists_without_reading_content(spark, tmpdir_fresh):
+    for n in ["RAIS_ESTAB_PUB.txt", "ESTB2015.txt", "SP2015.txt", "Leia-me.txt", "RAIS_VINC_PUB_NE.txt"]:
+        write_bytes(f"{tmpdir_fresh}/2015/{n}", b"A;B\n1;2\n")
+    estab = readers.select_paths(spark, tmpdir_fresh, include_equals=["RAIS_ESTAB_PUB.txt"],
+                                 include_prefixes=readers.ESTAB_INCLUDE_PREFIXES)
+    links = readers.select_paths(spark, tmpdir_fresh, exclude_substrings=readers.LINKS_EXCLUDE_SUBSTRINGS)
+    assert [p.rsplit("/", 1)[-1] for p in estab] == ["ESTB2015.txt", "RAIS_ESTAB_PUB.txt"]
+    assert [p.rsplit("/", 1)[-1] for p in links] == ["RAIS_VINC_PUB_NE.txt", "SP2015.txt"]
+    assert readers.read_raw(spark, links, encoding="ISO-8859-1").count() == 2
