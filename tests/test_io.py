@@ -155,3 +155,16 @@ def test_select_paths_lists_without_reading_content(spark, tmpdir_fresh):
     assert [p.rsplit("/", 1)[-1] for p in estab] == ["ESTB2015.txt", "RAIS_ESTAB_PUB.txt"]
     assert [p.rsplit("/", 1)[-1] for p in links] == ["RAIS_VINC_PUB_NE.txt", "SP2015.txt"]
     assert readers.read_raw(spark, links, encoding="ISO-8859-1").count() == 2
+
+
+def test_load_links_reprocesses_only_the_batch_years(spark, tmpdir_fresh):
+    from regstat.plans import flows
+    from regstat.sources import fixtures as fx
+    raw = fx.raw_links(spark, "/root/testdata/sf0.001")
+    stg, tb = f"{tmpdir_fresh}/stg", f"{tmpdir_fresh}/tb"
+    flows.load_links(raw.filter("ano <= 2016"), "t", stg, tb, "2024-01-31", salt_buckets=2)
+    before = {r["ano"]: r["n"] for r in spark.read.parquet(tb).groupBy("ano").agg(F.count("*").alias("n")).collect()}
+    flows.load_links(raw.filter("ano > 2016"), "t", stg, tb, "2024-01-31", salt_buckets=2, reprocess_years=(2017, 2020))
+    after = {r["ano"]: r["n"] for r in spark.read.parquet(tb).groupBy("ano").agg(F.count("*").alias("n")).collect()}
+    assert {y: n for y, n in after.items() if y <= 2016} == before                 # earlier years kept as they were
+    assert sum(after.values()) == raw.count()
