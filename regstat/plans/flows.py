@@ -215,3 +215,18 @@ def load_gdp(vintages: Sequence[DataFrame], owner: str, table_path: str, as_of:
     ordered = shape.sorted_for_write(gdp, ["ano", "sigla_uf", "id_municipio"],
                                      partitions or gdp.sparkSession.sparkContext.defaultParallelism)
     return sinks.replace_table(ordered, table_path)
+
+
+def stream_links_to_staging(spark, inbox: str, staging_path: str, checkpoint: str, raw_schema: T.StructType,
+                            owner: str, as_of: str | None = None, encoding: str = "ISO-8859-1") -> int:
+    """SRC-09 + PIPE-02 stage 1: new extract files of one header layout, dropped
+    under ``inbox/ano=YYYY/``, go through stage 1 into staging exactly once.
+
+    ``raw_schema`` lists the layout's text columns in file order plus ``ano``
+    (filled from the folder name).  Returns the number of rows this run loaded.
+    """
+    from ..streaming.incremental import load_new_files
+
+    return load_new_files(spark, inbox, staging_path, checkpoint, raw_schema, encoding=encoding,
+                          transform=lambda df: links_stage1(df.drop("arquivo"), owner, as_of),
+                          partition_by=("ano",))

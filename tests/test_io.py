@@ -168,3 +168,26 @@ def test_load_links_reprocesses_only_the_batch_years(spark, tmpdir_fresh):
     after = {r["ano"]: r["n"] for r in spark.read.parquet(tb).groupBy("ano").agg(F.count("*").alias("n")).collect()}
     assert {y: n for y, n in after.items() if y <= 2016} == before                 # earlier years kept as they were
     assert sum(after.values()) == raw.count()
+
+
+def test_stream_links_to_staging_once(spark, tmpdir_fresh):
+    from regstat.plans import flows
+    from regstat.sources import fixtures as fx
+    raw = fx.raw_links(spark, "/root/testdata/sf0.001")
+    text_cols = [c for c in raw.columns if c != "ano"]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in text_cols] + [T.StructField("ano", T.IntegerType())])
+    inbox, stg, ckpt = f"{tmpdir_fresh}/in", f"{tmpdir_fresh}/stg", f"{tmpdir_fresh}/ckpt"
+
+    def drop(cond):
+        (raw.filter(cond).write.option("sep", ";").option("header", "true").option("encoding", "ISO-8859-1")
+         .partitionBy("ano").mode("append").csv(inbox))
+
+    drop("ano <= 2016")
+    n1 = flows.stream_links_to_staging(spark, inbox, stg, ckpt, schema, "t", "2024-01-31")
+    assert flows.stream_links_to_staging(spark, inbox, stg, ckpt, schema, "t", "2024-01-31") == 0
+    drop("ano > 2016")
+    n2 = flows.stream_links_to_staging(spark, inbox, stg, ckpt, schema, "t", "2024-01-31")
+    staged = spark.read.parquet(stg)
+    assert n1 + n2 == raw.count() == staged.count()
+    assert sorted(r[0] for r in staged.select("ano").distinct().collect()) == list(range(2014, 2021))
+    assert "vl_rem_janeiro_cc" in staged.columns and "uf" in staged.columns
