@@ -202,15 +202,17 @@ def _layout_names(layout: list[str]) -> list[tuple[str, str]]:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  A scan that yields fewer splits than there are cores
-    (one small file) is spread over the cores; a large table is left alone."""
+    """A driver table.  The fact tables of the test data are single Parquet files
+    (one split); when a table has fewer files than there are cores it is spread
+    over the cores.  A large table (many files, many splits) is left alone."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores and name in ("orders", "lineitem"):
+    if name in ("orders", "lineitem") and len(df.inputFiles()) < cores:
         df = df.repartition(cores)
     return df
 
 
+
 def raw_estab_canonical(spark: SparkSession, sf_dir: str, orders_filter: str | None = None) -> DataFrame:
     """All raw establishment rows under target names (all strings, plus ``ano``).
 
