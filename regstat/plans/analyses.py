@@ -2,7 +2,8 @@
 
 Aggregations use partial (map-side) aggregation, so a hot state or sector
 is pre-aggregated inside each task before the shuffle; the breakdowns use
-grouping sets so several breakdowns come from one pass.  Money is summed
+grouping sets over a first aggregation on the full key, so several
+breakdowns come from one pass and raw rows are never expanded per set.  Money is summed
 as integer cents (exact), and means are one IEEE division of exact totals.
 """
 
@@ -32,8 +33,11 @@ def headcount(links: DataFrame) -> DataFrame:
     levels = {"uf": "uf", "setor": "ibge_subsetor", "ocupacao": "cbo_grande_grupo"}
     sets = [["ano", col, *DEMOGRAPHICS] for col in levels.values()]
     keys = ["ano", *levels.values(), *DEMOGRAPHICS]
-    agg = df.groupingSets(sets, *keys).agg(
-        F.count(F.lit(1)).alias("n_vinculos"),
+    # one pass over the rows on the full key, then the grouping sets over that
+    # far smaller result: raw rows are not expanded once per grouping set
+    base = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    agg = base.groupingSets(sets, *keys).agg(
+        F.sum("n").cast("bigint").alias("n_vinculos"),
         *[F.grouping(c).alias(f"g_{name}") for name, c in levels.items()],
     )
     nivel = None
@@ -72,9 +76,13 @@ def estab_breakdown(estab: DataFrame, dims=BREAKDOWN) -> DataFrame:
     """Establishments and stock of jobs per year by each dimension, one pass
     (GROUPING SETS), as a long table (ano, dimensao, valor, n_estab, estoque)."""
     dims = list(dims)
-    agg = estab.groupingSets([["ano", d] for d in dims], "ano", *dims).agg(
-        F.count(F.lit(1)).alias("n_estab"),
-        F.sum("qtd_vinc_ativos").cast("bigint").alias("estoque"),
+    # pre-aggregate on the full key first (each row is touched once), then the
+    # grouping sets run over the per-combination totals
+    base = estab.groupBy("ano", *dims).agg(F.count(F.lit(1)).alias("n"),
+                                           F.sum("qtd_vinc_ativos").cast("bigint").alias("s"))
+    agg = base.groupingSets([["ano", d] for d in dims], "ano", *dims).agg(
+        F.sum("n").cast("bigint").alias("n_estab"),
+        F.sum("s").cast("bigint").alias("estoque"),
         *[F.grouping(d).alias(f"g{i}") for i, d in enumerate(dims)],
     )
     dimensao = valor = None
