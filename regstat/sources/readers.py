@@ -58,7 +58,7 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], encoding: str = "cp
         text = isinstance(f.dataType, T.StringType)
         name = cp1252_fix_name(f.name) if fix else f.name
         cols.append((cp1252_fix(f.name) if fix and text else qcol(f.name)).alias(name))
-    if year_from_path:
+    if year_from_path and "ano" not in df.columns:      # ano=YYYY folders already give it
         cols.append(F.regexp_extract(F.col("_metadata.file_path"), year_from_path, 1).cast("int").alias("ano"))
     return df.select(cols)
 
