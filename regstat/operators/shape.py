@@ -64,6 +64,13 @@ def select_ordered(df: DataFrame, names: Sequence[str] | T.StructType) -> DataFr
     return df.select([qcol(n) for n in names])
 
 
+# --- FLT-01 ---------------------------------------------------------------
+def by_uf(df: DataFrame, uf: str, col: str = "uf") -> DataFrame:
+    """Rows of one state; a NULL state counts as NI (filled before the filter, D7).
+    On a table partitioned by state this is a partition filter."""
+    return df.filter(C.null_to_ni(qcol(col)) == F.lit(uf))
+
+
 # --- SRC-03 ---------------------------------------------------------------
 def disambiguation_map(columns: Sequence[str], groups: Mapping[str, Sequence[str]]) -> dict[str, str]:
     """{copy name: target name} for the copies of each duplicated header, in file order."""

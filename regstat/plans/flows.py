@@ -112,7 +112,7 @@ def links_stage2(staging: DataFrame, uf: str | None = None) -> DataFrame:
     """Staging rows → the 65-column typed table (optionally one state), one projection."""
     df = staging.drop("_id") if "_id" in staging.columns else staging
     if uf is not None:
-        df = df.filter(C.null_to_ni("uf") == F.lit(uf))                               # FLT-01 after SCL-05
+        df = shape.by_uf(df, uf)                                                       # FLT-01 after SCL-05
     copies = shape.disambiguation_map(df.columns, {"tipo_estab": ["tipo_estab", "tipo_estab_dsc"]})
     source = {copies.get(c, c): c for c in df.columns}                                # SRC-03 (target → source)
     types = {f.name: f.dataType for f in df.schema.fields}

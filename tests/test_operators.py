@@ -161,3 +161,9 @@ def test_infer_types_min_option(spark):
     df = spark.createDataFrame([(5,), (-40000,)], "x int")
     assert one(profile.infer_narrow_types(df))["tipo"] == "smallint"          # the reference looks at max only
     assert one(profile.infer_narrow_types(df, use_min=True))["tipo"] == "int"
+
+
+def test_by_uf_fills_null_state_first(spark):
+    df = spark.createDataFrame([("SP", 1), (None, 2), ("NI", 3), ("MG", 4)], "uf string, v int")
+    assert sorted(r["v"] for r in shape.by_uf(df, "NI").collect()) == [2, 3]
+    assert [r["v"] for r in shape.by_uf(df, "SP").collect()] == [1]
