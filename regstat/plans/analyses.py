@@ -105,7 +105,8 @@ def gdp_rank(gdp: DataFrame, share_digits: int = 8) -> DataFrame:
     return gdp.select(
         "ano", "id_municipio", "pib_corrente",
         F.rank().over(by_year.orderBy(F.col("pib_corrente").desc())).alias("posicao"),
-        F.round(F.col("pib_corrente") / F.sum("pib_corrente").over(by_year), share_digits).alias("participacao"),
+        F.round(F.try_divide(F.col("pib_corrente"), F.sum("pib_corrente").over(by_year)),
+                share_digits).alias("participacao"),                  # a zero total gives NULL, not an error
     )
 
 
