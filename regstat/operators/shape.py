@@ -36,9 +36,21 @@ def drop_strict(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 # --- PRJ-02 ---------------------------------------------------------------
-def rename_by_dict(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """Rename by dictionary in one projection; unknown headers stay as they are."""
-    return df.select([qcol(c).alias(mapping.get(c, c)) for c in df.columns])
+def rename_by_dict(df: DataFrame, mapping: Mapping[str, str], case_sensitive: bool | None = None) -> DataFrame:
+    """Rename by dictionary in one projection; unknown headers stay as they are.
+
+    Header keys match like Spark resolves names (``spark.sql.caseSensitive``,
+    off by default: ``Uf`` matches ``UF``); ``case_sensitive=True`` matches
+    exactly, as a pandas rename does.
+    """
+    if case_sensitive is None:
+        case_sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    folded = {} if case_sensitive else {k.lower(): v for k, v in reversed(list(mapping.items()))}
+
+    def target(c: str) -> str:
+        return mapping.get(c) or folded.get(c.lower()) or c
+
+    return df.select([qcol(c).alias(target(c)) for c in df.columns])
 
 
 # --- PRJ-03 ---------------------------------------------------------------

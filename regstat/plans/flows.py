@@ -142,7 +142,7 @@ def standardize_links(raw: DataFrame, owner: str, as_of: str | None = None, uf:
 # --------------------------------------------------------------------------
 def treat_gdp(df: DataFrame, owner: str, as_of: str | None = None) -> DataFrame:
     df = shape.drop_strict(df, fixtures.GDP_DROP)                                      # PRJ-01
-    df = shape.rename_by_dict(df, fixtures.GDP_HEADERS)                                # PRJ-02
+    df = shape.rename_by_dict(df, fixtures.GDP_HEADERS, case_sensitive=True)           # PRJ-02 (pandas rename)
     df = shape.with_audit(df, owner, as_of=as_of, date_as="string")                    # PRJ-04
     return cleanse.trim_strings(df)                                                    # SCL-01
 

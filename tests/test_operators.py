@@ -167,3 +167,10 @@ def test_by_uf_fills_null_state_first(spark):
     df = spark.createDataFrame([("SP", 1), (None, 2), ("NI", 3), ("MG", 4)], "uf string, v int")
     assert sorted(r["v"] for r in shape.by_uf(df, "NI").collect()) == [2, 3]
     assert [r["v"] for r in shape.by_uf(df, "SP").collect()] == [1]
+
+
+def test_rename_by_dict_follows_spark_name_matching(spark):
+    df = spark.createDataFrame([(1, 2)], "Uf int, `Município` int")
+    mapping = {"UF": "sigla_uf", "Município": "id_municipio"}
+    assert shape.rename_by_dict(df, mapping).columns == ["sigla_uf", "id_municipio"]
+    assert shape.rename_by_dict(df, mapping, case_sensitive=True).columns == ["Uf", "id_municipio"]
