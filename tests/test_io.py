@@ -191,3 +191,20 @@ def test_stream_links_to_staging_once(spark, tmpdir_fresh):
     assert n1 + n2 == raw.count() == staged.count()
     assert sorted(r[0] for r in staged.select("ano").distinct().collect()) == list(range(2014, 2021))
     assert "vl_rem_janeiro_cc" in staged.columns and "uf" in staged.columns
+
+
+def test_sorted_for_write_orders_each_file(spark, tmpdir_fresh):
+    import glob
+
+    import pyarrow.parquet as pq
+    from regstat.operators.shape import sorted_for_write
+    df = spark.range(3000).select((F.col("id") % 7).alias("ano"), ((F.col("id") * 13) % 101).alias("k"))
+    sorted_for_write(df, ["ano", "k"], 4).write.mode("overwrite").parquet(f"{tmpdir_fresh}/s")
+    files = sorted(glob.glob(f"{tmpdir_fresh}/s/*.parquet"))
+    assert len(files) > 1                                        # range partitions, not one task
+    bounds = []
+    for f in files:
+        rows = list(zip(*[pq.read_table(f).column(c).to_pylist() for c in ("ano", "k")]))
+        assert rows == sorted(rows)                              # sorted inside each file
+        bounds.append((rows[0], rows[-1]))
+    assert all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:]))  # and the files are in key order
