@@ -194,11 +194,11 @@ def q_src09_incremental(spark, sf):
     inbox, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
     canon = fx.raw_estab_canonical(spark, sf)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in canon.columns])
-    canon = canon.select([F.col(c).cast("string") for c in canon.columns])
 
     def drop_files(cond):
         """New extract files land in the inbox (the writer's temporary files are hidden)."""
-        (canon.filter(cond).write.option("sep", ";").option("header", "true").option("encoding", "ISO-8859-1")
+        batch = canon.filter(cond).select([F.col(c).cast("string") for c in canon.columns])
+        (batch.write.option("sep", ";").option("header", "true").option("encoding", "ISO-8859-1")
          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
          .mode("append").csv(inbox))
 
