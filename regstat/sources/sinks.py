@@ -1,9 +1,11 @@
 """Sinks: SNK-01..05, SNK-08 (batch writes to partitioned Parquet).
 
-Partitioned writes spread every partition value over a few tasks with a
-deterministic salt, so a state holding a third of all rows is written by
-several tasks (and files) instead of one, and a retried task after an
-executor loss recomputes exactly the same rows.
+Partitioned writes are rebalanced on the partition columns (AQE splits a
+skewed partition by size and merges small ones) or, on request, spread over
+a fixed number of tasks by a deterministic salt.  Either way a state holding
+a third of all rows is written by several tasks instead of one, and a task
+retried after an executor loss recomputes exactly the same rows.  Overwrites
+replace only the partitions present in the data (dynamic, per write).
 """
 
 from __future__ import annotations
