@@ -14,8 +14,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 50
+    own = set(E.queries()) - set(E.CORPUS_QUERIES)
+    assert own == set(E.oracle_sql()) - set(E.CORPUS_QUERIES)
+    assert len(own) >= 50
 
 
 def test_entry_runs(spark):
