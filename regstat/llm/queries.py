@@ -6,22 +6,54 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regstat.llm import sharding, url_filter
-from regstat.llm.common import table
+from regstat.llm import decision_list, quality_ranker, records, sharding, toxicity, url_filter
+from regstat.llm.common import staged, table
 
 SHARDS = 40
+WORD_TOKENIZER = "word_bpe_49k.json"
+END_ID = 2
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_ranker.rank(docs, quality_ranker.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.classify(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return decision_list.judge(docs, decision_list.train(docs, table(spark, sf_dir, "labels")))
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op9_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = records.write_records(table(spark, sf_dir, "documents"), records.fresh_folder(spark), tokenizer_path(WORD_TOKENIZER), END_ID)
+    return records.with_starts(staged(records.read_records(index), "read-back")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_ranker": op1_quality_ranker,
+    "op5_toxicity": op5_toxicity,
+    "op7_decision_list": op7_decision_list,
     "op8_url_filter": op8_url_filter,
+    "op9_records": op9_records,
     "op10_sharding": op10_sharding,
 }
 
