@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regstat.llm import decision_list, quality_ranker, records, sharding, toxicity, url_filter
+from regstat.llm import decision_list, near_dup, quality_ranker, records, sharding, toxicity, url_filter
 from regstat.llm.common import staged, table
 
 SHARDS = 40
@@ -25,6 +25,10 @@ def op1_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ranker.rank(docs, quality_ranker.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.classify(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -50,6 +54,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ranker": op1_quality_ranker,
+    "op4_near_dup": op4_near_dup,
     "op5_toxicity": op5_toxicity,
     "op7_decision_list": op7_decision_list,
     "op8_url_filter": op8_url_filter,
