@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regstat.llm import decision_list, near_dup, quality_ranker, records, sharding, toxicity, url_filter
+from regstat.llm import decision_list, near_dup, piece_encoding, quality_ranker, records, sharding, toxicity, url_filter
 from regstat.llm.common import staged, table
 
 SHARDS = 40
+PIECE_MODEL = "piece_bpe_32k.model"
 WORD_TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 
@@ -25,6 +26,10 @@ def op1_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ranker.rank(docs, quality_ranker.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_encoding.encode(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
+
+
 def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.dedup(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ranker": op1_quality_ranker,
+    "op2_piece_encoding": op2_piece_encoding,
     "op4_near_dup": op4_near_dup,
     "op5_toxicity": op5_toxicity,
     "op7_decision_list": op7_decision_list,
