@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regstat.llm import decision_list, near_dup, piece_encoding, quality_ranker, records, sharding, toxicity, url_filter
+from regstat.llm import decision_list, near_dup, piece_encoding, quality_ranker, records, repeats, sharding, toxicity, url_filter
 from regstat.llm.common import staged, table
 
 SHARDS = 40
@@ -30,6 +30,10 @@ def op2_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_encoding.encode(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.dedup(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ranker": op1_quality_ranker,
     "op2_piece_encoding": op2_piece_encoding,
+    "op3_repeats": op3_repeats,
     "op4_near_dup": op4_near_dup,
     "op5_toxicity": op5_toxicity,
     "op7_decision_list": op7_decision_list,
