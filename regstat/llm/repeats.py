@@ -34,7 +34,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regstat.llm.common import mix64, staged, sub_batches, texts
@@ -222,7 +222,7 @@ def repeated_contexts(blobs: DataFrame, tasks: int) -> DataFrame:
                                           pa.array(ask["key"]), pa.array(ask["lo"].astype(np.int64)), pa.array(ask["n"].astype(np.int32)),
                                           pa.array(ask["a"].astype(np.int32))], names=["ask", "anchor", "key", "lo", "n", "a"])
 
-    return blobs.repartition(tasks, F.pmod(F.when(F.col("task") < 0, -1 - F.col("task")).otherwise(F.col("task")), F.lit(tasks))).mapInArrow(run, FOUND)
+    return blobs.repartition(tasks, F.when(F.col("task") < 0, -1 - F.col("task")).otherwise(F.col("task"))).mapInArrow(run, FOUND)
 
 
 def with_context(docs: DataFrame, asks: DataFrame) -> DataFrame:
@@ -270,8 +270,10 @@ def trimmed(pieces: list[Piece], powers: _Powers) -> list[Piece]:
     again[order[:-1]] |= same
     starts = np.cumsum([0, *map(len, hashes)])
     at = np.flatnonzero(again)
+    if not len(at):
+        return []
     owner = np.searchsorted(starts, at, "right") - 1
-    heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(at) else []
+    heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
     out = []
     for a, b in zip(heads, [*heads[1:], len(at)], strict=True):
         i = owner[a]
@@ -364,36 +366,52 @@ def compared(contexts: DataFrame, tasks: int) -> DataFrame:
     return contexts.repartition(tasks, "anchor").select("anchor", "key", "lo", "a", "context").mapInArrow(run, "key long, lo long, n int")
 
 
-def cut(docs: DataFrame, repeats: DataFrame, with_text: bool) -> DataFrame:
-    """Per document: bytes, removed bytes and runs, and the hash of what stays (``with_text``: what stays itself, too)."""
+def kept_spans(text: bytes, ranges: list[dict]) -> tuple[bytes, int]:
+    """What stays of a text, and the number of removed runs, for ranges (lo, n) of repeated windows."""
+    spans: list[list[int]] = []
+    for lo, n in sorted((r["lo"], r["n"]) for r in ranges):
+        if spans and lo <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], lo + n + LENGTH - 1)
+        else:
+            spans.append([lo, lo + n + LENGTH - 1])
+    return b"".join(text[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(text)], strict=True)), len(spans)
+
+
+def _with_ranges(docs: DataFrame, repeats: DataFrame) -> DataFrame:
+    return docs.join(repeats.groupBy("key").agg(F.collect_list(F.struct("lo", "n")).alias("ranges")), "key", "left")
+
+
+def cut(docs: DataFrame, repeats: DataFrame) -> DataFrame:
+    """Per document: bytes, removed bytes and runs, and the hash of what stays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, 256):
             rows = []
             for text, ranges in zip(texts(batch), batch.column(2).to_pylist(), strict=True):
-                spans: list[list[int]] = []
-                for lo, n in sorted((r["lo"], r["n"]) for r in ranges or ()):
-                    if spans and lo <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], lo + n + LENGTH - 1)
-                    else:
-                        spans.append([lo, lo + n + LENGTH - 1])
-                kept = b"".join(text[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(text)], strict=True))
-                rows.append((len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
-            cols = list(zip(*rows, strict=True))
-            arrays = [batch.column(3), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3])]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-            if with_text:
-                # a run may end inside a character: its stray bytes go from the text, not from the counts and the hash
-                arrays, names = [*arrays, pa.array([k.decode("utf-8", "ignore") for k in cols[4]])], [*names, "kept_text"]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    per_doc = repeats.groupBy("key").agg(F.collect_list(F.struct("lo", "n")).alias("ranges"))
-    return docs.join(per_doc, "key", "left").select("key", "text", "ranges", "doc_id").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if with_text else ""))
-
-
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, key, text: keys order the documents and are different; the ids themselves unless some are null or repeated."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+                kept, spans = kept_spans(text, ranges or [])
+                rows.append((len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+            cols = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))],
+                                             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return _with_ranges(docs, repeats).select("doc_id", "text", "ranges").mapInArrow(
+        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def cut_texts(docs: DataFrame, repeats: DataFrame) -> DataFrame:
+    """``docs`` with the texts that stay; where a run ends inside a character, the character's stray bytes go, too."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sub_batches(batches, 256):
+            ranges = batch.column(batch.num_columns - 1).to_pylist()
+            new = [kept_spans(t, r)[0].decode("utf-8", "ignore") if r else t.decode() for t, r in zip(texts(batch), ranges, strict=True)]
+            at = batch.schema.get_field_index("text")
+            yield batch.set_column(at, "text", pa.array(new, batch.schema.field(at).type)).select(range(batch.num_columns - 1))
+
+    return _with_ranges(docs, repeats).select(*docs.columns, "ranges").mapInArrow(run, docs.schema)
+
+
+def keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, key, text (and ``more``): keys order the documents and are different; the ids themselves unless some are null or repeated."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
     odd = plain.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null").limit(1).count()
     if not odd:
         return plain.withColumn("key", F.col("doc_id"))
@@ -402,15 +420,26 @@ def keyed(docs: DataFrame) -> DataFrame:
     return staged(sorted_rows.withColumn("key", F.monotonically_increasing_id()), "keyed")
 
 
-def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text) of every document."""
-    rows = keyed(docs)
+def repeated(rows: DataFrame) -> DataFrame:
+    """Ranges of windows (key, lo, n) of the texts (key, text) that also start earlier."""
     plain = rows.select("key", "text")
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = max(1, -(-size // PARTITION))
-    found = staged(repeated_contexts(anchor_blobs(plain, 4 * tasks), tasks), "contexts")
+    found = staged(repeated_contexts(anchor_blobs(plain, 8 * tasks), tasks), "contexts")
     asks = found.filter("ask")
     asked = asks.agg(F.sum(F.col("n") + LENGTH)).first()[0] or 0
     windows = staged(compared(with_context(plain, asks), max(1, -(-asked // (PARTITION // 4)))), "windows")
-    repeats = found.filter(~F.col("ask")).select("key", "lo", "n").unionByName(windows)
-    return cut(rows, repeats, with_text)
+    return found.filter(~F.col("ask")).select("key", "lo", "n").unionByName(windows)
+
+
+def dedup(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+    rows = keyed(docs)
+    return cut(rows, repeated(rows))
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The documents, all columns, with the repeated strings cut from their texts."""
+    rows = keyed(docs, F.struct(*docs.columns).alias("row"))
+    new = cut_texts(rows, repeated(rows))
+    return new.select(*(F.col("text").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
