@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regstat.llm.quality_ranker import text_stats_with_labels
-from regstat.llm.text_stats import COUNTS, text_stats
+from regstat.llm.text_stats import COUNTS, counted, text_stats
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 MAX_LABELLED = 20_000       # labelled documents of the fit
@@ -138,16 +138,27 @@ def verdict(rules: list[list[Test]]) -> Column:
     return F.lit(None).cast("int") if expr is None else expr
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+
+
 def judge(docs: DataFrame, rules: list[list[Test]]) -> DataFrame:
     """doc_id, the counts of the base rule, base_failed, rule (number of the rule that rejects, else null) and kept."""
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    stats = text_stats(docs)
-    ratios = dict(zip(STATISTICS, statistic_columns(), strict=True))
-    judged = stats.withColumns({f"base_{c}": F.col(c) for c in COUNTS[:5]}).select("doc_id", *(F.col(f"base_{c}") for c in COUNTS[:5]),
-                                                                                      base.alias("base_failed"), *ratios.values())
-    ruled = judged.withColumn("rule", verdict(rules))
-    return ruled.select("doc_id", *(F.col(f"base_{c}").alias(c) for c in COUNTS[:5]), "base_failed",
-                        F.when(~F.col("base_failed"), F.col("rule")).alias("rule"), (~F.col("base_failed") & F.col("rule").isNull()).alias("kept"))
+    return _ruled(text_stats(docs), rules).select("doc_id", *(F.col(f"_{c}").alias(c) for c in COUNTS[:5]), "base_failed", "rule", "kept")
+
+
+def _ruled(stats: DataFrame, rules: list[list[Test]]) -> DataFrame:
+    """The verdict on rows with the counts: their other columns, the base counts as ``_<count>``, base_failed, rule and kept."""
+    others = [c for c in stats.columns if c not in COUNTS]
+    ratios = stats.select(*others, *(F.col(c).alias(f"_{c}") for c in COUNTS[:5]), _base_failed().alias("base_failed"), *statistic_columns())
+    ruled = ratios.withColumn("rule", F.when(~F.col("base_failed"), verdict(rules)))
+    return ruled.select(*others, *(f"_{c}" for c in COUNTS[:5]), "base_failed", "rule", (~F.col("base_failed") & F.col("rule").isNull()).alias("kept"))
+
+
+def accepted(docs: DataFrame, rules: list[list[Test]]) -> DataFrame:
+    """The documents, all columns, that the base rule and the list keep."""
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
+    return _ruled(counted(packed), rules).filter("kept").select("row.*")
 
 
 def describe(rules: list[list[Test]]) -> list[str]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regstat.llm import decision_list, near_dup, piece_encoding, quality_ranker, records, repeats, sharding, toxicity, url_filter
+from regstat.llm import decision_list, decontaminate, near_dup, piece_encoding, quality_ranker, records, repeats, sharding, toxicity, url_filter
 from regstat.llm.common import staged, table
 
 SHARDS = 40
@@ -43,6 +43,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return decision_list.judge(docs, decision_list.train(docs, table(spark, sf_dir, "labels")))
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_repeats": op3_repeats,
     "op4_near_dup": op4_near_dup,
     "op5_toxicity": op5_toxicity,
+    "op6_decontaminate": op6_decontaminate,
     "op7_decision_list": op7_decision_list,
     "op8_url_filter": op8_url_filter,
     "op9_records": op9_records,

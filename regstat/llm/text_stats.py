@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regstat.llm.common import sub_batches, texts
 
@@ -81,14 +82,21 @@ def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Record
         yield batch, np.array([counts_of(t) for t in texts(batch)], np.int64).reshape(batch.num_rows, len(COUNTS))
 
 
-def text_stats(docs: DataFrame) -> DataFrame:
-    """doc_id and the counts of every text."""
+def counted(rows: DataFrame) -> DataFrame:
+    """``rows``, with the counts of their texts in place of the texts."""
+    rest = [c for c in rows.columns if c != "text"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, m in count_batches(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c) for c in m.T.copy())], names=["doc_id", *COUNTS])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(rest))), *(pa.array(c) for c in m.T.copy())], names=[*rest, *COUNTS])
 
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+    schema = T.StructType([*(rows.schema[c] for c in rest), *(T.StructField(c, T.LongType()) for c in COUNTS)])
+    return rows.select(*rest, "text").mapInArrow(run, schema)
+
+
+def text_stats(docs: DataFrame) -> DataFrame:
+    """doc_id and the counts of every text."""
+    return counted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
 
 
 def labelled_sample(labels: DataFrame, column: str, limit: int) -> DataFrame:
