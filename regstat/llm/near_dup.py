@@ -18,7 +18,7 @@ the ``K`` smallest hashes.
 4. Exact Jaccard on the full sets: first each set with its best pivot, which
    links most copies; then, inside families of several components, the
    remaining pairs between different components, in blocks of ``BLOCK`` sets (set
-   intersections by blocked products, only links leave a task); then pairs
+   intersections by blocked products; of the links found a task returns a spanning forest); then pairs
    that share a list but no family.
 5. Connected components of the exact links by large-star/small-star rounds.
 
@@ -214,9 +214,27 @@ def _block_links(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     common = common.astype(np.int64)
     links = 100 * common >= PERCENT * (ln[:, None] + rn[None, :] - common)
     links &= left["comp"].to_numpy()[:, None] != right["comp"].to_numpy()[None, :]
+    return _spanning(left["comp"].to_numpy(), right["comp"].to_numpy(), left["rep"].to_numpy(), right["rep"].to_numpy(), links)
+
+
+def _spanning(lc: np.ndarray, rc: np.ndarray, lr: np.ndarray, rr: np.ndarray, links: np.ndarray) -> pd.DataFrame:
+    """As many of the links as join the same components: a forest over the blocks' components."""
     i, j = np.nonzero(links)
-    a, b = left["rep"].to_numpy()[i], right["rep"].to_numpy()[j]
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+    pairs = pd.DataFrame({"x": np.minimum(lc[i], rc[j]), "y": np.maximum(lc[i], rc[j]), "a": np.minimum(lr[i], rr[j]), "b": np.maximum(lr[i], rr[j])})
+    pairs = pairs.drop_duplicates(["x", "y"])
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    keep = []
+    for x, y in zip(pairs["x"].tolist(), pairs["y"].tolist(), strict=True):
+        rx, ry = root(x), root(y)
+        keep.append(rx != ry)
+        parent[rx] = ry
+    return pairs.loc[keep, ["a", "b"]]
 
 
 def block_links(families: DataFrame, sets: DataFrame) -> DataFrame:
@@ -306,3 +324,9 @@ def dedup(docs: DataFrame) -> DataFrame:
     out = rows.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
     comp = F.when(F.col("doc_id").isNotNull(), alone)
     return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.coalesce(comp == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents, all columns, that stand for their component; rows with a null id stay."""
+    gone = staged(dedup(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "copies")
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
