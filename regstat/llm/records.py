@@ -20,7 +20,7 @@ leaves at most an unindexed file.  Reading verifies both checksums.
 
 The tokenizer file drops white space before anything else, so a text's ids
 are the ids of its space-separated words one after the other: each different
-word is encoded by the library once per task (a bounded memo).
+word is encoded by the library once per worker process (a bounded memo).
 
 Defined cases: a null or empty text has the end id only; rows with a null id
 come first; repeated ids stay as records of their own; an empty table gives an
@@ -30,9 +30,11 @@ empty index; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -45,7 +47,9 @@ from regstat.llm.common import crc32, local_dir, sub_batches, texts
 from regstat.session import scratch_path
 
 MASK_DELTA = 0xA282EAD8      # fixed value of the masked-checksum format
-MEMO_WORDS = 200_000         # words remembered per task
+MEMO_WORDS = 800_000         # words per generation of a worker process's memo
+BAR = b"\x01"                 # parts words in a text of many
+MARKED = re.compile(rb"^(.*[A-Za-z0-9])([.,;:!?]+)$")
 INDEX = "shard int, file string, offset long, length long, doc_id long"
 
 
@@ -69,31 +73,83 @@ def unframe(data: bytes) -> bytes:
     return payload
 
 
-class WordIds(dict):
-    """word -> its ids; encodes a word when it is first met and starts afresh past ``MEMO_WORDS`` words."""
+class WordIds:
+    """word -> its packed ids: the new words of a batch are encoded at once.
 
-    def __init__(self, tokenizer_file: str):
+    Two generations of at most ``MEMO_WORDS`` words are remembered: words met
+    again move to the young one, so frequent words stay.
+    """
+
+    def __init__(self, tokenizer_file: str, dtype: str):
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
-
-    def encode(self, text: bytes) -> list[int]:
-        words = text.split()                    # exactly the ASCII white space, all of which the tokenizer drops
-        new = [w for w in set(words) if w not in self]
-        if new:
-            if len(self) + len(new) > MEMO_WORDS:
-                self.clear()
-                new = list(set(words))
-            found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            self.update(zip(new, (e.ids for e in found), strict=True))
-        return list(chain.from_iterable(map(self.__getitem__, words)))
+        self.tokenizer, self.dtype = Tokenizer.from_file(tokenizer_file), np.dtype(dtype)
+        lower, upper, apart, bar, barred = (self._ids([t])[0] for t in ("az 9.,", "AZ 9.,", "az 9 .,", BAR.decode(), f"az {BAR.decode()} 9.,"))
+        self.lower_cased, self.parts_marks = lower == upper, apart == lower
+        self.bar = bar[0] if len(bar) == 1 and barred == lower[:1] + bar + lower[1:] else None
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _packed(self, words: list[bytes]) -> Iterator[bytes]:
+        """Packed ids of each word: many words go to the library as one text, with a word of one control character between them."""
+        if self.bar is None:
+            yield from (np.asarray(ids, self.dtype).tobytes() for ids in self._ids([w.decode() for w in words]))
+            return
+        for at in range(0, len(words), 4096):
+            some = words[at:at + 4096]
+            ids = np.array(list(chain.from_iterable(self._ids([(b" %b " % BAR).join([*some[i:i + 256], b""]).decode() for i in range(0, len(some), 256)]))), self.dtype)
+            data, ends = ids.tobytes(), (np.flatnonzero(ids == self.bar) * ids.itemsize).tolist()
+            start = 0
+            for end in ends:
+                yield data[start:end]
+                start = end + ids.itemsize
+
+    def learn(self, words: set[bytes]) -> None:
+        """Remembers the ids of all ``words``."""
+        if len(self.young) + len(words) > MEMO_WORDS:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        unmet = words.difference(young)
+        young.update((w, old[w]) for w in unmet if w in old)
+        unmet = unmet.difference(young)
+        barred = {w for w in unmet if BAR in w}          # a word with the parting character in it goes alone
+        young.update(zip(barred, (np.asarray(i, self.dtype).tobytes() for i in self._ids([w.decode() for w in barred])), strict=True))
+        unmet -= barred
+        # marks after a letter or digit are pieces of their own: "word," and "word." share "word"
+        cut = {w: m.groups() for w in unmet if (m := MARKED.match(w))} if self.parts_marks else {}
+        new = list({p for parts in cut.values() for p in parts}.union(unmet.difference(cut)).difference(young))
+        young.update(zip(new, self._packed(new), strict=True))
+        for w, (word, marks) in cut.items():
+            young[w] = young[word] + young[marks]
+
+    def encode(self, batch: list[bytes]) -> list[bytes]:
+        """Packed ids of each text."""
+        # ASCII white space, all of which the tokenizer drops, parts the words; capitals are lowered early unless a special token may be about
+        words = [(t.lower() if self.lower_cased and b"<|" not in t else t).split() for t in batch]
+        ids = [list(map(self.young.get, ws)) for ws in words]
+        short = [i for i, found in enumerate(ids) if None in found]
+        if short:
+            self.learn({w for i in short for w, found in zip(words[i], ids[i], strict=True) if found is None})
+            for i in short:
+                ids[i] = [self.young[w] if found is None else found for w, found in zip(words[i], ids[i], strict=True)]
+        return list(map(b"".join, ids))
+
+
+@cache
+def word_ids(tokenizer_file: str, dtype: str) -> WordIds:
+    """One memo for all tasks that a worker process runs."""
+    return WordIds(tokenizer_file, dtype)
 
 
 def write_records(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, dtype: str = "<u2") -> DataFrame:
     """Encodes and writes every document; returns the index, read back from ``folder/index``."""
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        words, path, offset, out = WordIds(tokenizer_file), None, 0, None
+        words, path, offset, out = word_ids(tokenizer_file, dtype), None, 0, None
+        end = np.asarray([end_id], dtype).tobytes()
         try:
             for batch in sub_batches(batches):
                 if out is None:
@@ -101,8 +157,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int
                     path = f"{local_dir(folder)}/{shard:06d}-{uuid.uuid4().hex}.rec"
                     out = open(path, "wb")
                 offsets, lengths = [], []
-                for text in texts(batch):
-                    framed = frame(np.asarray(words.encode(text) + [end_id], dtype).tobytes())
+                for ids in words.encode(texts(batch)):
+                    framed = frame(ids + end)
                     out.write(framed)
                     offsets.append(offset)
                     lengths.append(len(framed))
