@@ -43,8 +43,9 @@ from pyspark.sql import functions as F
 from regstat.llm.common import crc32, staged, sub_batches
 
 CHUNK = 1 << 15
-MEMO = 800_000            # words and segments remembered per worker process
+MEMO = 150_000            # words and segments per generation of a worker process's memo
 MARK = "▁"
+WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 RESULT = "doc_id long, n_tokens long, n_chunks int, ids_crc32 long, round_trip boolean, ids array<int>"
 
 
@@ -69,7 +70,8 @@ class Pieces:
         for p in self.id:
             self.reach[p[-2:]] = max(self.reach.get(p[-2:], 0), len(p))
         self._stable: dict[tuple[str, str], bool] = {}
-        self._words: dict[str, bytes] = {}
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
         self._reached = {p for p in self.id if self.merged(p) == [p]}
 
     def merged(self, text: str) -> list[str]:
@@ -93,7 +95,7 @@ class Pieces:
         """Weight 0 (else minus infinity) of ``right`` following ``left``."""
         got = self._stable.get((left, right))
         if got is None:
-            if len(self._stable) >= 4 * MEMO:
+            if len(self._stable) >= 2 * MEMO:
                 self._stable.clear()
             got = self._stable[left, right] = left[-1] + right[0] not in self.joined or self.merged(left + right) == [left, right]
         return got
@@ -106,49 +108,72 @@ class Pieces:
         i = self.id.get(piece)
         return [i] if i is not None else [self.byte_id[b] for b in piece.encode()]
 
-    def segment(self, text: str) -> list[str]:
-        """The weight-0 path of a text without breaks inside: one piece ends at each place."""
-        n = len(text)
-        if n == 1:
-            return [text]
-        last = [text[0]] * (n + 1)
+    def segments(self, sorted_texts: list[str]) -> Iterator[list[str]]:
+        """The weight-0 path of each text without breaks inside.
+
+        One piece ends the path of each prefix, whatever follows, so
+        neighbours in sorted order share the part of their common prefix.
+        """
         reached, known, reach = self._reached, self._stable, self.reach
-        for end in range(2, n + 1):
-            for start in range(max(0, end - reach.get(text[end - 2:end], 1)), end):
-                piece = text[start:end]
-                if piece in reached and (not start or (known.get((last[start], piece)) if (last[start], piece) in known else self.stable(last[start], piece))):
-                    last[end] = piece
+        last, before = [""], ""
+        for text in sorted_texts:
+            same = 0
+            for x, y in zip(text, before, strict=False):
+                if x != y:
                     break
-        path, at = [], n
-        while at:
-            path.append(last[at])
-            at -= len(last[at])
-        return path[::-1]
+                same += 1
+            del last[same + 1:]
+            for end in range(same + 1, len(text) + 1):
+                if end == 1:
+                    last.append(text[0])
+                    continue
+                for start in range(max(0, end - reach.get(text[end - 2:end], 1)), end):
+                    piece = text[start:end]
+                    if piece in reached:
+                        if not start:
+                            break
+                        ok = known.get((last[start], piece))
+                        if ok is None:
+                            ok = self.stable(last[start], piece)
+                        if ok:
+                            break
+                last.append(piece)
+            path, at = [], len(text)
+            while at:
+                path.append(last[at])
+                at -= len(last[at])
+            before = text
+            yield path[::-1]
 
     def spans(self, text: str) -> list[str]:
         """The text cut at its breaks."""
         cuts = [0, *(i for i in range(1, len(text)) if text[i - 1:i + 1] not in self.joined), len(text)]
         return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
-    def word(self, text: str) -> bytes:
-        """Packed ids of a text that starts and ends at breaks."""
-        got = self._words.get(text)
-        if got is None:
-            if len(self._words) >= MEMO:
-                self._words.clear()
-            cut = self.spans(text)
+    def learn(self, words: set[str]) -> None:
+        """Remembers the packed ids of texts that start and end at breaks; two generations, so frequent ones stay."""
+        if len(self._young) + len(words) > MEMO:
+            self._old, self._young = self._young, {}
+        young, old = self._young, self._old
+        unmet = words.difference(young)
+        young.update((w, old[w]) for w in unmet if w in old)
+        spans = {w: self.spans(w) for w in unmet.difference(young)}
+        new = sorted({s for cut in spans.values() for s in cut}.difference(young))
+        for text, path in zip(new, self.segments(new), strict=True):
+            ids = [i for p in path for i in self.ids_of(p)]
+            young[text] = struct.pack(f"<{len(ids)}H", *ids)
+        for w, cut in spans.items():
             if len(cut) > 1:
-                got = b"".join(map(self.word, cut))
-            else:
-                ids = [i for p in self.segment(text) for i in self.ids_of(p)] if text else []
-                got = struct.pack(f"<{len(ids)}H", *ids)
-            self._words[text] = got
-        return got
+                young[w] = b"".join([young[s] for s in cut])
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of marked texts that start and end at breaks: word by word, since nothing spans a character and a mark after it."""
+        words = [WORDS.findall(t) for t in texts]
+        self.learn(set().union(*words))
+        return [b"".join(map(self._young.__getitem__, ws)) for ws in words]
 
-    def encode(self, marked: str) -> bytes:
-        """Packed ids of a marked text that starts and ends at breaks: word by word, since nothing spans a character and a mark after it."""
-        known = self._words
-        return b"".join([known[w] if w in known else self.word(w) for w in re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", marked)])
+    def encode(self, text: str) -> bytes:
+        return self.encode_batch([text])[0]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u2").tolist()))
@@ -298,9 +323,9 @@ def _result(doc_ids: pa.Array, chunks: list[int], ids: list[bytes], same: list[b
 def _short(docs: DataFrame, model_file: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = pieces(model_file)
-        for batch in sub_batches(batches, 256):
+        for batch in sub_batches(batches, 1024):
             text = [marked(t or "") for t in batch.column(1).to_pylist()]
-            ids = [v.encode(t) for t in text]
+            ids = v.encode_batch(text)
             same = [v.decode(i) == t.replace(MARK, " ").encode() for i, t in zip(ids, text, strict=True)]
             yield _result(batch.column(0), [min(len(t), 1) for t in text], ids, same)
     return docs.mapInArrow(run, RESULT)
