@@ -18,29 +18,31 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from . import dims
+from .operators import shape
 from .plans import analyses, flows
 from .sources import readers, sinks
 
 
-def _read_table(spark: SparkSession, path: str, encoding: str, sep: str) -> DataFrame:
-    if path.endswith(".parquet") or path.endswith("/"):
+def _read_table(spark: SparkSession, path: str, a) -> DataFrame:
+    """A workbook export: its headers and values may hold line breaks, so text is read record by record."""
+    if a.format == "parquet":
         return spark.read.parquet(path)
-    return readers.read_raw(spark, path, encoding=encoding, sep=sep)
+    return readers.read_raw(spark, path, encoding=a.encoding, sep=a.sep, multi_line=True)
 
 
 def cmd_estab(spark, a) -> None:
-    layouts = [readers.read_raw(spark, p, encoding=a.encoding, sep=a.sep, year_from_path=a.year_pattern)
-               for p in a.layout]
+    layouts = [readers.read_raw(spark, p, encoding=a.encoding, sep=a.sep, year_from_name=a.year_pattern, file_col="arquivo",
+                                treat=flows.estab_headers) for p in a.layout]
     codes = spark.read.parquet(a.codes)
     rejected = flows.load_estab(layouts, a.owner, dims.activity_dimension(spark, codes), dims.size_dimension(spark),
-                                a.out, salt_buckets=a.salt_buckets)
+                                a.out, salt_buckets=a.salt_buckets, staging_path=a.staging)
     if a.rejected:
         rejected.write.mode("overwrite").parquet(a.rejected)
 
 
 def cmd_links(spark, a) -> None:
     raw = readers.read_raw(spark, a.input, encoding=a.encoding, sep=a.sep,
-                           year_from_path=None if a.partitioned else a.year_pattern)
+                           year_from_name=None if a.partitioned else a.year_pattern, file_col="arquivo", treat=shape.normalize_headers)
     years = tuple(a.years) if a.years else None
     rejected = flows.load_links(raw, a.owner, a.staging, a.out, years=years, salt_buckets=a.salt_buckets)
     if a.rejected:
@@ -48,7 +50,7 @@ def cmd_links(spark, a) -> None:
 
 
 def cmd_gdp(spark, a) -> None:
-    vintages = [_read_table(spark, p, a.encoding, a.sep) for p in a.vintage]
+    vintages = [_read_table(spark, p, a) for p in a.vintage]
     flows.load_gdp([v for v in vintages if not v.isEmpty()], a.owner, a.out)
 
 
@@ -56,7 +58,7 @@ def cmd_dims(spark, a) -> None:
     sheets = dict(s.split("=", 1) for s in a.sheet)
     names = readers.dimension_table_names(list(sheets), a.prefix, a.skip_head, a.skip_tail)
     for sheet, table in names.items():
-        dim = flows.build_dimension(_read_table(spark, sheets[sheet], a.encoding, a.sep), a.owner)
+        dim, _ = flows.typed_dimension(_read_table(spark, sheets[sheet], a), a.owner)
         sinks.write_dimension(dim, f"{a.out.rstrip('/')}/{table}")
 
 
@@ -91,7 +93,8 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--out", required=True)
     e.add_argument("--rejected")
     e.add_argument("--year-pattern", default=r"(20\d{2})")
-    e.add_argument("--salt-buckets", type=int, default=8)
+    e.add_argument("--staging", help="staging folder (default: beside the table)")
+    e.add_argument("--salt-buckets", type=int, help="fixed number of writers per year (default: by size)")
     e.set_defaults(fn=cmd_estab)
 
     li = sub.add_parser("links", help="employment-link extracts → staging → typed table by (ano, uf)")
@@ -103,18 +106,20 @@ def parser() -> argparse.ArgumentParser:
     li.add_argument("--years", type=int, nargs=2)
     li.add_argument("--partitioned", action="store_true", help="input folders are ano=YYYY")
     li.add_argument("--year-pattern", default=r"(20\d{2})")
-    li.add_argument("--salt-buckets", type=int, default=8)
+    li.add_argument("--salt-buckets", type=int, help="fixed number of writers per (year, state) (default: by size)")
     li.set_defaults(fn=cmd_links)
 
     g = sub.add_parser("gdp", help="GDP workbook exports → table, fully replaced")
     common(g)
     g.add_argument("--vintage", action="append", required=True)
+    g.add_argument("--format", choices=("text", "parquet"), default="text")
     g.add_argument("--out", required=True)
     g.set_defaults(fn=cmd_gdp)
 
     d = sub.add_parser("dims", help="dictionary sheets → one dimension table each")
     common(d)
     d.add_argument("--sheet", action="append", required=True, help="SHEET=PATH, in workbook order")
+    d.add_argument("--format", choices=("text", "parquet"), default="text")
     d.add_argument("--prefix", default="tb_rais_estab")
     d.add_argument("--skip-head", type=int, default=1)
     d.add_argument("--skip-tail", type=int, default=1)

@@ -171,11 +171,11 @@ def activity_dimension(spark: SparkSession, codes: Iterable[str] | DataFrame) ->
     official list loaded as a dimension); the rule then runs in Spark.
     """
     if isinstance(codes, DataFrame):
-        from .functions.columns import sector_from_code
+        from .functions.columns import pad_cnae, sector_from_code
 
         from pyspark.sql import functions as F
 
-        listed = codes.select(F.col("cnae_2_subclasse").cast("string")).unionByName(
+        listed = codes.select(pad_cnae(F.col("cnae_2_subclasse").cast("string")).alias("cnae_2_subclasse")).unionByName(
             spark.createDataFrame([(c,) for c in UNKNOWN_CODES], "cnae_2_subclasse string")
         ).distinct()
         ibge = sector_from_code(F.col("cnae_2_subclasse"))

@@ -1,9 +1,8 @@
 """Classification: FLT-03 and the dictionary lookups LKP-01..04 as joins.
 
 Lookups are left equi-joins against small dimensions.  A dimension is
-broadcast only after its row count has been checked against a bound (a
-bounded ``limit(n+1).count()``); past the bound the join is left to the
-planner (sort-merge, or AQE's own broadcast when runtime stats allow), so a
+broadcast by force only when it was built from a fixed code list; for any
+other the join is left to the planner (Spark's byte threshold, AQE), so a
 grown dimension can never blow up executor memory.
 """
 
@@ -17,21 +16,18 @@ from pyspark.sql import functions as F
 from .. import dims
 from ..functions import columns as C
 
-# A dimension up to this many rows is broadcast (the largest here has ~1.4k).
+# A dimension built from a fixed list of at most this many rows is broadcast (the largest here has ~1.4k).
 BROADCAST_MAX_ROWS = 200_000
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows.
+    """True for a frame built here from a fixed code list (``dims.row_bound``).
 
-    A dimension built here from a fixed code list carries its row count
-    (``dims.row_bound``), so no job is needed; any other frame is counted
-    with a bounded ``limit(max_rows + 1)`` job, never a full count.
+    Any other frame is left to Spark's own byte threshold and AQE: no job runs
+    while the plan is built, and a grown dimension is never forced on executors.
     """
     known = dims.row_bound(dim)
-    if known is not None:
-        return known <= max_rows
-    return dim.limit(max_rows + 1).count() <= max_rows
+    return known is not None and known <= max_rows
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | str, defaults: Mapping[str, object],

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
-from ..schemas import sql_type
+from ..schemas import require, sql_type
 from .shape import qcol
 
 
@@ -72,17 +72,15 @@ def cast_ints(df: DataFrame, cols: Sequence[str], type_name: str = "int") -> Dat
 
 
 # --- SCL-10 / SNK-06 ------------------------------------------------------
-def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, may_lack: Sequence[str] = ()) -> DataFrame:
     """Ordered select of ``try_cast`` into ``schema``.
 
-    Columns not in the schema are dropped; a schema column the frame lacks is
-    NULL of its type, or an error with ``strict=True``.  A value that does not
-    fit (text, smallint overflow) becomes NULL.
+    Columns not in the schema are dropped; a schema column the frame lacks is an
+    error that names it, or NULL of its type if it is one of ``may_lack``.  A
+    value that does not fit (text, smallint overflow) becomes NULL.
     """
     present = set(df.columns)
-    missing = [f.name for f in schema.fields if f.name not in present]
-    if strict and missing:
-        raise ValueError(f"columns not found: {missing}")
+    require(schema.fieldNames(), present, may_lack)
     out = []
     for f in schema.fields:
         src = qcol(f.name) if f.name in present else F.lit(None)

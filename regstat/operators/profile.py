@@ -83,6 +83,17 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None, exact_disti
 
 
 # --- SNK-07 ---------------------------------------------------------------
+def integers_of_text(df: DataFrame) -> DataFrame:
+    """Text columns whose every value is an integer become bigint (one aggregation pass); leading zeros are codes and stay text."""
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not text:
+        return df
+    whole = [F.coalesce(F.bool_and(qcol(c).rlike(r"^-?(0|[1-9][0-9]{0,17})$")), F.lit(False)).alias(f"w{i}") for i, c in enumerate(text)]
+    row = df.agg(*whole).first()
+    ints = {c for i, c in enumerate(text) if row[f"w{i}"]}
+    return df.select([qcol(c).cast("bigint").alias(c) if c in ints else qcol(c) for c in df.columns])
+
+
 def infer_narrow_types(df: DataFrame, use_min: bool = False) -> DataFrame:
     """Narrowest table type per column, from one aggregation pass.
 
@@ -99,7 +110,7 @@ def infer_narrow_types(df: DataFrame, use_min: bool = False) -> DataFrame:
             # with use_min, a value far below zero pushes the type up like a large one
             hi = F.max(qcol(f.name)).cast("decimal(20,0)")
             v = F.greatest(hi, -(F.min(qcol(f.name)).cast("decimal(20,0)")) - 1) if use_min else hi
-            aggs.append(v.alias(f"v{i}"))
+            aggs.append(v.cast("decimal(20,0)").alias(f"v{i}"))
         else:
             aggs.append(F.max(F.length(qcol(f.name).cast("string"))).cast("decimal(20,0)").alias(f"v{i}"))
     row = df.agg(*aggs)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..schemas import ESTAB_MAY_LACK, LINKS_MAY_LACK, require
 from .shape import qcol
 
 MIN_YEAR, MAX_YEAR = 0, 9999
@@ -29,6 +30,7 @@ class Rule:
 
 
 def _src(df_cols: set[str], name: str | None) -> Column:
+    """The source column; NULL for one that its layout may lack (callers check)."""
     return qcol(name) if name in df_cols else F.lit(None).cast("string")
 
 
@@ -118,6 +120,7 @@ def harmonize_links(df: DataFrame, ano="ano") -> DataFrame:
     year = qcol(ano) if isinstance(ano, str) else ano
     cols = set(df.columns)
     rules = links_rules()
+    require({r.source for some in rules.values() for r in some if r.source}, cols, LINKS_MAY_LACK)
     out = [qcol(c) for c in df.columns if c not in rules]
     conds: dict = {}
     out += [compile_rules(r, year, cols, conds).alias(t) for t, r in rules.items()]

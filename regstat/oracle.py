@@ -295,6 +295,7 @@ def build() -> dict[str, str]:
     gdp = gdp_treated()
     stage1, _ = links_stage1()
     div = "lpad(CAST(TRY_CAST(cnae_2_subclasse AS INTEGER) AS VARCHAR), 2, '0')"
+    mixed = [*STAGING_VIEW, "tipo_estab41", "tipo_salario", "ind_trab_parcial"]
     staging_view = comparable(f"SELECT {', '.join(STAGING_VIEW)} FROM ({stage1}) s", [
         (n, "date" if n == "curr_date" else "x") for n in STAGING_VIEW])
     o: dict[str, str] = {}
@@ -453,20 +454,21 @@ def build() -> dict[str, str]:
     o["qry04_estab_breakdown"] = " UNION ALL ".join(
         f"SELECT ano, '{d}' AS dimensao, CAST({d} AS VARCHAR) AS valor, count(*) AS n_estab, "
         f"CAST(sum(qtd_vinc_ativos) AS BIGINT) AS estoque FROM ({e}) e GROUP BY ano, {d}" for d in bd)
-    o["qry05_gdp_growth"] = f"""
-        SELECT ano, id_municipio, pib_corrente, pib_anterior,
-               CASE WHEN pib_anterior > 0 THEN pib_corrente / pib_anterior - CAST(1 AS DOUBLE) END AS crescimento
-        FROM (SELECT ano, id_municipio, pib_corrente,
-                     lag(pib_corrente) OVER (PARTITION BY id_municipio ORDER BY ano) AS pib_anterior
-              FROM ({gdp}) g) g"""
+    def growth(g: str) -> str:
+        return f"""
+        SELECT g.ano, g.id_municipio, g.pib_corrente, p.pib_corrente AS pib_anterior,
+               CASE WHEN p.pib_corrente > 0 THEN g.pib_corrente / p.pib_corrente - CAST(1 AS DOUBLE) END AS crescimento
+        FROM ({g}) g LEFT JOIN ({g}) p ON p.id_municipio = g.id_municipio AND p.ano = g.ano - 1"""
+    o["qry05_gdp_growth"] = growth(gdp)
+    o["qry05_gdp_growth_gap"] = growth(f"SELECT * FROM ({gdp}) x WHERE ano <> 2010")
     o["qry06_gdp_rank"] = f"""
         SELECT ano, id_municipio, pib_corrente,
                CAST(rank() OVER (PARTITION BY ano ORDER BY pib_corrente DESC) AS INTEGER) AS posicao,
                round(pib_corrente / sum(pib_corrente) OVER (PARTITION BY ano), 8) AS participacao
         FROM ({gdp}) g"""
     o["qry07_gdp_per_capita"] = f"""
-        SELECT ano, codigo_uf, id_municipio, pib_corrente, populacao,
-               CASE WHEN populacao > 0 THEN pib_corrente * CAST(1000 AS DOUBLE) / CAST(populacao AS DOUBLE) END AS pib_per_capita
+        SELECT ano, id_municipio, pib_corrente, populacao + ano - 2000 AS populacao,
+               CASE WHEN populacao + ano - 2000 > 0 THEN pib_corrente * CAST(1000 AS DOUBLE) / CAST(populacao + ano - 2000 AS DOUBLE) END AS pib_per_capita
         FROM ({gdp}) g LEFT JOIN (SELECT CAST(c_nationkey + 11 AS BIGINT) AS k, count(*) AS populacao
                                  FROM customer GROUP BY c_nationkey) p ON g.codigo_uf = p.k"""
     o["srt02_preview"] = (f"SELECT ano, sigla_uf, id_municipio, pib_corrente FROM ({gdp}) g "
@@ -477,8 +479,17 @@ def build() -> dict[str, str]:
     o["links_standardize"] = comparable(lk, LINK_FIELDS)
     o["links_load"] = comparable(lk, LINK_FIELDS)
     o["gdp_standardize"] = gdp
+    o["set02_two_files_one_year"] = comparable(lk, LINK_FIELDS)
+    o["estab_two_files"] = o["estab_load"]
+    o["gdp_load_text"] = gdp
+    o["src02_mixed_vintages"] = comparable(f"SELECT {', '.join(mixed)} FROM ({stage1}) s", [(n, "date" if n == "curr_date" else "x") for n in mixed])
     o["gdp_load"] = f"SELECT *, count(*) OVER () AS n_lido FROM ({gdp}) g"
-    o["dimensions_build"] = dimensions_long()
+    whole = "bool_and(regexp_full_match({c}, '-?(0|[1-9][0-9]*)'))"
+    o["dimensions_build"] = " UNION ALL ".join(
+        f"SELECT tabela, '{c}' AS coluna, CASE WHEN {whole.format(c=c)} THEN CASE WHEN max(TRY_CAST({c} AS BIGINT)) < 32767 THEN 'smallint' "
+        f"WHEN max(TRY_CAST({c} AS BIGINT)) < 2147483647 THEN 'int' ELSE 'bigint' END "
+        f"ELSE 'varchar(' || CAST(max(length({c})) AS VARCHAR) || ')' END AS tipo, count(*) AS n_linhas FROM ({dimensions_long()}) d GROUP BY tabela"
+        for c in ("codigo", "descricao", "curr_date", "ds_owner"))
     return o
 
 

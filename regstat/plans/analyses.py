@@ -8,11 +8,11 @@ as integer cents (exact), and means are one IEEE division of exact totals.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.classify import fits_broadcast
-
 DEMOGRAPHICS = ["faixa_etaria", "escolaridade_apos_2005", "sexo_trabalhador"]
 
 
@@ -88,10 +88,13 @@ def estab_breakdown(estab: DataFrame, dims=BREAKDOWN) -> DataFrame:
 
 # --- QRY-05 ---------------------------------------------------------------
 def gdp_growth(gdp: DataFrame) -> DataFrame:
-    """Year-on-year GDP growth per place (window partitioned by place, so it
-    scales with the number of places, one small ordered series each)."""
+    """Year-on-year GDP growth per place; without the year before there is none.
+
+    The window is partitioned by place, so it scales with the number of
+    places, one short series each.
+    """
     w = Window.partitionBy("id_municipio").orderBy("ano")
-    prev = F.lag("pib_corrente").over(w)
+    prev = F.when(F.lag("ano").over(w) == F.col("ano") - 1, F.lag("pib_corrente").over(w))
     return gdp.select(
         "ano", "id_municipio", "pib_corrente", prev.alias("pib_anterior"),
         F.when(prev > 0, F.col("pib_corrente") / prev - F.lit(1.0)).alias("crescimento"),
@@ -100,21 +103,30 @@ def gdp_growth(gdp: DataFrame) -> DataFrame:
 
 # --- QRY-06 ---------------------------------------------------------------
 def gdp_rank(gdp: DataFrame, share_digits: int = 8) -> DataFrame:
-    """Rank of each place's GDP within its year and its share of the year's total."""
-    by_year = Window.partitionBy("ano")
-    return gdp.select(
+    """Rank of each place's GDP within its year and its share of the year's total.
+
+    The total is a partial aggregation joined back; the rank's window holds
+    the places of one year, whose number the country bounds.
+    """
+    by_year = Window.partitionBy("ano").orderBy(F.col("pib_corrente").desc())
+    total = gdp.groupBy("ano").agg(F.sum("pib_corrente").alias("total"))
+    return gdp.join(total, "ano").select(
         "ano", "id_municipio", "pib_corrente",
-        F.rank().over(by_year.orderBy(F.col("pib_corrente").desc())).alias("posicao"),
-        F.round(F.try_divide(F.col("pib_corrente"), F.sum("pib_corrente").over(by_year)),
-                share_digits).alias("participacao"),                  # a zero total gives NULL, not an error
+        F.rank().over(by_year).alias("posicao"),
+        F.round(F.try_divide(F.col("pib_corrente"), F.col("total")), share_digits).alias("participacao"),   # a zero total gives NULL, not an error
     )
 
 
 # --- QRY-07 ---------------------------------------------------------------
-def gdp_per_capita(gdp: DataFrame, pop: DataFrame, key: str = "codigo_uf") -> DataFrame:
-    """GDP (R$ 1.000) per inhabitant in R$: × 1000 / population, NULL without population."""
-    side = F.broadcast(pop) if fits_broadcast(pop) else pop
-    df = gdp.join(side, on=key, how="left")
+def gdp_per_capita(gdp: DataFrame, pop: DataFrame, key: Sequence[str] = ("id_municipio", "ano")) -> DataFrame:
+    """GDP (R$ 1.000) per inhabitant in R$: × 1000 / population, NULL without population.
+
+    ``pop`` has one row per place and year; two rows of one key are an error, not two results.
+    """
+    key = list(key)
+    if pop.groupBy(*key).count().filter("count > 1").limit(1).count():
+        raise ValueError(f"population has several rows for one {key}")
+    df = gdp.join(pop.select(*key, "populacao"), on=key, how="left")
     per_head = F.col("pib_corrente") * F.lit(1000.0) / F.col("populacao").cast("double")
-    return df.select("ano", key, "id_municipio", "pib_corrente", "populacao",
+    return df.select("ano", "id_municipio", "pib_corrente", "populacao",
                      F.when(F.col("populacao") > 0, per_head).alias("pib_per_capita"))

@@ -16,8 +16,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import columns as C
-from ..operators import cleanse, classify, shape, vintage
-from ..sources import fixtures
+from ..operators import cleanse, classify, profile, shape, vintage
 
 # Establishment columns whose NULL becomes -1 (23).
 ESTAB_NULL_TO_UNKNOWN = ["bairro_sp", "bairro_fortaleza", "bairro_rj", "cnae_2_classe", "cnae_1_classe",
@@ -39,7 +38,7 @@ ESTAB_INT_COLUMNS = ["bairro_sp", "bairro_fortaleza", "bairro_rj", "cnae_2_class
 def estab_headers(df: DataFrame) -> DataFrame:
     """SRC-03 + PRJ-02 for one header layout: repeated 'Tipo Estab' copies, then the dictionary."""
     df = shape.disambiguate(df, {"Tipo Estab": ["tipo_estab", "ctg_tipo_estab"]})
-    return shape.rename_by_dict(df, fixtures.ESTAB_HEADERS)
+    return shape.rename_by_dict(df, schemas.ESTAB_HEADERS)
 
 
 def standardize_estab(layouts: Sequence[DataFrame] | DataFrame, owner: str, activity_dim: DataFrame,
@@ -55,21 +54,16 @@ def standardize_estab(layouts: Sequence[DataFrame] | DataFrame, owner: str, acti
     if isinstance(layouts, DataFrame):
         layouts = [layouts]
     df = shape.stack_vintages([estab_headers(f) for f in layouts])                    # PRJ-02, SET-01
-    present = set(df.columns)
-    before_switch = F.col("ano") < vintage.ESTAB_SWITCH_YEAR
-
-    def source(c: str):
-        col = shape.qcol(c) if c in present else F.lit(None).cast("string")
-        if c in ("cep", "subsetor_ibge"):                                             # PRJ-06
-            col = F.when(before_switch, F.lit("-1")).otherwise(col)
-        return col
+    schemas.require([c for c in ESTAB_NULL_TO_UNKNOWN if c != "sigla_uf"], df.columns, schemas.ESTAB_MAY_LACK)
+    df = vintage.harmonize_estab(df)                                                  # PRJ-06
+    source = shape.qcol
 
     def decoded(c: str):                                                              # SCL-01, SCL-02, SCL-04
         return C.null_to_unknown_col(C.sentinel_to_unknown(C.strip_ws(source(c)), C.SENTINELS))
 
     text = [c for c in ESTAB_NULL_TO_UNKNOWN if c != "sigla_uf"]
     df = df.select(
-        F.col("ano"),
+        F.col("ano"), *(["arquivo"] if "arquivo" in df.columns else []),
         C.load_date(as_of, "string").alias("curr_date"), F.lit(owner).alias("ds_owner"),  # PRJ-04
         F.coalesce(C.uf_code_int(source("id_municipio")), F.lit(-1)).alias("sigla_uf"),    # SCL-12 (raw text)
         *[decoded(c).alias(c) for c in text],
@@ -87,7 +81,7 @@ def standardize_estab(layouts: Sequence[DataFrame] | DataFrame, owner: str, acti
         else F.col(c) if c == "ano"
         else F.coalesce(C.strip_ws(c), F.lit("-1")).alias(c)
         for c in schemas.ESTAB_OUTPUT_ORDER
-    ])
+    ] + (["arquivo"] if "arquivo" in df.columns else []))
 
 
 def estab_table(df: DataFrame) -> DataFrame:
@@ -95,6 +89,12 @@ def estab_table(df: DataFrame) -> DataFrame:
     return cleanse.conform(df, schemas.SCHEMA_ESTAB_TABLE)
 
 
+def stage_estab(treated: DataFrame, batch: str) -> DataFrame:
+    """Table rows with the file they came from (``arquivo``; the batch's name for rows without one)."""
+    named = treated if "arquivo" in treated.columns else treated.withColumn("arquivo", F.lit(batch))
+    return cleanse.conform(named, T.StructType([*schemas.SCHEMA_ESTAB_TABLE.fields, T.StructField("arquivo", T.StringType())]))
+
+
 # --------------------------------------------------------------------------
 # PIPE-02 employment links
 # --------------------------------------------------------------------------
@@ -115,6 +115,7 @@ def links_stage2(staging: DataFrame, uf: str | None = None) -> DataFrame:
         df = shape.by_uf(df, uf)                                                       # FLT-01 after SCL-05
     copies = shape.disambiguation_map(df.columns, {"tipo_estab": ["tipo_estab", "tipo_estab_dsc"]})
     source = {copies.get(c, c): c for c in df.columns}                                # SRC-03 (target → source)
+    schemas.require(schemas.SCHEMA_LINKS.fieldNames(), source, schemas.LINKS_MAY_LACK)
     types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for f in schemas.SCHEMA_LINKS.fields:                                              # SCL-10
@@ -141,49 +142,70 @@ def standardize_links(raw: DataFrame, owner: str, as_of: str | None = None, uf:
 # PIPE-03 municipal GDP
 # --------------------------------------------------------------------------
 def treat_gdp(df: DataFrame, owner: str, as_of: str | None = None) -> DataFrame:
-    df = shape.drop_strict(df, fixtures.GDP_DROP)                                      # PRJ-01
-    df = shape.rename_by_dict(df, fixtures.GDP_HEADERS, case_sensitive=True)           # PRJ-02 (pandas rename)
+    df = shape.drop_strict(df, schemas.GDP_DROP)                                      # PRJ-01
+    df = shape.rename_by_dict(df, schemas.GDP_HEADERS, case_sensitive=True)           # PRJ-02 (pandas rename)
     df = shape.with_audit(df, owner, as_of=as_of, date_as="string")                    # PRJ-04
     return cleanse.trim_strings(df)                                                    # SCL-01
 
 
-def standardize_gdp(vintages: Sequence[DataFrame], owner: str, as_of: str | None = None) -> DataFrame:
+def conformed_gdp(vintages: Sequence[DataFrame], owner: str, as_of: str | None = None) -> DataFrame:
+    """The stacked workbooks in the table's schema, unsorted: what the analyses read."""
     stacked = shape.stack_vintages([treat_gdp(v, owner, as_of) for v in vintages])   # SET-01
-    return shape.sort_gdp(cleanse.conform(stacked, schemas.SCHEMA_GDP))               # SNK-06, SRT-01
+    return cleanse.conform(stacked, schemas.SCHEMA_GDP, schemas.GDP_MAY_LACK)         # SNK-06
+
+
+def standardize_gdp(vintages: Sequence[DataFrame], owner: str, as_of: str | None = None) -> DataFrame:
+    return shape.sort_gdp(conformed_gdp(vintages, owner, as_of))                      # SRT-01
 
 
 # --------------------------------------------------------------------------
 # PIPE-04 dimensions
 # --------------------------------------------------------------------------
 def build_dimension(df: DataFrame, owner: str, as_of: str | None = None) -> DataFrame:
+    """The sheet's text, trimmed, with the audit columns."""
     return cleanse.trim_strings(shape.with_audit(df, owner, as_of=as_of, date_as="string"))
 
 
+def typed_dimension(df: DataFrame, owner: str, as_of: str | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """PIPE-04: the dimension in its narrowest types (SNK-07), and the type of each column.
+
+    Text whose every value is an integer counts as an integer; other text keeps its length as ``varchar(n)``.
+    """
+    dim = build_dimension(df, owner, as_of)
+    typed = profile.integers_of_text(dim)
+    types = {r["coluna"]: r["tipo"] for r in profile.infer_narrow_types(typed, use_min=True).collect()}     # one row a column
+    return typed.select([shape.qcol(c) if types[c].startswith("varchar") else shape.qcol(c).cast(types[c]).alias(c) for c in typed.columns]), types
+
+
 # --------------------------------------------------------------------------
 # The pipelines with their I/O (staging, validation, partitioned warehouse)
 # --------------------------------------------------------------------------
+def _years_of(df: DataFrame) -> list[int]:
+    """The years of a batch (a handful of values)."""
+    return sorted(r["ano"] for r in df.select("ano").distinct().collect() if r["ano"] is not None)
+
+
 def load_links(raw: DataFrame, owner: str, staging_path: str, table_path: str, as_of: str | None = None,
-               years: tuple[int, int] | None = None, salt_buckets: int = 8,
-               reprocess_years: tuple[int, int] | None = None) -> DataFrame:
+               years: tuple[int, int] | None = None, salt_buckets: int | None = None, batch: str = "lote") -> DataFrame:
     """PIPE-02 end to end: raw → staging (SNK-01) → re-read (SRC-06) → typed
     (stage 2) → checked (SNK-05) → warehouse partitioned by (ano, uf) (SNK-02).
 
-    Every year and state is one job; a hot state is spread over
-    ``salt_buckets`` writer tasks; re-running replaces the same staging years
-    and the same (ano, uf) table partitions instead of appending twice.
-    ``reprocess_years`` limits the staging re-read to the years of this batch
-    (partition pruning), so adding one year does not rewrite all earlier ones.
-    Returns the rejected rows.
+    Staging keeps each file's rows apart (``ano``, ``arquivo``, ``uf``): a load replaces
+    its own files' slices only, so a second file of a year adds to it and a
+    re-run of one changes nothing.  ``arquivo`` comes from the reader
+    (``read_raw(file_col="arquivo")``); rows without it belong to ``batch``.  Only
+    the batch's years are typed again, from all files staged for them.  Writers
+    adapt to the size of each slice; ``salt_buckets`` fixes their number instead.
+    Returns the rejected rows, read from staging.
     """
     from ..sources import readers, sinks
 
-    sinks.append_staging(links_stage1(raw, owner, as_of), staging_path, partition_by=("ano",),
-                         salt_buckets=salt_buckets, replace_partitions=True)
-    staged = readers.read_staging(raw.sparkSession, staging_path)
-    if reprocess_years is not None:
-        staged = staged.filter(F.col("ano").between(*reprocess_years))
-    typed = links_stage2(staged)
-    ok, rejected = sinks.validate_and_partition(typed, years=years)
+    stage1 = links_stage1(raw, owner, as_of)
+    if "arquivo" not in stage1.columns:
+        stage1 = stage1.withColumn("arquivo", F.lit(batch))
+    sinks.append_staging(stage1, staging_path, partition_by=("ano", "arquivo", "uf"), salt_buckets=salt_buckets, replace_partitions=True)
+    staged = readers.read_staging(raw.sparkSession, staging_path).filter(F.col("ano").isin(_years_of(raw))).drop("arquivo")
+    ok, rejected = sinks.validate_and_partition(links_stage2(staged), years=years)
     sinks.append_table(ok, table_path, schemas.SCHEMA_LINKS, partition_by=("ano", "uf"),
                        salt_buckets=salt_buckets)
     return rejected
@@ -191,13 +213,20 @@ def load_links(raw: DataFrame, owner: str, staging_path: str, table_path: str, a
 
 def load_estab(layouts: Sequence[DataFrame] | DataFrame, owner: str, activity_dim: DataFrame, size_dim: DataFrame,
                table_path: str, as_of: str | None = None, first_year: int = 2010, range_years: int = 3,
-               last_year: int = 2027, salt_buckets: int = 8) -> DataFrame:
-    """PIPE-01 end to end: treated rows conformed to the table (SNK-06), checked
-    against the table's 3-year ranges (SNK-04) and written by year, replacing
-    only the years present (SNK-02).  Returns the rows outside every range."""
-    from ..sources import sinks
+               last_year: int = 2027, salt_buckets: int | None = None, staging_path: str | None = None,
+               batch: str = "lote") -> DataFrame:
+    """PIPE-01 end to end: treated rows conformed to the table (SNK-06), staged by
+    (``ano``, ``arquivo``) next to the table, checked against the table's 3-year ranges
+    (SNK-04) and written by year (SNK-02).  The batch's years are rebuilt from
+    all their staged files.  Returns the rows outside every range, read from staging."""
+    from ..sources import readers, sinks
 
-    table = estab_table(standardize_estab(layouts, owner, activity_dim, size_dim, as_of))
+    staging = staging_path or table_path.rstrip("/") + "_staging"
+    treated = standardize_estab(layouts, owner, activity_dim, size_dim, as_of)
+    sinks.append_staging(stage_estab(treated, batch), staging, partition_by=("ano", "arquivo"), salt_buckets=salt_buckets, replace_partitions=True)
+    frames = [layouts] if isinstance(layouts, DataFrame) else layouts
+    table = readers.read_staging(treated.sparkSession, staging).filter(F.col("ano").isin(sorted({y for f in frames for y in _years_of(f)})))
+    table = cleanse.conform(table, schemas.SCHEMA_ESTAB_TABLE)
     inside, outside = sinks.range_bucket(table, "ano", first_year, range_years, last_year)
     sinks.append_table(inside.select(*schemas.SCHEMA_ESTAB_TABLE.fieldNames()), table_path,
                        schemas.SCHEMA_ESTAB_TABLE, partition_by=("ano",), salt_buckets=salt_buckets)
@@ -211,7 +240,7 @@ def load_gdp(vintages: Sequence[DataFrame], owner: str, table_path: str, as_of:
     (SRT-01 without a single-task global sort); returns the rows read back."""
     from ..sources import sinks
 
-    gdp = cleanse.conform(shape.stack_vintages([treat_gdp(v, owner, as_of) for v in vintages]), schemas.SCHEMA_GDP)
+    gdp = conformed_gdp(vintages, owner, as_of)
     ordered = shape.sorted_for_write(gdp, ["ano", "sigla_uf", "id_municipio"],
                                      partitions or gdp.sparkSession.sparkContext.defaultParallelism)
     return sinks.replace_table(ordered, table_path)

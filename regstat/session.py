@@ -34,12 +34,15 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str =
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a private one made
-    and registered, so lineage cuts and scratch tables still have a home.
+    Only in local mode may the session name none: a private one is then made
+    and registered.  On a cluster a folder of the driver's machine is out of
+    the executors' sight, so a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not root:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="regstat-ckpt-"))
         root = spark.sparkContext.getCheckpointDir()

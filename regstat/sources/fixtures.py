@@ -20,7 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import dims
-from ..functions.columns import SENTINELS_LINKS
+from ..schemas import ESTAB_HEADERS, GDP_DROP, GDP_HEADERS
+from ..functions.columns import SENTINELS_LINKS, normalize_name
 from ..operators.vintage import MONTHS
 
 
@@ -123,56 +124,6 @@ def estab_exprs(d: Dialect) -> list[tuple[str, str]]:
     ]
 
 
-# Establishment header dictionary (both layouts) → target names.
-ESTAB_HEADERS = {
-    "BAIRRO_SP": "bairro_sp",
-    "BAIRRO FORT": "bairro_fortaleza",
-    "BAIRRO_RJ": "bairro_rj",
-    "CLAS CNAE 20": "cnae_2_classe",
-    "CLAS CNAE 95": "cnae_1_classe",
-    "DISTRITO_SP": "distrito_sp",
-    "EST CLT OUT": "qtd_vinc_clt",
-    "ESTOQUE": "qtd_vinc_ativos",
-    "ESTOQUE ESTA": "qtd_vinc_estat",
-    "IND ATIV ANO": "ind_ativ_ano",
-    "IND CEI VINC": "ind_cei_vinculado",
-    "IND PAT": "ind_pat",
-    "IND RAIS NEG": "ind_rais_negativa",
-    "IND SIMPLES": "ind_simples",
-    "MUNICIPIO": "id_municipio",
-    "NAT JURIDICA": "nat_jur",
-    "REG ADM DF": "regiao_adm_df",
-    "SB CLAS 20": "cnae_2_subclasse",
-    "TAMESTAB": "tam_estab",
-    "TIPO ESTBL": "tipo_estab",
-    "UF": "sigla_uf",
-    "IBGE Subsetor": "subsetor_ibge",
-    "Bairros SP": "bairro_sp",
-    "Bairros Fortaleza": "bairro_fortaleza",
-    "Bairros RJ": "bairro_rj",
-    "CNAE 2.0 Classe": "cnae_2_classe",
-    "CNAE 95 Classe": "cnae_1_classe",
-    "Distritos SP": "distrito_sp",
-    "Qtd Vínculos CLT": "qtd_vinc_clt",
-    "Qtd Vínculos Ativos": "qtd_vinc_ativos",
-    "Qtd Vínculos Estatutários": "qtd_vinc_estat",
-    "Ind Atividade Ano": "ind_ativ_ano",
-    "Ind CEI Vinculado": "ind_cei_vinculado",
-    "Ind Estab Participa PAT": "ind_pat",
-    "Ind Rais Negativa": "ind_rais_negativa",
-    "Ind Simples": "ind_simples",
-    "Município": "id_municipio",
-    "Natureza Jurídica": "nat_jur",
-    "Regiões Adm DF": "regiao_adm_df",
-    "CNAE 2.0 Subclasse": "cnae_2_subclasse",
-    "Tamanho Estabelecimento": "tam_estab",
-    "Tipo Estab": "tipo_estab",
-    "Tipo Estab.1": "ctg_tipo_estab",
-    "Tipo Estab19": "tipo_estab",
-    "Tipo Estab20": "ctg_tipo_estab",
-    "CEP Estab": "cep",
-    "CEP Estb": "cep",
-}
 
 # The two header layouts, in file column order (older files have no CEP,
 # subsector or type description; newer ones repeat "Tipo Estab").
@@ -202,15 +153,8 @@ def _layout_names(layout: list[str]) -> list[tuple[str, str]]:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  The fact tables of the test data are single Parquet files
-    (one split); when a table has fewer files than there are cores it is spread
-    over the cores.  A large table (many files, many splits) is left alone."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in ("orders", "lineitem") and len(df.inputFiles()) < cores:
-        df = df.repartition(cores)
-    return df
-
+    """A driver table; its files and row groups decide the splits."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_estab_canonical(spark: SparkSession, sf_dir: str, orders_filter: str | None = None) -> DataFrame:
@@ -374,42 +318,24 @@ def raw_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.selectExpr(*cols, "ano")
 
 
+def in_vintage(raw_header: str, year: int) -> bool:
+    """Whether a year's extract has the column (Appendix A of the blueprint)."""
+    name = normalize_name(raw_header)
+    if name in ("tipo_salario", "vl_salario_contratual"):
+        return year == 2018
+    if name in ("ind_trab_parcial", "ind_trab_intermitente"):
+        return year >= 2017
+    if name == "ano_chegada_brasil":
+        return year >= 2016
+    if name.startswith("vl_rem_"):
+        return year >= 2020 if name.endswith("_sc") else 2015 <= year <= 2019
+    return name != "ibge_subsetor" or year >= 2015
+
+
 # --------------------------------------------------------------------------
 # Municipal GDP (from the 5-table join), two workbook vintages.
 # --------------------------------------------------------------------------
-# The 24 workbook columns the GDP load drops.
-GDP_DROP = ["Região Metropolitana", "Código da Mesorregião", "Nome da Mesorregião",
-            "Código da Microrregião", "Nome da Microrregião", "Código da Região Geográfica Imediata",
-            "Nome da Região Geográfica Imediata", "Município da Região Geográfica Imediata",
-            "Código da Região Geográfica Intermediária", "Nome da Região Geográfica Intermediária",
-            "Município da Região Geográfica Intermediária", "Código Concentração Urbana",
-            "Nome Concentração Urbana", "Tipo Concentração Urbana", "Código Arranjo Populacional",
-            "Nome Arranjo Populacional", "Hierarquia Urbana", "Hierarquia Urbana (principais categorias)",
-            "Código da Região Rural", "Nome da Região Rural", "Região rural (segundo classificação do núcleo)",
-            "Amazônia Legal", "Semiárido", "Cidade-Região de São Paulo"]
-
-# Workbook header → GDP table column.
-GDP_HEADERS = {
-    "Ano": "ano",
-    "Código da Grande Região": "codigo_grande_regiao",
-    "Nome da Grande Região": "nome_grande_regiao",
-    "Código da Unidade da Federação": "codigo_uf",
-    "Sigla da Unidade da Federação": "sigla_uf",
-    "Nome da Unidade da Federação": "nome_uf",
-    "Código do Município": "id_municipio",
-    "Nome do Município": "nome_municipio",
-    "Valor adicionado bruto da Agropecuária, \na preços correntes\n(R$ 1.000)": "vab_agropecuaria",
-    "Valor adicionado bruto da Indústria,\na preços correntes\n(R$ 1.000)": "vab_industria",
-    "Valor adicionado bruto dos Serviços,\na preços correntes \n- exceto Administração, defesa, educação e saúde públicas e seguridade social\n(R$ 1.000)": "vab_servicos",
-    "Valor adicionado bruto da Administração, defesa, educação e saúde públicas e seguridade social, \na preços correntes\n(R$ 1.000)": "vab_servicos_publicos",
-    "Valor adicionado bruto total, \na preços correntes\n(R$ 1.000)": "vab_total",
-    "Impostos, líquidos de subsídios, sobre produtos, \na preços correntes\n(R$ 1.000)": "impostos_liquidos_sobre_produtos",
-    "Produto Interno Bruto, \na preços correntes\n(R$ 1.000)": "pib_corrente",
-    "Produto Interno Bruto per capita, \na preços correntes\n(R$ 1,00)": "pib_per_capita_corrente",
-    "Atividade com maior valor adicionado bruto": "atividade_principal_vab",
-    "Atividade com segundo maior valor adicionado bruto": "atividade_2_vab",
-    "Atividade com terceiro maior valor adicionado bruto": "atividade_3_vab",
-}
+
 GDP_VINTAGE_SPLIT = 2010   # first year of the second workbook
 GDP_YEAR_SHIFT = 12        # order year 1995..2001 → GDP year 2007..2013
 

@@ -39,27 +39,99 @@ def cp1252_fix_name(name: str) -> str:
 
 
 # --- SRC-01 / SRC-02 ------------------------------------------------------
-def read_raw(spark: SparkSession, path: str | Sequence[str], encoding: str = "cp1252", sep: str = ";",
-             year_from_path: str | None = None) -> DataFrame:
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Data files under paths, folders or globs (file names only, through Hadoop's file systems)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = []
+    for p in [path] if isinstance(path, str) else path:
+        root = jvm.org.apache.hadoop.fs.Path(p)
+        fs = root.getFileSystem(conf)
+        for status in fs.globStatus(root) or []:
+            files = fs.listFiles(status.getPath(), True)
+            while files.hasNext():
+                found.append(files.next().getPath().toString())
+    return sorted(f for f in found if not any(part[:1] in "_." for part in f.rsplit("/", 1)[1:]) and "/_temporary/" not in f)
+
+
+def header_of(spark: SparkSession, file: str, encoding: str) -> str:
+    """The header record of a file: its first line, and the next ones while a quote is open ('' for an empty file)."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path), encoding))
+    try:
+        header = reader.readLine() or ""
+        while header.count('"') % 2:
+            line = reader.readLine()
+            if line is None:
+                break
+            header += "\n" + line
+        return header
+    finally:
+        reader.close()
+
+
+def _java_encoding(encoding: str) -> str:
+    return "ISO-8859-1" if encoding.lower().replace("_", "-") in ("cp1252", "windows-1252") else encoding
+
+
+def _base_path(path: str) -> str:
+    """The folder below which ``name=value`` folders are columns."""
+    parts = path.rstrip("/").split("/")
+    plain = next((i for i, p in enumerate(parts) if any(c in p for c in "*?[{") or "=" in p), len(parts))
+    return "/".join(parts[:plain])
+
+
+def read_raw(spark: SparkSession, path: str | Sequence[str], encoding: str = "cp1252", sep: str = ";", year_from_name: str | None = None,
+             multi_line: bool = False, file_col: str | None = None, treat: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Read ``sep``-delimited text with a header, every column a string.
 
+    Each file is read by its own header: files are grouped by their header
+    record, every group is one scan, and the groups are stacked by column name
+    (a column that a group lacks is NULL).  ``treat`` runs on each group before,
+    so headers that only differ in spelling can be brought together.
+
     Spark's CSV source refuses ``cp1252``; it is read as ISO-8859-1 (same
     bytes outside 0x80–0x9F) and the 27 differing characters are translated
-    back, in the same projection.  ``year_from_path`` is a regex with one
-    group that pulls the file's year out of its path into column ``ano``.
+    back, in the same projection.  ``year_from_name`` is a regex with one group
+    that pulls the year out of the file's *name* into column ``ano``; a name
+    without a year is an error that names the file.  ``multi_line`` is for
+    exports with line breaks inside quoted headers or values.
     """
-    enc = encoding.lower().replace("_", "-")
-    java_enc = "ISO-8859-1" if enc in ("cp1252", "windows-1252") else encoding
-    df = (spark.read.option("sep", sep).option("header", "true").option("encoding", java_enc)
-          .option("inferSchema", "false").option("mode", "PERMISSIVE").csv(path))
+    java_enc = _java_encoding(encoding)
+    groups: dict[str, list[str]] = {}
+    for file in list_files(spark, path):
+        header = header_of(spark, file, java_enc)
+        if header:
+            groups.setdefault(header, []).append(file)
+    if not groups:
+        raise ValueError(f"no file with a header under {path}")
+    frames = [_read_group(spark, files, path, encoding, java_enc, sep, year_from_name, multi_line, file_col) for files in groups.values()]
+    frames = [treat(f) for f in frames] if treat else frames
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+def _read_group(spark, files, path, encoding, java_enc, sep, year_from_name, multi_line, file_col) -> DataFrame:
+    reader = (spark.read.option("sep", sep).option("header", "true").option("encoding", java_enc)
+              .option("inferSchema", "false").option("mode", "PERMISSIVE").option("multiLine", str(multi_line).lower()))
+    base = _base_path(path if isinstance(path, str) else path[0])
+    if any("=" in f.rsplit("/", 1)[0] for f in files) and base:
+        reader = reader.option("basePath", base)
+    df = reader.csv(files)
     fix = java_enc != encoding
     cols = []
     for f in df.schema.fields:
         text = isinstance(f.dataType, T.StringType)
         name = cp1252_fix_name(f.name) if fix else f.name
         cols.append((cp1252_fix(f.name) if fix and text else qcol(f.name)).alias(name))
-    if year_from_path and "ano" not in df.columns:      # ano=YYYY folders already give it
-        cols.append(F.regexp_extract(F.col("_metadata.file_path"), year_from_path, 1).cast("int").alias("ano"))
+    if year_from_name and "ano" not in df.columns:      # ano=YYYY folders already give it
+        name = F.col("_metadata.file_name")
+        year = F.regexp_extract(name, year_from_name, 1)
+        cols.append(F.when(year == "", F.raise_error(F.concat(F.lit("no year in the file name "), name))).otherwise(year).cast("int").alias("ano"))
+    if file_col:
+        cols.append(F.col("_metadata.file_name").alias(file_col))
     return df.select(cols)
 
 
@@ -100,7 +172,8 @@ def read_staging(spark: SparkSession, path: str, uf: str | None = None) -> DataF
     if "_id" in df.columns:
         df = df.drop("_id")
     if uf is not None:
-        df = df.filter(F.col("uf") == F.lit(uf))
+        mine = F.col("uf") == F.lit(uf)
+        df = df.filter(mine | F.col("uf").isNull() if uf == "NI" else mine)     # staging keeps an unknown state as NULL
     return df
 
 
@@ -149,7 +222,6 @@ def year_slices(spark: SparkSession, first: int, last: int) -> DataFrame:
     return years.filter(C.valid_year(F.col("ano").cast("string")))
 
 
-def in_years(df: DataFrame, years: DataFrame, col: str = "ano") -> DataFrame:
-    """Keep rows of the chosen years; on a table partitioned by year this prunes
-    partitions (the small year list is broadcast to a semi join)."""
-    return df.join(F.broadcast(years.select(F.col("ano").alias(col))), on=col, how="left_semi")
+def in_years(df: DataFrame, first: int, last: int, col: str = "ano") -> DataFrame:
+    """Keep rows of the valid years from ``first`` to ``last``: a range on the column, which prunes partitions and reaches the scan."""
+    return df.filter(F.col(col).between(max(first, 2000), min(last, 2099)))

@@ -88,29 +88,38 @@ def replace_table(df: DataFrame, path: str) -> int:
 
 
 # --- SNK-04 ---------------------------------------------------------------
+def flag_range(df: DataFrame, col: str = "ano", start: int = 2010, width: int = 3, end: int = 2027) -> DataFrame:
+    """``aceito`` (the row lies in a range) and the bounds of its ``width``-year range, in the same pass as the rows."""
+    c = qcol(col)
+    inside = F.coalesce(c.between(start, end), F.lit(False))
+    lo = F.when(inside, (F.lit(start) + F.lit(width) * F.floor((c - F.lit(start)) / F.lit(width))).cast("int"))
+    return df.select("*", inside.alias("aceito"), lo.alias(f"{col}_de"), (lo + F.lit(width - 1)).alias(f"{col}_ate"))
+
+
 def range_bucket(df: DataFrame, col: str = "ano", start: int = 2010, width: int = 3,
                  end: int = 2027) -> tuple[DataFrame, DataFrame]:
     """Route rows to ``width``-year ranges [start, end]; rows outside are split off.
 
-    Returns (in range with ``<col>_de``/``<col>_ate`` bounds, out of range).
+    Returns (in range with ``<col>_de``/``<col>_ate`` bounds, out of range); use :func:`flag_range` to treat both in one pass.
     """
-    c = qcol(col)
-    inside = c.between(start, end)
-    lo = (F.lit(start) + F.lit(width) * F.floor((c - F.lit(start)) / F.lit(width))).cast("int")
-    ok = df.filter(inside).select("*", lo.alias(f"{col}_de"), (lo + F.lit(width - 1)).alias(f"{col}_ate"))
-    bad = df.filter(~F.coalesce(inside, F.lit(False)))
-    return ok, bad
+    flagged = flag_range(df, col, start, width, end)
+    return flagged.filter("aceito").drop("aceito"), flagged.filter("not aceito").select(*[qcol(c) for c in df.columns])
 
 
 # --- SNK-05 ---------------------------------------------------------------
-def validate_and_partition(df: DataFrame, uf_col: str = "uf", years: tuple[int, int] | None = None
-                           ) -> tuple[DataFrame, DataFrame]:
-    """Split rows by the table's constraint: state in the 28 values (NULL passes,
-    as a SQL CHECK lets it), and optionally the year inside ``years``."""
+def flag_valid(df: DataFrame, uf_col: str = "uf", years: tuple[int, int] | None = None) -> DataFrame:
+    """``aceito``: the state is one of the 28 values (NULL passes, as a SQL CHECK lets it) and the year, if asked, inside ``years``."""
     ok = F.coalesce(qcol(uf_col).isin(dims.UF_VALID), F.lit(True))
     if years is not None:
         ok = ok & F.coalesce(F.col("ano").between(*years), F.lit(False))
-    return df.filter(ok), df.filter(~ok)
+    return df.select("*", ok.alias("aceito"))
+
+
+def validate_and_partition(df: DataFrame, uf_col: str = "uf", years: tuple[int, int] | None = None
+                           ) -> tuple[DataFrame, DataFrame]:
+    """Split rows by the table's constraint; use :func:`flag_valid` to treat both sides in one pass."""
+    flagged = flag_valid(df, uf_col, years)
+    return flagged.filter("aceito").drop("aceito"), flagged.filter("not aceito").drop("aceito")
 
 
 # --- SNK-08 ---------------------------------------------------------------
@@ -123,5 +132,5 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-__all__ = ["append_staging", "append_table", "replace_table", "range_bucket", "validate_and_partition",
+__all__ = ["append_staging", "append_table", "replace_table", "range_bucket", "validate_and_partition", "flag_range", "flag_valid",
            "write_dimension", "write_partitioned", "salted", "check_schema", "read_back"]

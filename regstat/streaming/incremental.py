@@ -15,21 +15,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.readers import cp1252_fix, cp1252_fix_name
+from ..sources.readers import _java_encoding, cp1252_fix, cp1252_fix_name, header_of, list_files
+
+KEPT_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
 
 
 def load_new_files(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, schema: T.StructType,
                    fmt: str = "csv", encoding: str = "cp1252", sep: str = ";",
                    transform: Callable[[DataFrame], DataFrame] | None = None,
                    partition_by: Sequence[str] = (), max_files_per_trigger: int | None = None,
-                   timeout_s: int = 3600) -> int:
-    """Load files of ``in_dir`` not seen before into Parquet at ``out_dir``.
+                   timeout_s: int | None = None) -> int:
+    """Load files of ``in_dir`` not seen before into Parquet at ``out_dir``, however old they are.
 
-    Returns the number of input rows processed by this run.
+    A text file whose header is not the schema's is refused before anything is
+    loaded.  Returns the number of input rows processed by this run; a run is
+    only stopped by time if ``timeout_s`` is given.
     """
-    enc = encoding.lower()
-    java_enc = "ISO-8859-1" if enc in ("cp1252", "windows-1252") else encoding
-    reader = spark.readStream.schema(schema)
+    java_enc = _java_encoding(encoding)
+    if fmt == "csv":
+        check_headers(spark, in_dir, schema, java_enc, sep)
+    reader = spark.readStream.schema(schema).option("maxFileAge", "36500d")     # late files carry old times
     if fmt == "csv":
         reader = reader.option("sep", sep).option("header", "true").option("encoding", java_enc)
     if max_files_per_trigger:
@@ -45,11 +50,33 @@ def load_new_files(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: s
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start()
-    q.awaitTermination(timeout_s)
+    # every trigger's progress is kept until this run has counted its rows
+    kept = spark.conf.get(KEPT_PROGRESS, "100")
+    spark.conf.set(KEPT_PROGRESS, str(2**31 - 1))
+    try:
+        q = w.start()
+        if timeout_s is None:
+            q.awaitTermination()
+        else:
+            q.awaitTermination(timeout_s)
+        rows = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    finally:
+        spark.conf.set(KEPT_PROGRESS, kept)
     if q.isActive:
         q.stop()
         raise TimeoutError("incremental load did not finish")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return rows
+
+
+def check_headers(spark: SparkSession, in_dir: str, schema: T.StructType, encoding: str, sep: str) -> None:
+    """Every text file's header must be the schema's columns in order (a repeated header carries its index, as Spark's reader names it)."""
+    for file in list_files(spark, in_dir):
+        fields = [c.strip('"') for c in header_of(spark, file, encoding).split(sep)]
+        folded = [c.lower() for c in fields]
+        named = [f"{c}{i}" if folded.count(c.lower()) > 1 else c for i, c in enumerate(fields)]
+        folders = {p.split("=", 1)[0] for p in file.split("/")[:-1] if "=" in p}
+        want = [c for c in schema.fieldNames() if c not in folders]
+        if fields != [""] and [c.lower() for c in named] != [c.lower() for c in want]:
+            raise ValueError(f"{file}: its header is not this layout's; it differs in {sorted(set(named) ^ set(want)) or 'the order'}")

@@ -2,9 +2,11 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from regstat.operators import shape
 from regstat.sources import readers, sinks
 from regstat.streaming.incremental import load_new_files
 
@@ -38,10 +40,29 @@ def test_read_latin1_and_duplicate_headers(spark, tmpdir_fresh):
     assert out.columns == ["tipo_estab", "Município", "ctg_tipo_estab"]
 
 
-def test_year_from_path(spark, tmpdir_fresh):
-    write_bytes(f"{tmpdir_fresh}/ESTB2015.txt", b"A;B\n1;2\n")
-    df = readers.read_raw(spark, f"{tmpdir_fresh}/ESTB2015.txt", year_from_path=r"(20\d{2})")
-    assert one(df)["ano"] == 2015
+def test_year_from_the_file_name_only(spark, tmpdir_fresh):
+    write_bytes(f"{tmpdir_fresh}/run2024/ESTB2015.txt", b"A;B\n1;2\n")
+    df = readers.read_raw(spark, f"{tmpdir_fresh}/run2024/ESTB2015.txt", year_from_name=r"(20\d{2})", file_col="arquivo")
+    assert (one(df)["ano"], one(df)["arquivo"]) == (2015, "ESTB2015.txt")
+    write_bytes(f"{tmpdir_fresh}/run2024/notes.txt", b"A;B\n1;2\n")
+    with pytest.raises(Exception, match="notes.txt"):
+        readers.read_raw(spark, f"{tmpdir_fresh}/run2024", year_from_name=r"(20\d{2})").collect()
+
+
+def test_each_file_is_read_by_its_own_header(spark, tmpdir_fresh):
+    write_bytes(f"{tmpdir_fresh}/ano=2014/a.txt", "Município;Idade;Vl Remun\n1;30;10,00\n".encode("cp1252"))
+    write_bytes(f"{tmpdir_fresh}/ano=2018/b.txt", "Município;Tipo Salário;Idade;Vl Remun\n2;3;40;20,00\n".encode("cp1252"))
+    write_bytes(f"{tmpdir_fresh}/ano=2019/c.txt", "Idade;Município;Vl Remun\n50;3;30,00\n".encode("cp1252"))
+    write_bytes(f"{tmpdir_fresh}/ano=2019/empty.txt", b"")
+    rows = readers.read_raw(spark, tmpdir_fresh, treat=shape.normalize_headers).orderBy("ano").collect()
+    got = [(r["ano"], r["municipio"], r["idade"], r["vl_remun"], r["tipo_salario"]) for r in rows]
+    assert got == [(2014, "1", "30", "10,00", None), (2018, "2", "40", "20,00", "3"), (2019, "3", "50", "30,00", None)]
+
+
+def test_headers_with_line_breaks(spark, tmpdir_fresh):
+    write_bytes(f"{tmpdir_fresh}/g.txt", 'Ano;"Valor,\na preços";x\n2010;5;"a\nb"\n'.encode())
+    df = readers.read_raw(spark, f"{tmpdir_fresh}/g.txt", encoding="UTF-8", multi_line=True)
+    assert df.columns == ["Ano", "Valor,\na preços", "x"] and tuple(one(df)) == ("2010", "5", "a\nb")
 
 
 def test_select_files_rules(spark):
@@ -121,6 +142,30 @@ def test_incremental_load_skips_seen_files(spark, tmpdir_fresh):
     assert rows.filter(F.col("a") == "1").collect()[0]["b"] == "Município"
 
 
+def test_incremental_load_takes_late_files_and_counts_all(spark, tmpdir_fresh):
+    inbox, out, ckpt = f"{tmpdir_fresh}/in", f"{tmpdir_fresh}/out", f"{tmpdir_fresh}/ckpt"
+    schema = T.StructType([T.StructField("a", T.StringType())])
+    write_bytes(f"{inbox}/now.txt", b"a\n1\n")
+    assert load_new_files(spark, inbox, out, ckpt, schema) == 1
+    write_bytes(f"{inbox}/late.txt", b"a\n2\n3\n")
+    old = os.path.getmtime(f"{inbox}/now.txt") - 30 * 86400
+    os.utime(f"{inbox}/late.txt", (old, old))
+    assert load_new_files(spark, inbox, out, ckpt, schema) == 2
+    for i in range(104):                                     # more triggers than Spark's default progress list
+        write_bytes(f"{inbox}/many{i}.txt", b"a\n9\n")
+    assert load_new_files(spark, inbox, out, ckpt, schema, max_files_per_trigger=1) == 104
+    assert spark.read.parquet(out).count() == 107
+
+
+def test_incremental_load_refuses_another_layout(spark, tmpdir_fresh):
+    inbox = f"{tmpdir_fresh}/in"
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    write_bytes(f"{inbox}/f1.txt", b"a;b\n1;2\n")
+    write_bytes(f"{inbox}/f2.txt", b"b;a\n1;2\n")
+    with pytest.raises(ValueError, match="f2.txt"):
+        load_new_files(spark, inbox, f"{tmpdir_fresh}/out", f"{tmpdir_fresh}/ckpt", schema)
+
+
 def test_staging_state_filter_prunes_partitions(spark, tmpdir_fresh):
     df = spark.createDataFrame([(2015, "SP", 1), (2015, "MG", 2), (2016, "SP", 3)], "ano int, uf string, v int")
     sinks.write_partitioned(df, f"{tmpdir_fresh}/st", partition_by=("ano", "uf"), mode="overwrite")
@@ -130,6 +175,31 @@ def test_staging_state_filter_prunes_partitions(spark, tmpdir_fresh):
     assert sorted(r["v"] for r in got.collect()) == [1, 3]
 
 
+def test_unknown_state_is_null_in_staging(spark, tmpdir_fresh):
+    df = spark.createDataFrame([(2015, "SP", 1), (2015, None, 2)], "ano int, uf string, v int")
+    sinks.write_partitioned(df, f"{tmpdir_fresh}/st", partition_by=("ano", "uf"), mode="overwrite")
+    assert [r["v"] for r in readers.read_staging(spark, f"{tmpdir_fresh}/st", uf="NI").collect()] == [2]
+
+
+def test_second_file_of_a_year_adds_and_a_rerun_changes_nothing(spark, tmpdir_fresh):
+    from regstat import dims
+    from regstat.plans import flows
+    from regstat.sources import fixtures as fx
+    raw = fx.raw_links(spark, "/root/testdata/sf0.001").filter("ano = 2018").withColumn("arquivo", F.concat(F.lit("f"), F.col("Idade").cast("int") % 2))
+    stg, tb = f"{tmpdir_fresh}/stg", f"{tmpdir_fresh}/tb"
+    n = {f: raw.filter(F.col("arquivo") == f).count() for f in ("f0", "f1")}
+    for f, want in (("f0", n["f0"]), ("f1", n["f0"] + n["f1"]), ("f0", n["f0"] + n["f1"])):
+        flows.load_links(raw.filter(F.col("arquivo") == f), "t", stg, tb, "2024-01-31")
+        assert spark.read.parquet(stg).count() == spark.read.parquet(tb).count() == want
+    assert "uf" in spark.read.parquet(stg).inputFiles()[0] and n["f0"] and n["f1"]
+    estab = fx.raw_estab_layouts(spark, "/root/testdata/sf0.001")[1].filter("ano = 2015")
+    act, size, out = dims.activity_dimension(spark, fx.fixture_codes()), dims.size_dimension(spark), f"{tmpdir_fresh}/estab"
+    half = F.pmod(F.xxhash64(*[shape.qcol(c) for c in estab.columns]), F.lit(2))
+    for i in (0, 1, 0):
+        flows.load_estab(estab.filter(half == i), "t", act, size, out, "2024-01-31", batch=f"b{i}")
+    assert spark.read.parquet(out).count() == estab.count()
+
+
 def test_load_links_end_to_end(spark, tmpdir_fresh):
     from regstat.plans import flows
     from regstat.sources import fixtures as fx
@@ -164,7 +234,7 @@ def test_load_links_reprocesses_only_the_batch_years(spark, tmpdir_fresh):
     stg, tb = f"{tmpdir_fresh}/stg", f"{tmpdir_fresh}/tb"
     flows.load_links(raw.filter("ano <= 2016"), "t", stg, tb, "2024-01-31", salt_buckets=2)
     before = {r["ano"]: r["n"] for r in spark.read.parquet(tb).groupBy("ano").agg(F.count("*").alias("n")).collect()}
-    flows.load_links(raw.filter("ano > 2016"), "t", stg, tb, "2024-01-31", salt_buckets=2, reprocess_years=(2017, 2020))
+    flows.load_links(raw.filter("ano > 2016"), "t", stg, tb, "2024-01-31", salt_buckets=2)
     after = {r["ano"]: r["n"] for r in spark.read.parquet(tb).groupBy("ano").agg(F.count("*").alias("n")).collect()}
     assert {y: n for y, n in after.items() if y <= 2016} == before                 # earlier years kept as they were
     assert sum(after.values()) == raw.count()

@@ -52,9 +52,45 @@ def test_null_to_unknown_keeps_types(spark):
 def test_conform_try_casts_and_orders(spark):
     df = spark.createDataFrame([("40000", "7", "x")], "b string, a string, extra string")
     schema = schemas._struct([("a", schemas._S), ("b", schemas._S), ("c", schemas._I)])
-    out = cleanse.conform(df, schema)
+    out = cleanse.conform(df, schema, may_lack=("c",))
     assert out.columns == ["a", "b", "c"]
     assert tuple(one(out)) == (7, None, None)            # smallint overflow → NULL
+    with pytest.raises(ValueError, match="'c'"):
+        cleanse.conform(df, schema)
+
+
+def test_missing_columns_are_named(spark):
+    from regstat.plans import flows
+    from regstat.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    links = fx.raw_links(spark, sf)
+    with pytest.raises(ValueError, match="vl_remun_dezembro_nom"):
+        flows.links_stage1(links.drop("Vl Remun Dezembro Nom"), "t")
+    with pytest.raises(ValueError, match="raca_cor"):
+        flows.standardize_links(links.drop("Raça Cor"), "t")
+    flows.standardize_links(links.drop("Tipo Salário"), "t")                      # a vintage may lack it
+    estab = fx.raw_estab_layouts(spark, sf)[0].select("ano", "MUNICIPIO", "UF", "ESTOQUE")
+    with pytest.raises(ValueError, match="nat_jur"):
+        flows.standardize_estab(estab, "t", dims.activity_dimension(spark, ["0112101"]), dims.size_dimension(spark))
+
+
+def test_gdp_growth_needs_the_year_before_and_population_one_row(spark):
+    from regstat.plans import analyses
+    gdp = spark.createDataFrame([(2018, 1, 10.0), (2021, 1, 20.0), (2022, 1, 30.0)], "ano long, id_municipio long, pib_corrente double")
+    assert {r["ano"]: r["crescimento"] for r in analyses.gdp_growth(gdp).collect()} == {2018: None, 2021: None, 2022: 0.5}
+    pop = spark.createDataFrame([(1, 2018, 5), (1, 2021, 8)], "id_municipio long, ano long, populacao long")
+    got = {r["ano"]: r["pib_per_capita"] for r in analyses.gdp_per_capita(gdp, pop).collect()}
+    assert got == {2018: 2000.0, 2021: 2500.0, 2022: None}
+    with pytest.raises(ValueError, match="several rows"):
+        analyses.gdp_per_capita(gdp, pop.unionByName(pop))
+
+
+def test_dimension_types_follow_the_values(spark):
+    from regstat.plans import flows
+    df = spark.createDataFrame([("1", " a", "01", "70000"), ("32766", "bcd", "2", "-5")], "c string, d string, z string, n string")
+    typed, types = flows.typed_dimension(df, "own", "2024-01-31")
+    assert types == {"c": "smallint", "d": "varchar(3)", "z": "varchar(2)", "n": "int", "curr_date": "varchar(10)", "ds_owner": "varchar(3)"}
+    assert dict(typed.dtypes)["c"] == "smallint" and typed.count() == 2
 
 
 def _vintage_expected(target, year, src):
@@ -75,7 +111,8 @@ def test_links_vintage_matrix(spark, year):
     row = {"ano": year, "vl_rem_maio_cc": "10,5", "vl_rem_maio_sc": "20,25", "ano_chegada_brasil": "1988",
            "ind_trab_parcial": "1", "tipo_salario": "3", "ibge_subsetor": "7", "vl_salario_contratual": "99,9",
            "bairros_sp": "{ñ class}"}
-    df = spark.createDataFrame([row])
+    needed = {r.source for rules in vintage.links_rules().values() for r in rules if r.source} - set(schemas.LINKS_MAY_LACK)
+    df = spark.createDataFrame([row]).select("*", *[F.lit(None).cast("string").alias(c) for c in sorted(needed - set(row))])
     r = one(vintage.harmonize_links(df, "ano"))
     src = {"cc": 10.5, "sc": 20.25, "text": None, "money": 99.9}
     assert r["vl_rem_maio_cc"] == _vintage_expected("vl_rem_maio_cc", year, src)
@@ -121,10 +158,17 @@ def test_lookup_unlisted_code_is_unknown(spark):
     assert got == {"0112101": dims.AGRO, "0112199": "-1", "-1": "-1"}     # hard point 5
 
 
-def test_lookup_checks_size_before_broadcast(spark):
-    big = spark.range(10).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("v"))
-    assert classify.fits_broadcast(big, max_rows=10)
-    assert not classify.fits_broadcast(big, max_rows=9)
+def test_only_fixed_lists_are_broadcast_by_force(spark):
+    frame = spark.range(10).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("v"))
+    assert not classify.fits_broadcast(frame)
+    assert classify.fits_broadcast(dims.bounded(frame, 10), max_rows=10)
+    assert not classify.fits_broadcast(dims.bounded(frame, 10), max_rows=9)
+
+
+def test_integer_code_list_is_padded(spark):
+    codes = spark.createDataFrame([(111301,), (4711302,)], "cnae_2_subclasse int")
+    got = {r["cnae_2_subclasse"]: r["setor_ibge"] for r in dims.activity_dimension(spark, codes).collect()}
+    assert got["0111301"] == dims.AGRO and got["4711302"] == dims.COMERCIO
 
 
 def test_porte_matrix(spark):

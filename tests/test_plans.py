@@ -64,9 +64,9 @@ def test_unbounded_dimension_is_not_broadcast_blindly(spark):
     try:
         fact = spark.range(100).select((F.col("id") % 10).alias("k"))
         dim = spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("v"))
-        out = classify.lookup(fact, dim, "k", {"v": "-1"}, max_rows=10)    # 50 rows > bound
+        out = classify.lookup(fact, dim, "k", {"v": "-1"})                 # no known bound: left to the planner
         assert "BroadcastHashJoin" not in plan_of(out)
-        out = classify.lookup(fact, dim, "k", {"v": "-1"}, max_rows=100)   # within the bound
+        out = classify.lookup(fact, dims.bounded(dim, 50), "k", {"v": "-1"})   # built from a list of 50
         assert "BroadcastHashJoin" in plan_of(out)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -88,6 +88,25 @@ def test_salted_write_spreads_a_hot_partition(spark, tmpdir_fresh):
     assert spark.read.parquet(f"{tmpdir_fresh}/w").count() == 4000
 
 
+def test_one_scan_for_accepted_and_rejected_rows(spark):
+    from regstat.plans.queries import QUERIES
+    for name in ("snk04_range_bucket", "snk05_validate"):
+        assert plan_of(QUERIES[name](spark, "/root/testdata/sf0.001")).count("FileScan parquet") == 1
+
+
+def test_analyses_do_not_sort_the_table(spark):
+    from regstat.plans.queries import QUERIES
+    for name in ("qry05_gdp_growth", "qry06_gdp_rank"):
+        assert "rangepartitioning" not in plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_year_range_reaches_the_scan(spark, tmpdir_fresh):
+    from regstat.sources import readers
+    spark.range(40).select((F.col("id") % 8 + 2010).cast("int").alias("ano"), "id").write.partitionBy("ano").parquet(f"{tmpdir_fresh}/y")
+    plan = plan_of(readers.in_years(spark.read.parquet(f"{tmpdir_fresh}/y"), 2011, 2012))
+    assert "PartitionFilters: [isnotnull(ano" in plan and "Join" not in plan
+
+
 def test_rebalanced_write_plan(spark, tmpdir_fresh):
     df = spark.range(100).select(F.lit(2015).alias("ano"), F.col("id"))
     plan = plan_of(df.hint("rebalance", "ano"))
