@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from regstat.llm.common import crc32, staged, sub_batches
 
 CHUNK = 1 << 15
-MEMO = 150_000            # words and segments per generation of a worker process's memo
+MEMO = 200_000            # words per generation of a worker process's memo
 MARK = "▁"
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 RESULT = "doc_id long, n_tokens long, n_chunks int, ids_crc32 long, round_trip boolean, ids array<int>"
@@ -72,6 +72,7 @@ class Pieces:
         self._stable: dict[tuple[str, str], bool] = {}
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._packed = {p: struct.pack("<H", i) for p, i in self.id.items()}
         self._reached = {p for p in self.id if self.merged(p) == [p]}
 
     def merged(self, text: str) -> list[str]:
@@ -108,13 +109,13 @@ class Pieces:
         i = self.id.get(piece)
         return [i] if i is not None else [self.byte_id[b] for b in piece.encode()]
 
-    def segments(self, sorted_texts: list[str]) -> Iterator[list[str]]:
-        """The weight-0 path of each text without breaks inside.
+    def segments(self, sorted_texts: list[str]) -> Iterator[bytes]:
+        """Packed ids of the weight-0 path of each text.
 
         One piece ends the path of each prefix, whatever follows, so
         neighbours in sorted order share the part of their common prefix.
         """
-        reached, known, reach = self._reached, self._stable, self.reach
+        reached, known, reach, packed = self._reached, self._stable, self.reach, self._packed
         last, before = [""], ""
         for text in sorted_texts:
             same = 0
@@ -124,10 +125,7 @@ class Pieces:
                 same += 1
             del last[same + 1:]
             for end in range(same + 1, len(text) + 1):
-                if end == 1:
-                    last.append(text[0])
-                    continue
-                for start in range(max(0, end - reach.get(text[end - 2:end], 1)), end):
+                for start in range(max(0, end - reach.get(text[end - 2:end], 1)) if end > 1 else 0, end):
                     piece = text[start:end]
                     if piece in reached:
                         if not start:
@@ -137,18 +135,22 @@ class Pieces:
                             ok = self.stable(last[start], piece)
                         if ok:
                             break
-                last.append(piece)
+                last.append(piece)          # at the latest the character alone, in the vocabulary or not
             path, at = [], len(text)
             while at:
-                path.append(last[at])
-                at -= len(last[at])
+                piece = last[at]
+                path.append(packed.get(piece) or self._pack(piece))
+                at -= len(piece)
             before = text
-            yield path[::-1]
+            yield b"".join(path[::-1])
 
-    def spans(self, text: str) -> list[str]:
-        """The text cut at its breaks."""
-        cuts = [0, *(i for i in range(1, len(text)) if text[i - 1:i + 1] not in self.joined), len(text)]
-        return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+    def _pack(self, piece: str) -> bytes:
+        """Packed ids of a character outside the vocabulary (kept if there is room)."""
+        ids = self.ids_of(piece)
+        out = struct.pack(f"<{len(ids)}H", *ids)
+        if len(self._packed) < 4 * len(self.id):
+            self._packed[piece] = out
+        return out
 
     def learn(self, words: set[str]) -> None:
         """Remembers the packed ids of texts that start and end at breaks; two generations, so frequent ones stay."""
@@ -157,14 +159,8 @@ class Pieces:
         young, old = self._young, self._old
         unmet = words.difference(young)
         young.update((w, old[w]) for w in unmet if w in old)
-        spans = {w: self.spans(w) for w in unmet.difference(young)}
-        new = sorted({s for cut in spans.values() for s in cut}.difference(young))
-        for text, path in zip(new, self.segments(new), strict=True):
-            ids = [i for p in path for i in self.ids_of(p)]
-            young[text] = struct.pack(f"<{len(ids)}H", *ids)
-        for w, cut in spans.items():
-            if len(cut) > 1:
-                young[w] = b"".join([young[s] for s in cut])
+        new = sorted(unmet.difference(young))
+        young.update(zip(new, self.segments(new), strict=True))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Packed ids of marked texts that start and end at breaks: word by word, since nothing spans a character and a mark after it."""
@@ -323,7 +319,7 @@ def _result(doc_ids: pa.Array, chunks: list[int], ids: list[bytes], same: list[b
 def _short(docs: DataFrame, model_file: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = pieces(model_file)
-        for batch in sub_batches(batches, 1024):
+        for batch in sub_batches(batches, 2048):
             text = [marked(t or "") for t in batch.column(1).to_pylist()]
             ids = v.encode_batch(text)
             same = [v.decode(i) == t.replace(MARK, " ").encode() for i, t in zip(ids, text, strict=True)]
