@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import dims
 from .operators import shape
 from .plans import analyses, flows
+from .session import SETTINGS
 from .sources import readers, sinks
 
 
@@ -136,7 +137,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"regstat-{args.cmd}").getOrCreate()
+    spark = spark or SparkSession.builder.appName(f"regstat-{args.cmd}").config(map=SETTINGS).getOrCreate()
     args.fn(spark, args)
 
 

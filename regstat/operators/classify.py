@@ -50,10 +50,6 @@ def enterprise_flag_col(cnae_col="cnae_2_subclasse", nat_col="nat_jur", strict:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def enterprise_flag(df: DataFrame, strict: bool = False) -> DataFrame:
-    return df.withColumn("padrao_sebrae", enterprise_flag_col(strict=strict))
-
-
 # --- LKP-01 / LKP-02 ------------------------------------------------------
 def add_sectors(df: DataFrame, activity_dim: DataFrame, code_col: str = "cnae_2_subclasse") -> DataFrame:
     """``setor_ibge`` and ``setor_sebrae`` in one join ('-1' when the code is not listed)."""
@@ -62,18 +58,6 @@ def add_sectors(df: DataFrame, activity_dim: DataFrame, code_col: str = "cnae_2_
     return lookup(df, dim, code_col, {"setor_ibge": dims.UNKNOWN, "setor_sebrae": dims.UNKNOWN})
 
 
-def add_setor_ibge(df: DataFrame, activity_dim: DataFrame) -> DataFrame:
-    dim = dims.bounded(activity_dim.select("cnae_2_subclasse", "setor_ibge"), dims.row_bound(activity_dim))
-    return lookup(df, dim, "cnae_2_subclasse",
-                  {"setor_ibge": dims.UNKNOWN})
-
-
-def add_setor_sebrae(df: DataFrame, activity_dim: DataFrame) -> DataFrame:
-    dim = dims.bounded(activity_dim.select("cnae_2_subclasse", "setor_sebrae"), dims.row_bound(activity_dim))
-    return lookup(df, dim, "cnae_2_subclasse",
-                  {"setor_sebrae": dims.UNKNOWN})
-
-
 # --- LKP-03 ---------------------------------------------------------------
 def add_porte(df: DataFrame, size_dim: DataFrame) -> DataFrame:
     """(setor_ibge, tam_estab) → ``porte_sebrae``; any pair not listed → '-1'."""

@@ -54,9 +54,13 @@ def null_to_unknown(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return _rewrite(df, lambda f: C.null_to_unknown_col(qcol(f.name), f.dataType) if f.name in target else None)
 
 
-def fill_unknown(df: DataFrame) -> DataFrame:
-    """Every integer column NULL → -1, every string column NULL → '-1'."""
+def fill_unknown(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
+    """Every integer column NULL → -1, every string column NULL → '-1'; ``skip`` names columns left alone."""
+    skip = set(skip)
+
     def fill(f):
+        if f.name in skip:
+            return None
         if isinstance(f.dataType, (T.ShortType, T.IntegerType, T.LongType)):
             return F.coalesce(qcol(f.name), F.lit(-1).cast(f.dataType))
         if isinstance(f.dataType, T.StringType):

@@ -75,13 +75,9 @@ def standardize_estab(layouts: Sequence[DataFrame] | DataFrame, owner: str, acti
     })
     df = classify.add_sectors(df, activity_dim)                                        # LKP-01, LKP-02
     df = classify.add_porte(df, size_dim)                                              # SCL-17, LKP-03
-    ints = set(ESTAB_INT_COLUMNS)                                                      # SCL-09, PRJ-07, fill
-    return df.select([
-        F.coalesce(F.col(c).try_cast("int"), F.lit(-1)).alias(c) if c in ints
-        else F.col(c) if c == "ano"
-        else F.coalesce(C.strip_ws(c), F.lit("-1")).alias(c)
-        for c in schemas.ESTAB_OUTPUT_ORDER
-    ] + (["arquivo"] if "arquivo" in df.columns else []))
+    df = cleanse.cast_ints(df, ESTAB_INT_COLUMNS)                                      # SCL-09
+    df = cleanse.fill_unknown(cleanse.trim_strings(df), skip=("ano", "arquivo"))       # SCL-01, SCL-04
+    return shape.select_ordered(df, schemas.ESTAB_OUTPUT_ORDER + (["arquivo"] if "arquivo" in df.columns else []))   # PRJ-07
 
 
 def estab_table(df: DataFrame) -> DataFrame:

@@ -9,22 +9,28 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: Settings of the flows, the same on the command line, in tests and in the bench.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",                     # what the JVM still compiles: wide projections stay fast
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str = "regstat") -> SparkSession:
     """Session for tests and the bench; on a cluster use the session the job is given."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config(map=SETTINGS)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.driver.memory", os.environ.get("REGSTAT_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.driver.memory", os.environ.get("REGSTAT_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
