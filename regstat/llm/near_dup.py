@@ -11,8 +11,9 @@ the ``K`` smallest hashes.
    lists: a prefix filter over list lengths that keeps any pair with
    ``SHARED`` runs in common.  For sets smaller than the sketch the number of
    shared runs is guaranteed; for larger ones a pair at exactly 0.8 has fewer
-   than 4 with a chance below 1e-6 (simulated: 0 in a million), falling fast with the similarity.
-3. In every list each member meets one pivot (never all pairs); the Jaccard
+   than 6 with a chance of about 2e-6 (simulated), falling fast with the similarity.
+3. In every list each member meets one pivot, the first in one of ``ORDERS`` random orders
+   of all sets, so lists share pivots (never all pairs); the Jaccard
    estimate from the union's sketch must reach ``LOOSE``.  These links join sets
    to loose families.
 4. Exact Jaccard on the full sets: first each set with its best pivot, which
@@ -45,8 +46,9 @@ from regstat.llm.common import mix64, staged, sub_batches, texts
 PERCENT = 80
 K = 64
 RUN, SHORT_RUN = 3, 2
-SHARED = 4
+SHARED = 6
 LOOSE = 0.5
+ORDERS = 3                 # random orders of all sets; each list takes its pivot by one of them
 BLOCK = 128
 COLUMNS = 1 << 13          # set values multiplied at once
 MEMO_WORDS = 200_000
@@ -88,7 +90,7 @@ def runs(sketch: np.ndarray, size: int) -> np.ndarray:
 
 
 def shared_runs(size: int) -> int:
-    """Runs that any partner at the threshold surely shares (sets inside their sketch), or shares but for a chance under 1e-6."""
+    """Runs that any partner at the threshold surely shares (sets inside their sketch), or shares but for a chance of about 2e-6."""
     if size > K:
         return SHARED
     least = SHARED
@@ -153,7 +155,7 @@ def inverted_lists(reps: DataFrame) -> DataFrame:
     by_key = Window.partitionBy("key")
     crowded = rows.withColumn("m", F.count(F.lit(1)).over(by_key)).filter("m > 1")
     left = crowded.withColumn("nth", F.row_number().over(Window.partitionBy("rep").orderBy(F.desc("m"), F.desc("key")))).filter("nth >= need")
-    picked = left.withColumn("pivot", F.min(F.struct(F.xxhash64("key", "rep").alias("h"), F.col("rep"))).over(by_key).getField("rep"))
+    picked = left.withColumn("pivot", F.min(F.struct(F.xxhash64("rep", F.pmod("key", F.lit(ORDERS))).alias("h"), F.col("rep"))).over(by_key).getField("rep"))
     return picked.withColumn("m", F.count(F.lit(1)).over(by_key)).filter("m > 1").select("key", "rep", "n", "pivot")
 
 
