@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from regstat.llm.common import crc32, staged, sub_batches
 
 CHUNK = 1 << 15
-MEMO = 200_000            # words per generation of a worker process's memo
+MEMO = 200_000            # words per generation of a task's memo
 MARK = "▁"
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 RESULT = "doc_id long, n_tokens long, n_chunks int, ids_crc32 long, round_trip boolean, ids array<int>"
@@ -66,10 +66,12 @@ class Pieces:
         for b, i in enumerate(self.byte_id):
             self.raw[i] = bytes([b])
         self.joined = {p[i:i + 2] for p in self.id for i in range(len(p) - 1) if p[i] in self.id and p[i + 1] in self.id}
-        self.reach: dict[str, int] = {}           # two characters -> length of the longest piece that ends in them
+        self.reach: dict[str, int] = {}           # four characters -> length of the longest piece that ends in them
         for p in self.id:
-            self.reach[p[-2:]] = max(self.reach.get(p[-2:], 0), len(p))
+            if len(p) >= 4:
+                self.reach[p[-4:]] = max(self.reach.get(p[-4:], 0), len(p))
         self._stable: dict[tuple[str, str], bool] = {}
+        self._name = {p: p for p in self.id}      # one string object per piece
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
         self._packed = {p: struct.pack("<H", i) for p, i in self.id.items()}
@@ -98,7 +100,7 @@ class Pieces:
         if got is None:
             if len(self._stable) >= 2 * MEMO:
                 self._stable.clear()
-            got = self._stable[left, right] = left[-1] + right[0] not in self.joined or self.merged(left + right) == [left, right]
+            got = self._stable[self._name.get(left, left), self._name.get(right, right)] = left[-1] + right[0] not in self.joined or self.merged(left + right) == [left, right]
         return got
 
     def breaks(self, text: str, at: int) -> bool:
@@ -125,7 +127,7 @@ class Pieces:
                 same += 1
             del last[same + 1:]
             for end in range(same + 1, len(text) + 1):
-                for start in range(max(0, end - reach.get(text[end - 2:end], 1)) if end > 1 else 0, end):
+                for start in range(max(0, end - reach.get(text[end - 4:end], 3) if end > 3 else 0), end):
                     piece = text[start:end]
                     if piece in reached:
                         if not start:
@@ -162,6 +164,10 @@ class Pieces:
         new = sorted(unmet.difference(young))
         young.update(zip(new, self.segments(new), strict=True))
 
+    def forget(self) -> None:
+        """Drops the words met: a worker process outlives its tasks and goes on to other stages."""
+        self._young, self._old = {}, {}
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Packed ids of marked texts that start and end at breaks: word by word, since nothing spans a character and a mark after it."""
         words = [WORDS.findall(t) for t in texts]
@@ -319,11 +325,12 @@ def _result(doc_ids: pa.Array, chunks: list[int], ids: list[bytes], same: list[b
 def _short(docs: DataFrame, model_file: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = pieces(model_file)
-        for batch in sub_batches(batches, 2048):
+        for batch in sub_batches(batches, 1024):
             text = [marked(t or "") for t in batch.column(1).to_pylist()]
             ids = v.encode_batch(text)
             same = [v.decode(i) == t.replace(MARK, " ").encode() for i, t in zip(ids, text, strict=True)]
             yield _result(batch.column(0), [min(len(t), 1) for t in text], ids, same)
+        v.forget()
     return docs.mapInArrow(run, RESULT)
 
 
@@ -372,6 +379,7 @@ def _traced(chunks: DataFrame, model_file: str) -> DataFrame:
                 same.append(v.decode(packed) == t[begin:final].replace(MARK, " ").encode())
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(ids, pa.binary()), pa.array(same)],
                                              names=["doc_id", "row", "chunk", "packed", "same"])
+        v.forget()
     return chunks.select("doc_id", "row", "chunk", "text", "lo", "hi", "first", "last").mapInArrow(
         run, "doc_id long, row string, chunk int, packed binary, same boolean")
 
