@@ -15,12 +15,26 @@ from regstat.session import scratch_path
 
 #: Rows whose crc32(doc_id as text) leaves this remainder are held out of every fit.
 FOLDS, HELD_OUT = 5, 0
+ARROW_ROWS = 2_000
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold at most ``ARROW_ROWS`` rows.
+
+    Whole texts fill a batch's buffers in the executor's JVM and in its Python
+    worker; the default of 10,000 rows takes hundreds of MB per task.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(ROWS_PER_BATCH)) <= ARROW_ROWS:
+        conf.set(ROWS_PER_BATCH, str(ARROW_ROWS))
+    return df
+
+
 def held_out(doc_id: Column) -> Column:
     """True for rows kept out of every fit; a null id is never held out."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLDS)) == HELD_OUT, F.lit(False))
@@ -49,9 +63,11 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
 
 
 def sub_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows; what Arrow has freed goes back to the system when a worker's task ends."""
     for b in batches:
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def crc32(data: bytes) -> int:

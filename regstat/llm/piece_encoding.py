@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regstat.llm.common import crc32, staged, sub_batches
+from regstat.llm.common import crc32, small_batches, staged, sub_batches
 
 CHUNK = 1 << 15
 MEMO = 200_000            # words per generation of a task's memo
@@ -397,7 +397,7 @@ def _gathered(traced: DataFrame) -> DataFrame:
 
 def encode(docs: DataFrame, model_file: str, chunk: int = CHUNK) -> DataFrame:
     """Ids of every document, with the check that they decode to its text (``RESULT``)."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    plain = small_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
     long = F.length("text") >= chunk
     parts = staged(_chunks(plain.filter(long), model_file, chunk), "chunks")
     spread = parts.repartition("row", "chunk")           # a giant document's chunks go to many tasks

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regstat.llm.common import held_out
+from regstat.llm.common import held_out, small_batches
 from regstat.llm.text_stats import COUNTS, count_batches, labelled_sample, text_stats, with_labels
 
 MAX_LABELLED = 20_000     # labelled documents of the fit
@@ -112,5 +112,5 @@ def rank(docs: DataFrame, model: Ranker | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(s)], names=["doc_id", "score"])
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = plain.mapInArrow(run, "doc_id long, score double")
+    scored = small_batches(plain).mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))

@@ -37,14 +37,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regstat.llm.common import mix64, staged, sub_batches, texts
+from regstat.llm.common import mix64, small_batches, staged, sub_batches, texts
 from regstat.llm.suffix_array import suffix_array
 
 LENGTH = 100
 GRAM = 36
 SPAN = LENGTH - GRAM + 1        # grams in a window
 PIECE = 1 << 20                 # windows of a text handled at once
-BATCH = 8 << 20                 # bytes of text whose anchors are combined and packed together
+BATCH = 4 << 20                 # bytes of text whose anchors are combined and packed together
 PARTITION = 16 << 20            # bytes of text (or of asked contexts) per reducing task
 ARRAY = 1 << 18                 # bytes under one suffix array
 _ODD = 0x9E3779B97F4A7C15
@@ -188,7 +188,7 @@ def anchor_blobs(docs: DataFrame, tasks: int) -> DataFrame:
         if parts:
             yield flush()
 
-    return docs.mapInArrow(run, "task int, blob binary")
+    return small_batches(docs).mapInArrow(run, "task int, blob binary")
 
 
 def repeated_contexts(blobs: DataFrame, tasks: int) -> DataFrame:

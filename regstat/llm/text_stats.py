@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regstat.llm.common import sub_batches, texts
+from regstat.llm.common import small_batches, sub_batches, texts
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bytes", "n_lines", "n_upper", "n_digits", "n_marks",
           "n_exclaims", "n_pipes", "n_distinct", "n_twins", "n_short")
@@ -78,7 +78,7 @@ def counts_of(text: bytes) -> tuple[int, ...]:
 
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     """Each (sub-)batch with its matrix of counts, one row a text."""
-    for batch in sub_batches(batches, 4096):
+    for batch in sub_batches(batches):
         yield batch, np.array([counts_of(t) for t in texts(batch)], np.int64).reshape(batch.num_rows, len(COUNTS))
 
 
@@ -91,7 +91,7 @@ def counted(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(rest))), *(pa.array(c) for c in m.T.copy())], names=[*rest, *COUNTS])
 
     schema = T.StructType([*(rows.schema[c] for c in rest), *(T.StructField(c, T.LongType()) for c in COUNTS)])
-    return rows.select(*rest, "text").mapInArrow(run, schema)
+    return small_batches(rows.select(*rest, "text")).mapInArrow(run, schema)
 
 
 def text_stats(docs: DataFrame) -> DataFrame:

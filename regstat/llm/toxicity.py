@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regstat.llm.common import held_out, sub_batches, texts
+from regstat.llm.common import held_out, small_batches, sub_batches, texts
 from regstat.llm.text_stats import labelled_sample, with_labels
 
 MAX_LABELLED = 8_000
@@ -103,7 +103,7 @@ def _counts(marked: DataFrame) -> np.ndarray:
             part = at[i:i + 65536]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(sums[0, part]), pa.array(sums[1, part])], names=["h", "n0", "n1"])
 
-    rows = (marked.mapInArrow(run, "h long, n0 long, n1 long").groupBy("h").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))).toPandas()
+    rows = (small_batches(marked).mapInArrow(run, "h long, n0 long, n1 long").groupBy("h").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))).toPandas()
     out = np.zeros((2, 1 << BITS))
     out[0, rows["h"]], out[1, rows["h"]] = rows["n0"], rows["n1"]
     return out
