@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regstat.llm.common import mix64, staged, sub_batches, texts
+from regstat.llm.common import mix64, small_batches, staged, sub_batches, texts
 
 PERCENT = 80
 K = 64
@@ -122,7 +122,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                  pa.array([s[:K].tobytes() for s in sets], pa.binary())], names=["doc_id", "n_shingles", "set_key", "sketch"])
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sketch binary")
+    return small_batches(plain).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sketch binary")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, reps: DataFrame) -> DataFrame:
@@ -242,14 +242,19 @@ def _spanning(lc: np.ndarray, rc: np.ndarray, lr: np.ndarray, rr: np.ndarray, li
 def block_links(families: DataFrame, sets: DataFrame) -> DataFrame:
     """Exact links between components of one family (family, comp, rep), each pair of blocks in a task of its own.
 
-    Members are ordered by component, the largest first, so pairs of blocks
-    that hold one component only are left out.
+    A component of ``BLOCK`` sets or more is dealt to blocks of its own, the
+    smaller ones of a family share blocks; pairs of blocks that hold one
+    component only are left out.  Sizes are counted by aggregation, so no task
+    holds a whole family.
     """
-    size = F.count(F.lit(1)).over(Window.partitionBy("family", "comp"))
-    order = Window.partitionBy("family").orderBy(F.desc("size"), "comp", "rep")
-    mixed = F.min("comp").over(Window.partitionBy("family")) != F.max("comp").over(Window.partitionBy("family"))
-    rows = staged(families.withColumn("mixed", mixed).filter("mixed").withColumn("size", size)
-                  .withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int")).select("family", "comp", "rep", "block"), "blocks")
+    size = families.groupBy("family", "comp").agg(F.count(F.lit(1)).alias("n"))
+    shared = F.sum(F.when(F.col("n") < BLOCK, F.col("n")).otherwise(0))
+    mixed = size.groupBy("family").agg(F.count(F.lit(1)).alias("comps"), shared.alias("shared")).filter("comps > 1").drop("comps")
+
+    def dealt(key: str, n: str) -> F.Column:
+        return F.pmod(F.xxhash64(key), F.ceil(F.col(n) / BLOCK))
+    block = F.when(F.col("n") >= BLOCK, F.concat_ws("-", "comp", dealt("rep", "n"))).otherwise(F.concat(F.lit("s"), dealt("comp", "shared")))
+    rows = staged(families.join(size.join(mixed, "family"), ["family", "comp"]).select("family", "comp", "rep", block.alias("block")), "blocks")
     blocks = rows.groupBy("family", "block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     other = blocks.select("family", F.col("block").alias("block2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
     duties = (blocks.join(other, "family").filter("block <= block2 and not (lo = hi and lo2 = hi2 and lo = lo2)").select("family", "block", "block2"))
