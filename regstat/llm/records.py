@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from regstat.llm.common import crc32, local_dir, sub_batches, texts
+from regstat.llm.common import crc32, local_dir, small_batches, sub_batches, texts
 from regstat.session import scratch_path
 
 MASK_DELTA = 0xA282EAD8      # fixed value of the masked-checksum format
@@ -130,14 +130,24 @@ class WordIds:
         # ASCII white space, all of which the tokenizer drops, parts the words; capitals are lowered early unless a special token may be about
         words = [(t.lower() if self.lower_cased and b"<|" not in t else t).split() for t in batch]
         ids = [list(map(self.young.get, ws)) for ws in words]
-        short = [i for i, found in enumerate(ids) if None in found]
-        if short:
-            self.learn({w for i in short for w, found in zip(words[i], ids[i], strict=True) if found is None})
-            for i in short:
-                ids[i] = [self.young[w] if found is None else found for w, found in zip(words[i], ids[i], strict=True)]
+        gaps = [(ws, found, _gaps(found)) for ws, found in zip(words, ids, strict=True) if None in found]
+        if gaps:
+            self.learn({ws[k] for ws, _, at in gaps for k in at})
+            for ws, found, at in gaps:
+                for k in at:
+                    found[k] = self.young[ws[k]]
         return list(map(b"".join, ids))
 
 
+def _gaps(found: list) -> list[int]:
+    """Places of None."""
+    out, at = [], -1
+    for _ in range(found.count(None)):
+        at = found.index(None, at + 1)
+        out.append(at)
+    return out
+
+
 @cache
 def word_ids(tokenizer_file: str, dtype: str) -> WordIds:
     """One memo for all tasks that a worker process runs."""
@@ -151,7 +161,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int
         words, path, offset, out = word_ids(tokenizer_file, dtype), None, 0, None
         end = np.asarray([end_id], dtype).tobytes()
         try:
-            for batch in sub_batches(batches):
+            for batch in sub_batches(batches, 2048):
                 if out is None:
                     os.makedirs(local_dir(folder), exist_ok=True)
                     path = f"{local_dir(folder)}/{shard:06d}-{uuid.uuid4().hex}.rec"
@@ -174,7 +184,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int
                 out.close()
 
     spark = docs.sparkSession
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(write, INDEX).write.parquet(f"{folder}/index")
     return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
