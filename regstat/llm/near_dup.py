@@ -4,7 +4,8 @@ A document's set holds the 64-bit hashes of its different 2-word shingles
 (ASCII letters lower-cased; a one-word text is one shingle).  The sketch is
 the ``K`` smallest hashes.
 
-1. Equal sets are collapsed to their smallest id.
+1. Every row has a key of its own (the id, unless some are null or repeated); equal
+   sets are collapsed to their smallest key.
 2. Inverted lists: each run of ``RUN`` neighbouring retained values is a list
    key, so two sets meet if their sketches overlap in one such run.  Sets at the
    threshold share dozens of runs, hence each set leaves its most crowded
@@ -25,8 +26,10 @@ the ``K`` smallest hashes.
 
 Defined cases: texts without words have an empty set, link with nothing and
 are their own component; rows with a null id get a null component and are kept;
-rows that repeat an id are separate rows of one id; an empty table gives an
-empty result; other columns are ignored.
+rows that repeat an id are separate documents: a component is named by the
+smallest id in it, one row of it is kept, and two components may have the same
+name if different texts stand under one id; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regstat.llm.common import mix64, small_batches, staged, sub_batches, texts
+from regstat.llm.repeats import keyed
 
 PERCENT = 80
 K = 64
@@ -110,34 +114,29 @@ def union_estimate(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.append(twice, False)[at].sum()) / max(len(at), 1)
 
 
-def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key, sketch of every document."""
+def sketched(rows: DataFrame) -> DataFrame:
+    """key, doc_id, n_shingles, set_key, sketch of every row (key, doc_id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _WordHash()
         for batch in sub_batches(batches):
             sets = [shingles(t, memo) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                 pa.array([s[:K].tobytes() for s in sets], pa.binary())], names=["doc_id", "n_shingles", "set_key", "sketch"])
+                 pa.array([s[:K].tobytes() for s in sets], pa.binary())], names=["key", "doc_id", "n_shingles", "set_key", "sketch"])
 
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return small_batches(plain).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sketch binary")
+    return small_batches(rows.select("key", "doc_id", "text")).mapInArrow(run, "key long, doc_id long, n_shingles long, set_key binary, sketch binary")
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, reps: DataFrame) -> DataFrame:
-    """rep and its whole set, from the whole texts of the documents named in ``ids`` (rep)."""
+def full_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """rep and its whole set, from the whole texts of the rows named in ``keys`` (rep)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _WordHash()
         for batch in sub_batches(batches, 256):
-            sets = [shingles(t, memo).tobytes() for t in texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in sets], pa.binary()),
-                                              pa.array(sets, pa.binary())], names=["rep", "set_key", "members"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t, memo).tobytes() for t in texts(batch)], pa.binary())], names=["rep", "members"])
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(ids, "rep")
-    found = wanted.select("rep", "text").mapInArrow(run, "rep long, set_key binary, members binary")
-    # an id that stands on several rows may have several sets: keep the one that this id stands for
-    return found.join(reps.select("rep", "set_key"), ["rep", "set_key"], "left_semi").dropDuplicates(["rep"]).select("rep", "members")
+    wanted = rows.select(F.col("key").alias("rep"), "text").join(keys, "rep")
+    return wanted.select("rep", "text").mapInArrow(run, "rep long, members binary")
 
 
 def inverted_lists(reps: DataFrame) -> DataFrame:
@@ -290,14 +289,14 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(roots)
 
 
-def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
+def links(rows: DataFrame, reps: DataFrame) -> DataFrame:
     """Exact links (a, b) between sets, enough to join every component: all pairs that share a list are linked, tested or already joined."""
     members = staged(inverted_lists(reps), "lists")
     star = (members.filter("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct())
     loose = staged(estimated(star, reps), "loose-pairs")
     family = staged(components(loose.select("a", "b"), "families"), "family")
-    ids = family.select(F.col("node").alias("rep"))
-    sets = staged(full_sets(docs, ids, reps), "sets")
+    keys = family.select(F.col("node").alias("rep"))
+    sets = staged(full_sets(rows, keys), "sets")
 
     ends = loose.select(F.col("a").alias("rep"), "a", "b", "estimate").unionByName(loose.select(F.col("b").alias("rep"), "a", "b", "estimate"))
     best = ends.groupBy("rep").agg(F.max(F.struct("estimate", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
@@ -315,25 +314,33 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
     across = (apart.join(split, "key").join(other, "key").filter((F.col("rep") < F.col("rep2")) & (F.col("family") != F.col("family2")) & _size_fits("n", "n2"))
               .select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct())
     third_pairs = staged(estimated(across, reps), "across-pairs")
-    more = third_pairs.select(F.col("a").alias("rep")).unionByName(third_pairs.select(F.col("b").alias("rep"))).distinct().join(ids, "rep", "left_anti")
-    third = verified(third_pairs, sets.unionByName(full_sets(docs, more, reps)))
+    more = third_pairs.select(F.col("a").alias("rep")).unionByName(third_pairs.select(F.col("b").alias("rep"))).distinct().join(keys, "rep", "left_anti")
+    third = verified(third_pairs, sets.unionByName(full_sets(rows, more)))
     return first.unionByName(second).unionByName(third)
 
 
+def marked(rows: DataFrame) -> DataFrame:
+    """key, doc_id, n_shingles, component_id, kept of every row (key, doc_id, text)."""
+    found = staged(sketched(rows), "sketches")
+    reps = staged(found.filter("doc_id is not null and n_shingles > 0").groupBy("set_key")
+                  .agg(F.min(F.struct("key", "doc_id")).alias("x"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+                  .select("set_key", F.col("x.key").alias("rep"), F.col("x.doc_id").alias("id"), "n", "sketch"), "sets-of-copies")
+    comps = components(links(rows, reps), "components").join(reps.select(F.col("rep").alias("comp"), F.col("id").alias("name")), "comp")
+    named = (reps.select("set_key", "rep", "id").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+             .select("set_key", F.coalesce("comp", "rep").alias("comp"), F.coalesce("name", "id").alias("name")))
+    out = found.select("key", "doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
+    alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
+    return out.select("key", "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("name")).alias("component_id"),
+                      (alone | (F.col("comp") == F.col("key"))).alias("kept"))
+
+
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
-    rows = staged(sketched(docs), "sketches")
-    reps = staged(rows.filter("doc_id is not null and n_shingles > 0").groupBy("set_key")
-                  .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "sets-of-copies")
-    comps = components(links(docs, reps), "components")
-    named = reps.select("set_key", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("comp", "rep").alias("comp"))
-    alone = F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.col("doc_id"))
-    out = rows.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
-    comp = F.when(F.col("doc_id").isNotNull(), alone)
-    return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.coalesce(comp == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return marked(keyed(docs)).drop("key")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents, all columns, that stand for their component; rows with a null id stay."""
-    gone = staged(dedup(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "copies")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    rows = keyed(docs, F.struct(*docs.columns).alias("row"))
+    gone = staged(marked(rows).filter(~F.col("kept")).select("key"), "copies")
+    return rows.join(gone, "key", "left_anti").select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

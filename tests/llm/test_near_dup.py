@@ -114,3 +114,38 @@ def test_odd_cases(spark, some):
     left = near_dup.one_of_each(docs)
     assert left.columns == docs.columns
     assert left.count() == sum(r["kept"] for r in out) or some is None
+
+
+def survivors(rows):
+    """(doc_id, text) of one row, the first by id and text, of each component of the rows with an id, and all rows without one."""
+    have = sorted(((i, t) for i, t in rows if i is not None), key=lambda r: (r[0], r[1] or ""))
+    comp = brute({k: t for k, (_, t) in enumerate(have)})
+    names = [(i, t, have[comp[k][0]][0], comp[k][0] == k) for k, (i, t) in enumerate(have)]
+    return names, sorted([(i, t) for i, t, _, kept in names if kept] + [r for r in rows if r[0] is None], key=str)
+
+
+def repeated_ids():
+    """Families of near copies dealt over few ids, so that the smallest id of a set stands for other sets too."""
+    rng = random.Random(8)
+    out = []
+    for f in range(12):
+        base = [f"w{rng.randrange(3000)}" for _ in range(60)]
+        for _ in range(6):
+            copy = list(base)
+            for k in rng.sample(range(60), rng.randint(0, 2)):
+                copy[k] = f"v{rng.randrange(3000)}"
+            out.append((rng.randrange(9), " ".join(copy)))
+        out += [out[-1], (f, f"alone {f} " + " ".join(f"u{rng.randrange(9000)}" for _ in range(30)))]
+    return out
+
+
+@pytest.mark.parametrize("case", ["odd", "few ids"])
+def test_rows_with_repeated_ids(spark, case):
+    docs = odd.docs(spark) if case == "odd" else spark.createDataFrame(repeated_ids(), "doc_id long, text string")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    names, want = survivors(rows)
+    left = near_dup.one_of_each(docs)
+    assert left.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == want
+    marks = [(r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.dedup(docs).collect() if r["doc_id"] is not None]
+    assert sorted(marks) == sorted((i, name, kept) for i, _, name, kept in names)
