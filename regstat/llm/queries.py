@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regstat.llm import decision_list, decontaminate, near_dup, piece_encoding, quality_ranker, records, repeats, sharding, toxicity, url_filter
+from regstat.llm import decision_list, decontaminate, near_dup, piece_encoding, quality_ranker, records, repeats, secret_scan, sharding, toxicity, url_filter
 from regstat.llm.common import staged, table
 
 SHARDS = 40
@@ -65,6 +65,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ranker": op1_quality_ranker,
     "op2_piece_encoding": op2_piece_encoding,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_records": op9_records,
     "op10_sharding": op10_sharding,
+    "op12_secret_scan": op12_secret_scan,
 }
 
 #: Full-table SQL exists only where it can express the operator.
