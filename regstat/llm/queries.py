@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regstat.llm import decision_list, decontaminate, near_dup, piece_encoding, quality_ranker, records, repeats, secret_scan, sharding, toxicity, url_filter
+from regstat.llm import decision_list, decontaminate, hard_negatives, near_dup, piece_encoding, quality_ranker, records, repeats, secret_scan, sharding, toxicity, url_filter
 from regstat.llm.common import staged, table
 
 SHARDS = 40
@@ -69,6 +69,10 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_ranker": op1_quality_ranker,
     "op2_piece_encoding": op2_piece_encoding,
@@ -81,7 +85,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_records": op9_records,
     "op10_sharding": op10_sharding,
     "op12_secret_scan": op12_secret_scan,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
+HARD_NEGATIVES_SQL = """
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS alike, list_inner_product(a.v, r.v)::BIGINT AS score
+    FROM whole a JOIN whole r ON a.vec_id <> r.vec_id
+    WHERE a.vec_id % 100 = 0),
+positive AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 #: Full-table SQL exists only where it can express the operator.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op13_hard_negatives": HARD_NEGATIVES_SQL,
+}
