@@ -18,10 +18,9 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from . import dims
-from .operators import shape
 from .plans import analyses, flows
 from .session import SETTINGS
-from .sources import readers, sinks
+from .sources import readers, sinks, versions
 
 
 def _read_table(spark: SparkSession, path: str, a) -> DataFrame:
@@ -32,20 +31,18 @@ def _read_table(spark: SparkSession, path: str, a) -> DataFrame:
 
 
 def cmd_estab(spark, a) -> None:
-    layouts = [readers.read_raw(spark, p, encoding=a.encoding, sep=a.sep, year_from_name=a.year_pattern, file_col="arquivo",
-                                treat=flows.estab_headers) for p in a.layout]
+    layouts = [flows.read_estab(spark, p, a.encoding, a.sep, a.year_pattern, a.known_headers) for p in a.layout]
     codes = spark.read.parquet(a.codes)
     rejected = flows.load_estab(layouts, a.owner, dims.activity_dimension(spark, codes), dims.size_dimension(spark),
-                                a.out, salt_buckets=a.salt_buckets, staging_path=a.staging)
+                                a.out, salt_buckets=a.salt_buckets, staging_path=a.staging, quarantine_path=a.quarantine)
     if a.rejected:
         rejected.write.mode("overwrite").parquet(a.rejected)
 
 
 def cmd_links(spark, a) -> None:
-    raw = readers.read_raw(spark, a.input, encoding=a.encoding, sep=a.sep,
-                           year_from_name=None if a.partitioned else a.year_pattern, file_col="arquivo", treat=shape.normalize_headers)
+    raw = flows.read_links(spark, a.input, a.encoding, a.sep, None if a.partitioned else a.year_pattern, a.known_headers)
     years = tuple(a.years) if a.years else None
-    rejected = flows.load_links(raw, a.owner, a.staging, a.out, years=years, salt_buckets=a.salt_buckets)
+    rejected = flows.load_links(raw, a.owner, a.staging, a.out, years=years, salt_buckets=a.salt_buckets, quarantine_path=a.quarantine)
     if a.rejected:
         rejected.write.mode("overwrite").parquet(a.rejected)
 
@@ -74,7 +71,7 @@ REPORTS = {
 
 
 def cmd_report(spark, a) -> None:
-    REPORTS[a.name](spark.read.parquet(a.table)).write.mode("overwrite").parquet(a.out)
+    REPORTS[a.name](versions.read(spark, a.table)).write.mode("overwrite").parquet(a.out)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -93,6 +90,8 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--codes", required=True, help="Parquet with column cnae_2_subclasse (known codes)")
     e.add_argument("--out", required=True)
     e.add_argument("--rejected")
+    e.add_argument("--quarantine", help="table of records that do not fit their header")
+    e.add_argument("--known-headers", help="table that keeps file headers from run to run")
     e.add_argument("--year-pattern", default=r"(20\d{2})")
     e.add_argument("--staging", help="staging folder (default: beside the table)")
     e.add_argument("--salt-buckets", type=int, help="fixed number of writers per year (default: by size)")
@@ -106,6 +105,8 @@ def parser() -> argparse.ArgumentParser:
     li.add_argument("--rejected")
     li.add_argument("--years", type=int, nargs=2)
     li.add_argument("--partitioned", action="store_true", help="input folders are ano=YYYY")
+    li.add_argument("--quarantine", help="table of records that do not fit their header")
+    li.add_argument("--known-headers", help="table that keeps file headers from run to run")
     li.add_argument("--year-pattern", default=r"(20\d{2})")
     li.add_argument("--salt-buckets", type=int, help="fixed number of writers per (year, state) (default: by size)")
     li.set_defaults(fn=cmd_links)

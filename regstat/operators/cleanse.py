@@ -29,9 +29,10 @@ def _rewrite(df: DataFrame, fn) -> DataFrame:
 
 
 # --- SCL-01 ---------------------------------------------------------------
-def trim_strings(df: DataFrame) -> DataFrame:
-    """Strip white space (no-break space included) from every string column."""
-    return _rewrite(df, lambda f: C.strip_ws(qcol(f.name)) if isinstance(f.dataType, T.StringType) else None)
+def trim_strings(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
+    """Strip white space (no-break space included) from every string column; ``skip`` names columns left alone."""
+    skip = set(skip)
+    return _rewrite(df, lambda f: C.strip_ws(qcol(f.name)) if isinstance(f.dataType, T.StringType) and f.name not in skip else None)
 
 
 # --- SCL-02 ---------------------------------------------------------------

@@ -45,17 +45,23 @@ def rename_by_dict(df: DataFrame, mapping: Mapping[str, str], case_sensitive: bo
     """
     if case_sensitive is None:
         case_sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    return df.select([named(c, t) for c, t in zip(df.columns, renamed(df.columns, mapping, case_sensitive))])
+
+
+def renamed(columns: Sequence[str], mapping: Mapping[str, str], case_sensitive: bool = False) -> list[str]:
+    """The names that :func:`rename_by_dict` gives to columns."""
     folded = {} if case_sensitive else {k.lower(): v for k, v in reversed(list(mapping.items()))}
+    return [mapping.get(c) or folded.get(c.lower()) or c for c in columns]
 
-    def target(c: str) -> str:
-        return mapping.get(c) or folded.get(c.lower()) or c
 
-    return df.select([qcol(c).alias(target(c)) for c in df.columns])
+def named(source: str, target: str) -> Column:
+    """A column under another name; no alias if the name stays (every alias of a filtered column costs the optimizer)."""
+    return qcol(source) if source == target else qcol(source).alias(target)
 
 
 # --- PRJ-03 ---------------------------------------------------------------
 def normalize_headers(df: DataFrame) -> DataFrame:
-    return df.select([qcol(c).alias(C.normalize_name(c)) for c in df.columns])
+    return df.select([named(c, C.normalize_name(c)) for c in df.columns])
 
 
 # --- PRJ-04 ---------------------------------------------------------------

@@ -8,16 +8,21 @@ list compiles into one ``CASE WHEN ano ...`` expression.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..schemas import ESTAB_MAY_LACK, LINKS_MAY_LACK, require
-from .shape import qcol
+from ..schemas import ESTAB_HEADERS, ESTAB_MAY_LACK, LINKS_MAY_LACK, SCHEMA_LINKS, require
+from .shape import disambiguation_map, qcol
 
 MIN_YEAR, MAX_YEAR = 0, 9999
+# The establishment layout switches once, at 2014.
+ESTAB_SWITCH_YEAR = 2014
+#: Columns of the links table that the flow itself makes.
+MADE = {"uf", "ano", "curr_date", "ds_owner"}
 
 
 @dataclass(frozen=True)
@@ -111,6 +116,29 @@ def links_rules() -> dict[str, list[Rule]]:
     return rules
 
 
+def links_sources(years: Iterable[int]) -> set[str]:
+    """Raw columns that the rules of some years read."""
+    return {r.source for some in links_rules().values() for r in some if r.source and any(r.first <= y <= r.last for y in years)}
+
+
+def check_links(columns: Sequence[str], years: Iterable[int]) -> None:
+    """Refuse a header group that lacks a column of its own years (or one that no year may lack)."""
+    always = {r.source for some in links_rules().values() for r in some if r.source} - set(LINKS_MAY_LACK)
+    need = always | links_sources(years) | ({f for f in SCHEMA_LINKS.fieldNames()} - set(links_rules()) - MADE)
+    copies = disambiguation_map(columns, {"tipo_estab": ["tipo_estab", "tipo_estab_dsc"]})
+    missing = sorted(need - {copies.get(c, c) for c in columns})
+    if missing:
+        raise ValueError(f"columns not found for the years {sorted(years)}: {missing}")
+
+
+def check_estab(columns: Sequence[str], years: Iterable[int]) -> None:
+    """The same for establishments: from the switch on, no column may be absent."""
+    need = set(ESTAB_HEADERS.values()) - {"ctg_tipo_estab", "sigla_uf"} - (set() if any(y >= ESTAB_SWITCH_YEAR for y in years) else set(ESTAB_MAY_LACK))
+    missing = sorted(need - set(columns))
+    if missing:
+        raise ValueError(f"columns not found for the years {sorted(years)}: {missing}")
+
+
 def harmonize_links(df: DataFrame, ano="ano") -> DataFrame:
     """PRJ-05: every link vintage → one layout, in one projection.
 
@@ -127,8 +155,9 @@ def harmonize_links(df: DataFrame, ano="ano") -> DataFrame:
     return df.select(out)
 
 
-# The establishment layout switches once, at 2014.
-ESTAB_SWITCH_YEAR = 2014
+def estab_fixed(source: Mapping[str, Column], year: Column) -> dict[str, Column]:
+    """The columns that the layouts before the switch fix at -1, from their raw columns."""
+    return {c: F.when(year < ESTAB_SWITCH_YEAR, F.lit("-1")).otherwise(source[c]) for c in ESTAB_MAY_LACK}
 
 
 def harmonize_estab(df: DataFrame, ano="ano") -> DataFrame:
@@ -136,11 +165,7 @@ def harmonize_estab(df: DataFrame, ano="ano") -> DataFrame:
     from 2014 the type description column is dropped."""
     year = qcol(ano) if isinstance(ano, str) else ano
     cols = set(df.columns)
-    before = year < ESTAB_SWITCH_YEAR
-    fixed = {
-        "cep": F.when(before, F.lit("-1")).otherwise(_src(cols, "cep")),
-        "subsetor_ibge": F.when(before, F.lit("-1")).otherwise(_src(cols, "subsetor_ibge")),
-    }
+    fixed = estab_fixed({c: _src(cols, c) for c in ESTAB_MAY_LACK}, year)
     out = [qcol(c) for c in df.columns if c not in fixed and c != "ctg_tipo_estab"]
     out += [v.alias(k) for k, v in fixed.items()]
     return df.select(out)

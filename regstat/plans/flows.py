@@ -8,15 +8,18 @@ dimensions, so the fact rows are never shuffled before the write.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import columns as C
 from ..operators import cleanse, classify, profile, shape, vintage
+from ..session import settings
+from ..sources import readers, sinks, versions
+from ..sources.readers import MALFORMED
 
 # Establishment columns whose NULL becomes -1 (23).
 ESTAB_NULL_TO_UNKNOWN = ["bairro_sp", "bairro_fortaleza", "bairro_rj", "cnae_2_classe", "cnae_1_classe",
@@ -31,6 +34,9 @@ ESTAB_INT_COLUMNS = ["bairro_sp", "bairro_fortaleza", "bairro_rj", "cnae_2_class
                      "cnae_2_subclasse", "tam_estab", "tipo_estab", "sigla_uf", "subsetor_ibge", "cep",
                      "padrao_sebrae"]
 
+#: Columns that go along from the reader to staging: the file, and the text of records that do not fit their header.
+CARRIED = ("arquivo", MALFORMED)
+
 
 # --------------------------------------------------------------------------
 # PIPE-01 establishments
@@ -41,33 +47,42 @@ def estab_headers(df: DataFrame) -> DataFrame:
     return shape.rename_by_dict(df, schemas.ESTAB_HEADERS)
 
 
+def estab_sources(layout: DataFrame) -> dict[str, str]:
+    """Target name → raw header of one layout (SRC-03, PRJ-02), without a projection of its own."""
+    copies = shape.disambiguation_map(layout.columns, {"Tipo Estab": ["tipo_estab", "ctg_tipo_estab"]})
+    names = shape.renamed([copies.get(c, c) for c in layout.columns], schemas.ESTAB_HEADERS)
+    return dict(zip(names, layout.columns))
+
+
 def standardize_estab(layouts: Sequence[DataFrame] | DataFrame, owner: str, activity_dim: DataFrame,
                       size_dim: DataFrame, as_of: str | None = None, strict_division: bool = False) -> DataFrame:
     """Raw establishment extracts (one frame per header layout, each with the
     file's year ``ano``) → the 30 treated columns, in output order.
 
     The per-column steps are composed into a few projections (the analyser
-    cost grows with every DataFrame call, the executed plan does not), in the
+    cost grows with every DataFrame call, the executed plan does not; and plain
+    renames of columns that a filter below reads would double the optimizer's inferred
+    constraints with each name, so names change together with values), in the
     reference's order: state number from the raw municipality, vintage rule,
     trim, sentinels, NULL → -1, code padding, flag, size text, lookups, casts.
     """
     if isinstance(layouts, DataFrame):
         layouts = [layouts]
-    df = shape.stack_vintages([estab_headers(f) for f in layouts])                    # PRJ-02, SET-01
-    schemas.require([c for c in ESTAB_NULL_TO_UNKNOWN if c != "sigla_uf"], df.columns, schemas.ESTAB_MAY_LACK)
-    df = vintage.harmonize_estab(df)                                                  # PRJ-06
-    source = shape.qcol
-
-    def decoded(c: str):                                                              # SCL-01, SCL-02, SCL-04
-        return C.null_to_unknown_col(C.sentinel_to_unknown(C.strip_ws(source(c)), C.SENTINELS))
-
     text = [c for c in ESTAB_NULL_TO_UNKNOWN if c != "sigla_uf"]
-    df = df.select(
-        F.col("ano"), *(["arquivo"] if "arquivo" in df.columns else []),
-        C.load_date(as_of, "string").alias("curr_date"), F.lit(owner).alias("ds_owner"),  # PRJ-04
-        F.coalesce(C.uf_code_int(source("id_municipio")), F.lit(-1)).alias("sigla_uf"),    # SCL-12 (raw text)
-        *[decoded(c).alias(c) for c in text],
-    )
+
+    def decoded(layout: DataFrame) -> DataFrame:
+        source = estab_sources(layout)                                                # SRC-03, PRJ-02
+        schemas.require(text, source, schemas.ESTAB_MAY_LACK)
+        raw = {c: shape.qcol(source[c]) if c in source else F.lit(None).cast("string") for c in text}
+        raw.update(vintage.estab_fixed(raw, F.col("ano")))                            # PRJ-06
+        return layout.select(
+            F.col("ano"), *[c for c in CARRIED if c in layout.columns],
+            C.load_date(as_of, "string").alias("curr_date"), F.lit(owner).alias("ds_owner"),  # PRJ-04
+            F.coalesce(C.uf_code_int(raw["id_municipio"]), F.lit(-1)).alias("sigla_uf"),       # SCL-12 (raw text)
+            *[C.null_to_unknown_col(C.sentinel_to_unknown(C.strip_ws(raw[c]), C.SENTINELS)).alias(c) for c in text],   # SCL-01, SCL-02, SCL-04
+        )
+
+    df = shape.stack_vintages([decoded(f) for f in layouts])                          # SET-01
     df = df.withColumn("cnae_2_subclasse", C.pad_cnae("cnae_2_subclasse"))            # SCL-14
     df = df.withColumns({
         "padrao_sebrae": classify.enterprise_flag_col(strict=strict_division),         # SCL-15, FLT-03
@@ -76,8 +91,8 @@ def standardize_estab(layouts: Sequence[DataFrame] | DataFrame, owner: str, acti
     df = classify.add_sectors(df, activity_dim)                                        # LKP-01, LKP-02
     df = classify.add_porte(df, size_dim)                                              # SCL-17, LKP-03
     df = cleanse.cast_ints(df, ESTAB_INT_COLUMNS)                                      # SCL-09
-    df = cleanse.fill_unknown(cleanse.trim_strings(df), skip=("ano", "arquivo"))       # SCL-01, SCL-04
-    return shape.select_ordered(df, schemas.ESTAB_OUTPUT_ORDER + (["arquivo"] if "arquivo" in df.columns else []))   # PRJ-07
+    df = cleanse.fill_unknown(cleanse.trim_strings(df, skip=CARRIED), skip=("ano", *CARRIED))   # SCL-01, SCL-04
+    return shape.select_ordered(df, schemas.ESTAB_OUTPUT_ORDER + [c for c in CARRIED if c in df.columns])   # PRJ-07
 
 
 def estab_table(df: DataFrame) -> DataFrame:
@@ -86,9 +101,10 @@ def estab_table(df: DataFrame) -> DataFrame:
 
 
 def stage_estab(treated: DataFrame, batch: str) -> DataFrame:
-    """Table rows with the file they came from (``arquivo``; the batch's name for rows without one)."""
+    """Table rows with the file they came from (``arquivo``; the batch's name for rows without one), and what did not fit its header."""
     named = treated if "arquivo" in treated.columns else treated.withColumn("arquivo", F.lit(batch))
-    return cleanse.conform(named, T.StructType([*schemas.SCHEMA_ESTAB_TABLE.fields, T.StructField("arquivo", T.StringType())]))
+    carried = [T.StructField(c, T.StringType()) for c in CARRIED if c in named.columns]
+    return cleanse.conform(named, T.StructType([*schemas.SCHEMA_ESTAB_TABLE.fields, *carried]))
 
 
 # --------------------------------------------------------------------------
@@ -176,56 +192,107 @@ def typed_dimension(df: DataFrame, owner: str, as_of: str | None = None) -> tupl
 # --------------------------------------------------------------------------
 # The pipelines with their I/O (staging, validation, partitioned warehouse)
 # --------------------------------------------------------------------------
-def _years_of(df: DataFrame) -> list[int]:
-    """The years of a batch (a handful of values)."""
-    return sorted(r["ano"] for r in df.select("ano").distinct().collect() if r["ano"] is not None)
+#: Planning a load: constraints inferred from a filter over many raw columns would double with every renamed column.
+PLANNING = {"spark.sql.constraintPropagation.enabled": "false"}
+#: Slices of a file: a load replaces all of them, also those that the file no longer has.
+SAME_FILE = versions.same("ano", "arquivo")
+
+
+def read_links(spark: SparkSession, path: str | Sequence[str], encoding: str = "ISO-8859-1", sep: str = ";", year_from_name: str | None = None, known_headers: str | None = None) -> DataFrame:
+    """Links extracts ready for :func:`load_links`: each file by its own header, checked against the columns of its own
+    years, with its name and the records that do not fit."""
+    def named(df: DataFrame) -> DataFrame:
+        return shape.disambiguate(shape.normalize_headers(df), {"tipo_estab": ["tipo_estab41", "tipo_estab42"]})
+
+    return readers.read_raw(spark, path, encoding, sep, year_from_name=year_from_name, file_col="arquivo", treat=named, malformed=True,
+                            known_headers=known_headers, check=vintage.check_links)
+
+
+def read_estab(spark: SparkSession, path: str | Sequence[str], encoding: str = "cp1252", sep: str = ";", year_from_name: str | None = None, known_headers: str | None = None) -> DataFrame:
+    """Establishment extracts ready for :func:`load_estab`, as :func:`read_links`."""
+    return readers.read_raw(spark, path, encoding, sep, year_from_name=year_from_name, file_col="arquivo", treat=estab_headers, malformed=True,
+                            known_headers=known_headers, check=vintage.check_estab)
+
+
+def _refresh(spark: SparkSession, staging: str, table: str) -> tuple[versions.Version, list[int]]:
+    """Staging's newest version, and the years in which it differs from the version the table was built from."""
+    now, built = versions.latest(spark, staging), versions.latest(spark, table)
+    since = built.notes.get("staging") if built else None
+    old = versions.latest(spark, staging, since) if since else None
+    return now, sorted({int(s["ano"]) for s in versions.changed(old, now) if s["ano"] is not None})
+
+
+def _quarantine(spark: SparkSession, staging: str, now: versions.Version, years: Iterable[int], path: str | None) -> None:
+    """Records that do not fit their header, by year and file; a corrected file's old ones go."""
+    if path and MALFORMED in now.schema.fieldNames():
+        bad = versions.rows(spark, staging, now).filter(F.col("ano").isin(list(years)) & F.col(MALFORMED).isNotNull())
+        versions.commit(bad.select("ano", "arquivo", MALFORMED), path, ("ano", "arquivo"), versions.where(lambda s: int(s["ano"]) in set(years)))
+
+
+def _fitting(staged: DataFrame) -> DataFrame:
+    return staged.filter(F.col(MALFORMED).isNull()).drop(MALFORMED) if MALFORMED in staged.columns else staged
 
 
 def load_links(raw: DataFrame, owner: str, staging_path: str, table_path: str, as_of: str | None = None,
-               years: tuple[int, int] | None = None, salt_buckets: int | None = None, batch: str = "lote") -> DataFrame:
+               years: tuple[int, int] | None = None, salt_buckets: int | None = None, batch: str = "lote",
+               quarantine_path: str | None = None, transaction: tuple[str, int] | None = None) -> DataFrame:
     """PIPE-02 end to end: raw → staging (SNK-01) → re-read (SRC-06) → typed
     (stage 2) → checked (SNK-05) → warehouse partitioned by (ano, uf) (SNK-02).
 
-    Staging keeps each file's rows apart (``ano``, ``arquivo``, ``uf``): a load replaces
-    its own files' slices only, so a second file of a year adds to it and a
-    re-run of one changes nothing.  ``arquivo`` comes from the reader
-    (``read_raw(file_col="arquivo")``); rows without it belong to ``batch``.  Only
-    the batch's years are typed again, from all files staged for them.  Writers
-    adapt to the size of each slice; ``salt_buckets`` fixes their number instead.
-    Returns the rejected rows, read from staging.
+    Staging and table are versioned (:mod:`regstat.sources.versions`).  Staging keeps each
+    file's rows apart (``ano``, ``arquivo``, ``uf``): a load replaces all slices of its own files,
+    so a second file of a year adds to it, a re-run of one changes nothing, and a
+    corrected file leaves no old rows.  ``arquivo`` comes from the reader
+    (:func:`read_links`); rows without it belong to ``batch``.  Every year in which staging
+    differs from what the table was built from is then typed again and replaced as a
+    whole; a load that died in between is made up for by the next one.  Raw text is
+    read once.  Records that do not fit their header stay in staging, out of the table, and
+    go to ``quarantine_path`` if given.  Writers adapt to the size of each slice; ``salt_buckets``
+    fixes their number instead.  Returns the rejected rows, read from staging.
     """
-    from ..sources import readers, sinks
-
     stage1 = links_stage1(raw, owner, as_of)
     if "arquivo" not in stage1.columns:
         stage1 = stage1.withColumn("arquivo", F.lit(batch))
-    sinks.append_staging(stage1, staging_path, partition_by=("ano", "arquivo", "uf"), salt_buckets=salt_buckets, replace_partitions=True)
-    staged = readers.read_staging(raw.sparkSession, staging_path).filter(F.col("ano").isin(_years_of(raw))).drop("arquivo")
-    ok, rejected = sinks.validate_and_partition(links_stage2(staged), years=years)
-    sinks.append_table(ok, table_path, schemas.SCHEMA_LINKS, partition_by=("ano", "uf"),
-                       salt_buckets=salt_buckets)
+    with settings(raw.sparkSession, PLANNING):
+        versions.commit(stage1, staging_path, ("ano", "arquivo", "uf"), SAME_FILE, salt_buckets=salt_buckets, transaction=transaction)
+    return rebuild_links(raw.sparkSession, staging_path, table_path, years, salt_buckets, quarantine_path)
+
+
+def rebuild_links(spark: SparkSession, staging_path: str, table_path: str, years: tuple[int, int] | None = None,
+                  salt_buckets: int | None = None, quarantine_path: str | None = None) -> DataFrame:
+    """The second half of :func:`load_links`: bring the table up to its staging; returns the rejected rows of the years it touched."""
+    now, touched = _refresh(spark, staging_path, table_path)
+    staged = versions.rows(spark, staging_path, now).filter(F.col("ano").isin(touched)).drop("arquivo")
+    ok, rejected = sinks.validate_and_partition(links_stage2(_fitting(staged)), years=years)
+    if touched:
+        _quarantine(spark, staging_path, now, touched, quarantine_path)
+        sinks.check_schema(ok, schemas.SCHEMA_LINKS)
+        versions.commit(ok, table_path, ("ano", "uf"), versions.where(lambda s: s["ano"] is not None and int(s["ano"]) in touched),
+                        notes={"staging": now.number}, salt_buckets=salt_buckets, metrics=profile.load_metrics(ok, total="vinculo_ativo_31_12", state="uf"))
     return rejected
 
 
 def load_estab(layouts: Sequence[DataFrame] | DataFrame, owner: str, activity_dim: DataFrame, size_dim: DataFrame,
                table_path: str, as_of: str | None = None, first_year: int = 2010, range_years: int = 3,
                last_year: int = 2027, salt_buckets: int | None = None, staging_path: str | None = None,
-               batch: str = "lote") -> DataFrame:
+               batch: str = "lote", quarantine_path: str | None = None, transaction: tuple[str, int] | None = None) -> DataFrame:
     """PIPE-01 end to end: treated rows conformed to the table (SNK-06), staged by
     (``ano``, ``arquivo``) next to the table, checked against the table's 3-year ranges
-    (SNK-04) and written by year (SNK-02).  The batch's years are rebuilt from
-    all their staged files.  Returns the rows outside every range, read from staging."""
-    from ..sources import readers, sinks
-
+    (SNK-04) and written by year (SNK-02).  Files, years and misfits are kept as in
+    :func:`load_links`.  Returns the rows outside every range, read from staging."""
     staging = staging_path or table_path.rstrip("/") + "_staging"
     treated = standardize_estab(layouts, owner, activity_dim, size_dim, as_of)
-    sinks.append_staging(stage_estab(treated, batch), staging, partition_by=("ano", "arquivo"), salt_buckets=salt_buckets, replace_partitions=True)
-    frames = [layouts] if isinstance(layouts, DataFrame) else layouts
-    table = readers.read_staging(treated.sparkSession, staging).filter(F.col("ano").isin(sorted({y for f in frames for y in _years_of(f)})))
-    table = cleanse.conform(table, schemas.SCHEMA_ESTAB_TABLE)
+    spark = treated.sparkSession
+    with settings(spark, PLANNING):
+        versions.commit(stage_estab(treated, batch), staging, ("ano", "arquivo"), SAME_FILE, salt_buckets=salt_buckets, transaction=transaction)
+    now, touched = _refresh(spark, staging, table_path)
+    table = cleanse.conform(_fitting(versions.rows(spark, staging, now).filter(F.col("ano").isin(touched))), schemas.SCHEMA_ESTAB_TABLE)
     inside, outside = sinks.range_bucket(table, "ano", first_year, range_years, last_year)
-    sinks.append_table(inside.select(*schemas.SCHEMA_ESTAB_TABLE.fieldNames()), table_path,
-                       schemas.SCHEMA_ESTAB_TABLE, partition_by=("ano",), salt_buckets=salt_buckets)
+    if touched:
+        _quarantine(spark, staging, now, touched, quarantine_path)
+        ok = inside.select(*schemas.SCHEMA_ESTAB_TABLE.fieldNames())
+        versions.commit(ok, table_path, ("ano",), versions.where(lambda s: s["ano"] is not None and int(s["ano"]) in touched),
+                        notes={"staging": now.number}, salt_buckets=salt_buckets, metrics=profile.load_metrics(ok, total="qtd_vinc_ativos", state="sigla_uf"))
     return outside
 
 
@@ -234,15 +301,32 @@ def load_gdp(vintages: Sequence[DataFrame], owner: str, table_path: str, as_of:
     """PIPE-03 end to end: the whole table is replaced (SNK-03), written in
     (ano, sigla_uf, id_municipio) order by range partitions sorted inside
     (SRT-01 without a single-task global sort); returns the rows read back."""
-    from ..sources import sinks
-
     gdp = conformed_gdp(vintages, owner, as_of)
     ordered = shape.sorted_for_write(gdp, ["ano", "sigla_uf", "id_municipio"],
                                      partitions or gdp.sparkSession.sparkContext.defaultParallelism)
     return sinks.replace_table(ordered, table_path)
 
 
-def stream_links_to_staging(spark, inbox: str, staging_path: str, checkpoint: str, raw_schema: T.StructType,
+def stream_links(spark: SparkSession, inbox: str, staging_path: str, table_path: str, checkpoint: str, owner: str, as_of: str | None = None,
+                 encoding: str = "ISO-8859-1", year_from_name: str | None = None, quarantine_path: str | None = None,
+                 max_files_per_trigger: int | None = None) -> int:
+    """SRC-09 + PIPE-02: new extract files of any mix of layouts, dropped into ``inbox``, go through staging into the table exactly once.
+
+    Each micro-batch groups its files by header, checks each group against its years, stages them under the batch's
+    number and rebuilds the years it touched.  The year comes from ``ano=YYYY`` folders
+    or from the file name.  Returns the number of files this run loaded.
+    """
+    from ..streaming.incremental import each_batch_of_files
+
+    def load(files: list[str], batch: int) -> int:
+        load_links(read_links(spark, files, encoding, year_from_name=year_from_name), owner, staging_path, table_path, as_of,
+                   quarantine_path=quarantine_path, transaction=(checkpoint, batch))
+        return len(files)
+
+    return each_batch_of_files(spark, inbox, checkpoint, load, max_files_per_trigger)
+
+
+def stream_links_to_staging(spark: SparkSession, inbox: str, staging_path: str, checkpoint: str, raw_schema: T.StructType,
                             owner: str, as_of: str | None = None, encoding: str = "ISO-8859-1") -> int:
     """SRC-09 + PIPE-02 stage 1: new extract files of one header layout, dropped
     under ``inbox/ano=YYYY/``, go through stage 1 into staging exactly once.

@@ -22,7 +22,7 @@ from ..functions import columns as C
 from ..operators import classify, cleanse, profile, shape, vintage
 from ..session import scratch_path
 from ..sources import fixtures as fx
-from ..sources import readers, sinks
+from ..sources import readers, sinks, versions
 from ..streaming.incremental import load_new_files
 from . import analyses, flows
 
@@ -178,7 +178,7 @@ def q_dimensions_build(spark, sf):
     for name, df in readers.load_dimensions(dimension_sources(spark, sf), prefix="tb_rais_estab").items():
         typed, types = flows.typed_dimension(df, OWNER, AS_OF)
         sinks.write_dimension(typed, f"{root}/{name}")
-        back = spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("n_linhas"))
+        back = versions.read(spark, f"{root}/{name}").agg(F.count(F.lit(1)).alias("n_linhas"))
         rows = back.select(F.lit(name).alias("tabela"), F.explode(F.create_map(*[F.lit(x) for p in types.items() for x in p])).alias("coluna", "tipo"), "n_linhas")
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -248,7 +248,7 @@ def q_src09_incremental(spark, sf):
     load_new_files(spark, inbox, out, ckpt, schema)          # nothing new: adds 0 rows
     drop_files(F.col("ano") >= 2013)
     load_new_files(spark, inbox, out, ckpt, schema)          # only the new files
-    return spark.read.parquet(out).select([F.col(c) for c in ESTAB_RAW_COLUMNS if c != "ano"]
+    return versions.read(spark, out).select([F.col(c) for c in ESTAB_RAW_COLUMNS if c != "ano"]
                                           + [F.col("ano").cast("int").alias("ano")])
 
 
@@ -275,7 +275,7 @@ def q_snk03_replace_table(spark, sf):
     gdp = gdp_table(spark, sf)
     sinks.replace_table(gdp, path)
     n = sinks.replace_table(gdp, path)
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_linhas"), F.lit(n).cast("bigint").alias("n_lido"))
+    return versions.read(spark, path).agg(F.count(F.lit(1)).alias("n_linhas"), F.lit(n).cast("bigint").alias("n_lido"))
 
 
 def q_snk04_range_bucket(spark, sf):
@@ -295,7 +295,7 @@ def q_snk07_infer_types(spark, sf):
 def q_snk08_write_dimension(spark, sf):
     path = scratch_path(spark, "snk08")
     sinks.write_dimension(dimensions_long(spark, sf), path)
-    return spark.read.parquet(path)
+    return versions.read(spark, path)
 
 
 # --------------------------------------------------------------------------
@@ -523,7 +523,7 @@ def q_estab_load(spark, sf):
     for _ in range(2):
         flows.load_estab(fx.raw_estab_layouts(spark, sf), OWNER, activity_dim(spark), dims.size_dimension(spark),
                              path, AS_OF)
-    back = spark.read.parquet(path)
+    back = versions.read(spark, path)
     return back.select([F.col(f.name).cast(schemas.sql_type(f.dataType)).alias(f.name)
                         for f in schemas.SCHEMA_ESTAB_TABLE.fields])
 
@@ -541,7 +541,7 @@ def q_links_load(spark, sf):
     root = scratch_path(spark, "links_load")
     for _ in range(2):                     # a re-run on the same folders replaces, never doubles
         flows.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging", f"{root}/table", AS_OF)
-    back = spark.read.parquet(f"{root}/table")
+    back = versions.read(spark, f"{root}/table")
     return comparable(back.select([F.col(f.name).cast(schemas.sql_type(f.dataType)).alias(f.name)
                                    for f in schemas.SCHEMA_LINKS.fields]))
 
@@ -553,7 +553,7 @@ def q_set02_two_files_one_year(spark, sf):
     half = F.pmod(F.coalesce(F.col("Idade").try_cast("int"), F.lit(0)), F.lit(2))
     for name in ("a", "b", "a"):
         flows.load_links(raw.filter(half == ("a", "b").index(name)), OWNER, f"{root}/staging", f"{root}/table", AS_OF, batch=name)
-    back = spark.read.parquet(f"{root}/table")
+    back = versions.read(spark, f"{root}/table")
     return comparable(back.select([F.col(f.name).cast(schemas.sql_type(f.dataType)).alias(f.name) for f in schemas.SCHEMA_LINKS.fields]))
 
 
@@ -561,9 +561,10 @@ def q_estab_two_files(spark, sf):
     """SET-02 on establishments: two files of every year, the first one loaded twice."""
     path = scratch_path(spark, "estab_two")
     for name in ("a", "b", "a"):
-        some = [f.filter(F.pmod(F.xxhash64(*[shape.qcol(c) for c in f.columns]), F.lit(2)) == ("a", "b").index(name)) for f in fx.raw_estab_layouts(spark, sf)]
+        half = lambda f: F.pmod(F.coalesce(shape.qcol("ESTOQUE" if "ESTOQUE" in f.columns else "Qtd Vínculos Ativos").try_cast("int"), F.lit(0)), F.lit(2))
+        some = [f.filter(half(f) == ("a", "b").index(name)) for f in fx.raw_estab_layouts(spark, sf)]
         flows.load_estab(some, OWNER, activity_dim(spark), dims.size_dimension(spark), path, AS_OF, batch=name)
-    back = spark.read.parquet(path)
+    back = versions.read(spark, path)
     return back.select([F.col(f.name).cast(schemas.sql_type(f.dataType)).alias(f.name) for f in schemas.SCHEMA_ESTAB_TABLE.fields])
 
 
@@ -576,7 +577,7 @@ def q_gdp_load_text(spark, sf):
         write_text(text, f"{root}/in{i}", "UTF-8")
         vintages.append(readers.read_raw(spark, f"{root}/in{i}", encoding="UTF-8", multi_line=True))
     flows.load_gdp(vintages, OWNER, f"{root}/table", AS_OF)
-    return spark.read.parquet(f"{root}/table").select(*schemas.SCHEMA_GDP.fieldNames())
+    return versions.read(spark, f"{root}/table").select(*schemas.SCHEMA_GDP.fieldNames())
 
 
 def q_gdp_standardize(spark, sf):
@@ -587,7 +588,7 @@ def q_gdp_load(spark, sf):
     """PIPE-03 with its I/O: full replace of a range-partitioned, sorted table; count read back."""
     path = scratch_path(spark, "gdp_load")
     n = flows.load_gdp(fx.raw_gdp_vintages(spark, sf), OWNER, path, AS_OF)
-    return spark.read.parquet(path).withColumn("n_lido", F.lit(n).cast("bigint"))
+    return versions.read(spark, path).withColumn("n_lido", F.lit(n).cast("bigint"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

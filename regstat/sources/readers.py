@@ -7,14 +7,19 @@ inference pass over the data).  The year of each row comes from its file
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+import csv
+import re
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..operators.shape import qcol, stack_vintages
+from . import versions
 
 # Bytes 0x80–0x9F: ISO-8859-1 maps them to C1 controls, cp1252 to printable
 # characters.  The mapping comes from Python's own codec (5 bytes are
@@ -39,35 +44,75 @@ def cp1252_fix_name(name: str) -> str:
 
 
 # --- SRC-01 / SRC-02 ------------------------------------------------------
-def list_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
-    """Data files under paths, folders or globs (file names only, through Hadoop's file systems)."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    found = []
-    for p in [path] if isinstance(path, str) else path:
-        root = jvm.org.apache.hadoop.fs.Path(p)
-        fs = root.getFileSystem(conf)
-        for status in fs.globStatus(root) or []:
-            files = fs.listFiles(status.getPath(), True)
-            while files.hasNext():
-                found.append(files.next().getPath().toString())
-    return sorted(f for f in found if not any(part[:1] in "_." for part in f.rsplit("/", 1)[1:]) and "/_temporary/" not in f)
-
-
-def header_of(spark: SparkSession, file: str, encoding: str) -> str:
-    """The header record of a file: its first line, and the next ones while a quote is open ('' for an empty file)."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(file)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path), encoding))
-    try:
-        header = reader.readLine() or ""
-        while header.count('"') % 2:
-            line = reader.readLine()
-            if line is None:
-                break
-            header += "\n" + line
-        return header
-    finally:
-        reader.close()
+#: Column of rows that have a field too few or too many for their header (:func:`read_raw` ``malformed``).
+MALFORMED = "registro_invalido"
+#: One task takes one file whole up to this size; only its first record is read.
+WHOLE_FILE = 2**40
+
+
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(path, length, modified) of the data files under paths, folders or globs: names only, hidden folders left out, listed by Spark."""
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path if isinstance(path, str) else list(path)))
+    return found.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def file_headers(spark: SparkSession, path: str | Sequence[str], encoding: str = "cp1252", known: str | None = None) -> DataFrame:
+    """(path, header): the first record of each file under ``path``, read by the executors, one short task a file.
+
+    A record goes on over line breaks while a quote is open; empty files have no row.
+    ``known`` names a table that keeps the headers by (path, length, time of change):
+    files in it are not opened again, and new ones are added to it.
+    """
+    java_enc, files = _java_encoding(encoding), list_files(spark, path)
+    if known is None:
+        return _first_records(spark, [r["path"] for r in files.select("path").collect()], java_enc)
+    have = versions.latest(spark, known)
+    if have is not None:
+        files = files.join(versions.read(spark, known).drop("header"), ["path", "length", "modified"], "left_anti")
+    fresh = files.collect()                                          # one row a file, what a reader needs to plan its scan
+    if fresh:
+        table = spark.createDataFrame(fresh, files.schema).join(_first_records(spark, [r["path"] for r in fresh], java_enc), "path", "left")
+        versions.commit(table, known, replaces=versions.nothing)
+    return list_files(spark, path).join(versions.read(spark, known), ["path", "length", "modified"]).select("path", "header").filter("header is not null")
+
+
+def _first_records(spark: SparkSession, files: Sequence[str], java_enc: str) -> DataFrame:
+    schema = "path string, header string"
+    if not files:
+        return spark.createDataFrame([], schema)
+    side = spark.newSession()                                        # its own settings; the caller's stay as they are
+    for name, value in (("spark.sql.files.maxPartitionBytes", WHOLE_FILE), ("spark.sql.files.openCostInBytes", WHOLE_FILE),
+                        ("spark.sql.execution.arrow.maxRecordsPerBatch", 16), ("spark.sql.sources.parallelPartitionDiscovery.threshold", 32)):
+        side.conf.set(name, str(value))
+    lines = side.read.text(list(files)).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("line"))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        record, path = None, None
+        for batch in batches:
+            if path is None and batch.num_rows:
+                if batch["start"][0].as_py():
+                    return                                           # a later part of a very large file
+                path = unquote(batch["path"][0].as_py())                  # Spark gives it as a URI
+            for line in batch["line"].to_pylist():
+                text = line.decode(java_enc, "replace")
+                record = text if record is None else record + "\n" + text
+                if record.count('"') % 2 == 0:
+                    break
+            else:
+                continue
+            break                                                    # the rest of the file stays unread
+        if record:
+            yield pa.record_batch([pa.array([path]), pa.array([record])], names=["path", "header"])
+
+    found = lines.mapInArrow(first, schema).collect()                # one row a file
+    return spark.createDataFrame(found, schema)
+
+
+def header_fields(header: str, sep: str) -> list[str]:
+    """A header record's column names, made unique as Spark's reader does: a repeated one carries its index, an empty one is ``_c<index>``."""
+    fields = next(csv.reader([header], delimiter=sep), [])
+    folded = [f.lower() for f in fields]
+    return [f"_c{i}" if not f else f"{f}{i}" if folded.count(f.lower()) > 1 else f for i, f in enumerate(fields)]
 
 
 def _java_encoding(encoding: str) -> str:
@@ -82,13 +127,19 @@ def _base_path(path: str) -> str:
 
 
 def read_raw(spark: SparkSession, path: str | Sequence[str], encoding: str = "cp1252", sep: str = ";", year_from_name: str | None = None,
-             multi_line: bool = False, file_col: str | None = None, treat: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+             multi_line: bool = False, file_col: str | None = None, treat: Callable[[DataFrame], DataFrame] | None = None,
+             malformed: bool = False, known_headers: str | None = None, check: Callable[[Sequence[str], Iterable[int]], None] | None = None) -> DataFrame:
     """Read ``sep``-delimited text with a header, every column a string.
 
-    Each file is read by its own header: files are grouped by their header
-    record, every group is one scan, and the groups are stacked by column name
-    (a column that a group lacks is NULL).  ``treat`` runs on each group before,
-    so headers that only differ in spelling can be brought together.
+    Each file is read by its own header (:func:`file_headers`, read by the executors):
+    files are grouped by their header record, every group is one scan, and the groups are
+    stacked by column name (a column that a group lacks is NULL).  ``treat`` runs on each
+    group before, so headers that only differ in spelling can be brought together, and
+    ``check(columns, years)`` may refuse a group that lacks a column of its own years.
+
+    With ``malformed``, column ``registro_invalido`` holds the text of every record that has a field
+    too few or too many, and is NULL for the others.  ``known_headers`` names a table that
+    keeps headers from run to run.
 
     Spark's CSV source refuses ``cp1252``; it is read as ISO-8859-1 (same
     bytes outside 0x80–0x9F) and the 27 differing characters are translated
@@ -97,25 +148,36 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], encoding: str = "cp
     without a year is an error that names the file.  ``multi_line`` is for
     exports with line breaks inside quoted headers or values.
     """
-    java_enc = _java_encoding(encoding)
     groups: dict[str, list[str]] = {}
-    for file in list_files(spark, path):
-        header = header_of(spark, file, java_enc)
-        if header:
-            groups.setdefault(header, []).append(file)
+    for row in file_headers(spark, path, encoding, known_headers).collect():
+        groups.setdefault(row["header"], []).append(row["path"])
     if not groups:
         raise ValueError(f"no file with a header under {path}")
-    frames = [_read_group(spark, files, path, encoding, java_enc, sep, year_from_name, multi_line, file_col) for files in groups.values()]
-    frames = [treat(f) for f in frames] if treat else frames
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    frames = []
+    for header, files in sorted(groups.items(), key=lambda g: min(g[1])):
+        df = _read_group(spark, header_fields(header, sep), sorted(files), path, encoding, sep, year_from_name, multi_line, file_col, malformed)
+        df = treat(df) if treat else df
+        if check:
+            check(df.columns, _years_of_files(files, year_from_name))
+        frames.append(df)
+    return stack_vintages(frames)
 
 
-def _read_group(spark, files, path, encoding, java_enc, sep, year_from_name, multi_line, file_col) -> DataFrame:
-    reader = (spark.read.option("sep", sep).option("header", "true").option("encoding", java_enc)
-              .option("inferSchema", "false").option("mode", "PERMISSIVE").option("multiLine", str(multi_line).lower()))
+def _years_of_files(files: Iterable[str], year_from_name: str | None) -> set[int]:
+    """The years that files are of, by their ``ano=YYYY`` folder or their name."""
+    found = set()
+    for f in files:
+        folder = re.search(r"/ano=(\d{4})/", f)
+        name = re.search(year_from_name, f.rsplit("/", 1)[1]) if year_from_name and not folder else None
+        found |= {int(m.group(1)) for m in (folder, name) if m}
+    return found
+
+
+def _read_group(spark, fields, files, path, encoding, sep, year_from_name, multi_line, file_col, malformed) -> DataFrame:
+    java_enc = _java_encoding(encoding)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in fields + [MALFORMED] * malformed])
+    reader = (spark.read.schema(schema).option("sep", sep).option("header", "true").option("encoding", java_enc)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).option("multiLine", str(multi_line).lower()))
     base = _base_path(path if isinstance(path, str) else path[0])
     if any("=" in f.rsplit("/", 1)[0] for f in files) and base:
         reader = reader.option("basePath", base)
@@ -125,7 +187,7 @@ def _read_group(spark, files, path, encoding, java_enc, sep, year_from_name, mul
     for f in df.schema.fields:
         text = isinstance(f.dataType, T.StringType)
         name = cp1252_fix_name(f.name) if fix else f.name
-        cols.append((cp1252_fix(f.name) if fix and text else qcol(f.name)).alias(name))
+        cols.append(cp1252_fix(f.name).alias(name) if fix and text else qcol(f.name))
     if year_from_name and "ano" not in df.columns:      # ano=YYYY folders already give it
         name = F.col("_metadata.file_name")
         year = F.regexp_extract(name, year_from_name, 1)
@@ -168,7 +230,7 @@ def load_dimensions(sheets: Mapping[str, Callable[[], DataFrame]], prefix: str,
 # --- SRC-06 ---------------------------------------------------------------
 def read_staging(spark: SparkSession, path: str, uf: str | None = None) -> DataFrame:
     """Re-read staging without its technical ``_id``; ``uf`` prunes partitions."""
-    df = spark.read.parquet(path)
+    df = versions.read(spark, path)
     if "_id" in df.columns:
         df = df.drop("_id")
     if uf is not None:

@@ -10,14 +10,15 @@ replace only the partitions present in the data (dynamic, per write).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import dims
 from ..operators.shape import qcol
+from . import versions
 
 
 def salted(df: DataFrame, keys: Sequence[str], salt_buckets: int, partitions: int | None = None) -> DataFrame:
@@ -28,7 +29,8 @@ def salted(df: DataFrame, keys: Sequence[str], salt_buckets: int, partitions: in
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("ano",), mode: str = "append",
-                      salt_buckets: int | None = None) -> None:
+                      salt_buckets: int | None = None, observed: tuple[Observation, Mapping[str, Column]] | None = None,
+                      sort_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> None:
     """Partitioned Parquet write.
 
     With ``salt_buckets`` every partition value is spread over that many
@@ -36,12 +38,19 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("
     partition columns (``REBALANCE`` hint): AQE splits a skewed partition by
     size into several tasks and merges tiny ones, so there are neither huge
     single-task partitions nor floods of small files.
+
+    ``observed`` collects aggregates in the writing tasks themselves (after the
+    shuffle, where a retried task counts once).  ``sort_by`` orders rows inside each slice of each file.
     """
     if salt_buckets:
         df = salted(df, partition_by, salt_buckets)
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
-    w = df.write.mode(mode)
+    if observed:
+        df = df.observe(observed[0], *[v.alias(k) for k, v in observed[1].items()])
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
+    w = df.write.mode(mode).options(**(options or {}))
     if mode == "overwrite" and partition_by:
         # replace only the partitions present in df (per write, not a session setting)
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -82,9 +91,14 @@ def append_table(df: DataFrame, path: str, schema: T.StructType, partition_by: S
 
 # --- SNK-03 ---------------------------------------------------------------
 def replace_table(df: DataFrame, path: str) -> int:
-    """Replace the whole table, then read the row count back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    """Replace the whole table in one step, then read the row count back.
+
+    The rows are written beside the table and become its next version when all
+    of them are there (see :mod:`versions`): a failed load leaves the old table, and a
+    table can be replaced from itself.  Read it with :func:`read_back`.
+    """
+    versions.commit(df, path)
+    return versions.read(df.sparkSession, path).count()
 
 
 # --- SNK-04 ---------------------------------------------------------------
@@ -129,7 +143,8 @@ def write_dimension(df: DataFrame, path: str) -> int:
 
 
 def read_back(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A table as its last finished load left it."""
+    return versions.read(spark, path)
 
 
 __all__ = ["append_staging", "append_table", "replace_table", "range_bucket", "validate_and_partition", "flag_range", "flag_valid",

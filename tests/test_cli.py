@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from regstat import cli
 from regstat.sources import fixtures as fx
+from regstat.sources import versions
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,13 +24,13 @@ def test_cli_estab_links_dims_report(spark, tmpdir_fresh):
               "--codes", f"{d}/codes", "--out", f"{d}/tb_estab", "--rejected", f"{d}/rej", "--salt-buckets", "2"],
              spark)
     n_orders = spark.read.parquet(f"{SF}/orders.parquet").count()
-    assert spark.read.parquet(f"{d}/tb_estab").count() == n_orders
+    assert versions.read(spark, f"{d}/tb_estab").count() == n_orders
     assert spark.read.parquet(f"{d}/rej").count() == 0
 
     _write_text(fx.raw_links(spark, SF), f"{d}/links")
     cli.main(["links", "--owner", "t", "--encoding", "ISO-8859-1", "--input", f"{d}/links", "--partitioned",
               "--staging", f"{d}/stg", "--out", f"{d}/tb_links", "--salt-buckets", "2"], spark)
-    links = spark.read.parquet(f"{d}/tb_links")
+    links = versions.read(spark, f"{d}/tb_links")
     assert links.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
     assert links.filter(F.col("uf").isNull()).count() == 0
 
@@ -38,7 +39,7 @@ def test_cli_estab_links_dims_report(spark, tmpdir_fresh):
                               F.concat(F.lit(" "), "r_name").alias("descricao")), f"{d}/regiao", partition=False)
     cli.main(["dims", "--owner", "t", "--encoding", "ISO-8859-1", "--sheet", f"0_capa={d}/regiao",
               "--sheet", f"1_regiao={d}/regiao", "--sheet", f"9_notas={d}/regiao", "--out", f"{d}/dims"], spark)
-    dim = spark.read.parquet(f"{d}/dims/TB_RAIS_ESTABREGIAO")
+    dim = versions.read(spark, f"{d}/dims/TB_RAIS_ESTABREGIAO")
     assert dim.count() == 5 and dim.filter(F.col("descricao").startswith(" ")).count() == 0
 
     cli.main(["report", "estab_breakdown", "--table", f"{d}/tb_estab", "--out", f"{d}/rep"], spark)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regstat.operators import shape
-from regstat.sources import readers, sinks
+from regstat.sources import readers, sinks, versions
 from regstat.streaming.incremental import load_new_files
 
 from .conftest import one
@@ -136,7 +136,7 @@ def test_incremental_load_skips_seen_files(spark, tmpdir_fresh):
     assert load_new_files(spark, inbox, out, ckpt, schema) == 0          # nothing new
     write_bytes(f"{inbox}/f2.txt", "a;b\n3;y\n".encode("cp1252"))
     assert load_new_files(spark, inbox, out, ckpt, schema) == 1          # only the new file
-    rows = spark.read.parquet(out)
+    rows = versions.read(spark, out)
     assert rows.count() == 3
     assert sorted(r["arquivo"] for r in rows.collect()) == ["f1.txt", "f1.txt", "f2.txt"]
     assert rows.filter(F.col("a") == "1").collect()[0]["b"] == "Município"
@@ -154,7 +154,7 @@ def test_incremental_load_takes_late_files_and_counts_all(spark, tmpdir_fresh):
     for i in range(104):                                     # more triggers than Spark's default progress list
         write_bytes(f"{inbox}/many{i}.txt", b"a\n9\n")
     assert load_new_files(spark, inbox, out, ckpt, schema, max_files_per_trigger=1) == 104
-    assert spark.read.parquet(out).count() == 107
+    assert versions.read(spark, out).count() == 107
 
 
 def test_incremental_load_refuses_another_layout(spark, tmpdir_fresh):
@@ -190,14 +190,14 @@ def test_second_file_of_a_year_adds_and_a_rerun_changes_nothing(spark, tmpdir_fr
     n = {f: raw.filter(F.col("arquivo") == f).count() for f in ("f0", "f1")}
     for f, want in (("f0", n["f0"]), ("f1", n["f0"] + n["f1"]), ("f0", n["f0"] + n["f1"])):
         flows.load_links(raw.filter(F.col("arquivo") == f), "t", stg, tb, "2024-01-31")
-        assert spark.read.parquet(stg).count() == spark.read.parquet(tb).count() == want
-    assert "uf" in spark.read.parquet(stg).inputFiles()[0] and n["f0"] and n["f1"]
+        assert versions.read(spark, stg).count() == versions.read(spark, tb).count() == want
+    assert "uf" in versions.read(spark, stg).inputFiles()[0] and n["f0"] and n["f1"]
     estab = fx.raw_estab_layouts(spark, "/root/testdata/sf0.001")[1].filter("ano = 2015")
     act, size, out = dims.activity_dimension(spark, fx.fixture_codes()), dims.size_dimension(spark), f"{tmpdir_fresh}/estab"
     half = F.pmod(F.xxhash64(*[shape.qcol(c) for c in estab.columns]), F.lit(2))
     for i in (0, 1, 0):
         flows.load_estab(estab.filter(half == i), "t", act, size, out, "2024-01-31", batch=f"b{i}")
-    assert spark.read.parquet(out).count() == estab.count()
+    assert versions.read(spark, out).count() == estab.count()
 
 
 def test_load_links_end_to_end(spark, tmpdir_fresh):
@@ -207,13 +207,13 @@ def test_load_links_end_to_end(spark, tmpdir_fresh):
     rejected = flows.load_links(raw, "t", f"{tmpdir_fresh}/stg", f"{tmpdir_fresh}/tb", "2024-01-31",
                                     years=(2010, 2019), salt_buckets=2)
     n_raw = raw.count()
-    n_table = spark.read.parquet(f"{tmpdir_fresh}/tb").count()
+    n_table = versions.read(spark, f"{tmpdir_fresh}/tb").count()
     assert n_table + rejected.count() == n_raw
     assert rejected.filter("ano < 2020").count() == 0                    # only the year bound rejects here
     flows.load_links(raw, "t", f"{tmpdir_fresh}/stg", f"{tmpdir_fresh}/tb", "2024-01-31",
                          years=(2010, 2019), salt_buckets=2)
-    assert spark.read.parquet(f"{tmpdir_fresh}/stg").count() == n_raw      # staging years replaced too
-    assert spark.read.parquet(f"{tmpdir_fresh}/tb").count() == n_table   # re-run: replaced, not doubled
+    assert versions.read(spark, f"{tmpdir_fresh}/stg").count() == n_raw      # staging years replaced too
+    assert versions.read(spark, f"{tmpdir_fresh}/tb").count() == n_table   # re-run: replaced, not doubled
 
 
 def test_select_paths_lists_without_reading_content(spark, tmpdir_fresh):
@@ -233,9 +233,9 @@ def test_load_links_reprocesses_only_the_batch_years(spark, tmpdir_fresh):
     raw = fx.raw_links(spark, "/root/testdata/sf0.001")
     stg, tb = f"{tmpdir_fresh}/stg", f"{tmpdir_fresh}/tb"
     flows.load_links(raw.filter("ano <= 2016"), "t", stg, tb, "2024-01-31", salt_buckets=2)
-    before = {r["ano"]: r["n"] for r in spark.read.parquet(tb).groupBy("ano").agg(F.count("*").alias("n")).collect()}
+    before = {r["ano"]: r["n"] for r in versions.read(spark, tb).groupBy("ano").agg(F.count("*").alias("n")).collect()}
     flows.load_links(raw.filter("ano > 2016"), "t", stg, tb, "2024-01-31", salt_buckets=2)
-    after = {r["ano"]: r["n"] for r in spark.read.parquet(tb).groupBy("ano").agg(F.count("*").alias("n")).collect()}
+    after = {r["ano"]: r["n"] for r in versions.read(spark, tb).groupBy("ano").agg(F.count("*").alias("n")).collect()}
     assert {y: n for y, n in after.items() if y <= 2016} == before                 # earlier years kept as they were
     assert sum(after.values()) == raw.count()
 
@@ -257,7 +257,7 @@ def test_stream_links_to_staging_once(spark, tmpdir_fresh):
     assert flows.stream_links_to_staging(spark, inbox, stg, ckpt, schema, "t", "2024-01-31") == 0
     drop("ano > 2016")
     n2 = flows.stream_links_to_staging(spark, inbox, stg, ckpt, schema, "t", "2024-01-31")
-    staged = spark.read.parquet(stg)
+    staged = versions.read(spark, stg)
     assert n1 + n2 == raw.count() == staged.count()
     assert sorted(r[0] for r in staged.select("ano").distinct().collect()) == list(range(2014, 2021))
     assert "vl_rem_janeiro_cc" in staged.columns and "uf" in staged.columns
