@@ -13,7 +13,7 @@ from .functions import columns as C
 from .operators.vintage import INT_COLUMNS, MONTHS, PAY_COLUMNS
 from .plans import flows as P
 from .plans.analyses import BREAKDOWN
-from .plans.queries import AS_OF, ESTAB_RAW_COLUMNS, OWNER, STAGING_VIEW
+from .plans.queries import AS_OF, ESTAB_RAW_COLUMNS, OWNER, PROFILED, STAGING_VIEW
 from .sources import fixtures as fx
 
 D = fx.DUCK
@@ -490,9 +490,49 @@ def build() -> dict[str, str]:
         f"WHEN max(TRY_CAST({c} AS BIGINT)) < 2147483647 THEN 'int' ELSE 'bigint' END "
         f"ELSE 'varchar(' || CAST(max(length({c})) AS VARCHAR) || ')' END AS tipo, count(*) AS n_linhas FROM ({dimensions_long()}) d GROUP BY tabela"
         for c in ("codigo", "descricao", "curr_date", "ds_owner"))
+    later_rounds(o, lk, gdp)
     return o
 
 
+def later_rounds(o: dict[str, str], lk: str, gdp: str) -> None:
+    """Queries over versioned tables: what is in them after all loads."""
+    o["src01_malformed"] = f"""
+        SELECT chave, situacao, CASE WHEN curto THEN NULL ELSE prioridade END AS prioridade,
+               CASE WHEN curto THEN concat_ws(';', chave, situacao) WHEN longo THEN concat_ws(';', chave, situacao, prioridade, 'x') END AS registro_invalido,
+               true AS com_arquivo
+        FROM (SELECT CAST(o_orderkey AS VARCHAR) AS chave, o_orderstatus AS situacao, o_orderpriority AS prioridade, o_orderkey % 101 = 0 AS longo,
+                     o_orderkey % 97 = 0 AND o_orderkey % 101 <> 0 AS curto FROM orders) s"""
+    per_year = {y: sum(fx.in_vintage(fx.LINK_HEADERS[n], y) for n in LINK_RAW_COLUMNS if n != "ano") for y in range(2014, 2021)}
+    o["src02_file_headers"] = " UNION ALL ".join(f"SELECT {y} AS ano, {n} AS n_colunas" for y, n in per_year.items())
+    o["src09_stream_mixed"] = comparable(lk, LINK_FIELDS)
+    o["snk03_replace_from_itself"] = f"SELECT * FROM ({gdp}) g WHERE ano <> 2010"
+    kinds = {"codigo": ["CAST(p_partkey % 1000 AS VARCHAR)", "CAST(p_partkey + 100000 AS VARCHAR)", "'P' || p_partkey"],
+             "descricao": ["p_brand", "p_type", "CAST(p_partkey + 3000000000 AS VARCHAR)"]}
+    sheet = " UNION ALL ".join(f"SELECT {i + 1} AS carga, {kinds['codigo'][i]} AS codigo, {kinds['descricao'][i]} AS descricao FROM part WHERE p_partkey % 3 = {i}" for i in range(3))
+    o["snk07_widening"] = f"""
+        SELECT n AS carga, CASE n WHEN 1 THEN 'smallint' WHEN 2 THEN 'int' ELSE 'varchar(' || greatest(11, max(length(codigo))) || ')' END AS tipo_codigo,
+               'varchar(' || greatest(max(length(descricao)) FILTER (WHERE carga < 3), CASE n WHEN 3 THEN 20 ELSE 0 END) || ')' AS tipo_descricao,
+               count(*) AS n_linhas, CAST(max(length(codigo)) AS INTEGER) AS max_len
+        FROM ({sheet}) s JOIN (SELECT unnest([1, 2, 3]) AS n) k ON carga <= n GROUP BY n"""
+    t = estab_table()
+    ints = [f.name for f in schemas.SCHEMA_ESTAB_TABLE.fields if schemas.sql_type(f.dataType) in ("smallint", "int")]
+    parts = ["SELECT 'linhas' AS medida, '' AS coluna, count(*) AS valor FROM t", "SELECT 'total', 'qtd_vinc_ativos', sum(qtd_vinc_ativos) FROM t"]
+    parts += [f"SELECT 'nulos', '{f.name}', count(*) FILTER (WHERE {f.name} IS NULL) FROM t" for f in schemas.SCHEMA_ESTAB_TABLE.fields]
+    parts += [f"SELECT 'menos_um', '{c}', count(*) FILTER (WHERE {c} = -1) FROM t" for c in ints]
+    for code, letters in dims.UF_CODES:
+        parts += [f"SELECT 'linhas_uf', '{letters}', count(*) FILTER (WHERE sigla_uf = {int(code)}) FROM t",
+                  f"SELECT 'total_uf', '{letters}', coalesce(sum(qtd_vinc_ativos) FILTER (WHERE sigla_uf = {int(code)}), 0) FROM t"]
+    o["agg05_load_report"] = f"WITH t AS MATERIALIZED (SELECT * FROM ({t}) e WHERE ano BETWEEN 2010 AND 2027) SELECT medida, coluna, CAST(valor AS BIGINT) AS valor FROM ({' UNION ALL '.join(parts)}) u"
+    o["agg06_profile_by_year"] = f"WITH t AS MATERIALIZED (SELECT * FROM ({t}) e WHERE ano BETWEEN 2010 AND 2027) " + " UNION ALL ".join(
+        f"SELECT '{c}' AS coluna, CAST(max({c}) AS VARCHAR) AS max_valor, CAST(max(length(CAST({c} AS VARCHAR))) AS BIGINT) AS max_len, count(DISTINCT {c}) AS n_distintos FROM t" for c in PROFILED)
+    o["set02_corrected_file"] = comparable(f"SELECT * FROM ({lk}) l WHERE NOT (ano = 2018 AND uf = 'RO')", LINK_FIELDS)
+    o["set02_load_made_up"] = comparable(lk, LINK_FIELDS)
+    reloaded = f"(SELECT * FROM ({lk}) l WHERE NOT (ano = 2018 AND uf = 'SP') OR sexo_trabalhador = 1)"
+    o["qry01_headcount_mart"] = o["qry01_headcount"].replace(f"({lk})", reloaded)
+    o["qry04_breakdown_mart"] = o["qry04_estab_breakdown"].replace(f"({estab_treated()})", f"({t})")
+    o["snk05_place_lookup"] = comparable(f"SELECT * FROM ({lk}) l WHERE uf = 'SP' AND municipio = (SELECT min(municipio) FROM ({lk}) m WHERE uf = 'SP')", LINK_FIELDS)
+
+
 _CACHE: dict[str, str] | None = None
 
 

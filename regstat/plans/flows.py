@@ -189,11 +189,48 @@ def typed_dimension(df: DataFrame, owner: str, as_of: str | None = None) -> tupl
     return typed.select([shape.qcol(c) if types[c].startswith("varchar") else shape.qcol(c).cast(types[c]).alias(c) for c in typed.columns]), types
 
 
+#: Integer types of a dimension, narrow to wide, and the longest text of each.
+INTEGERS = {"smallint": 6, "int": 11, "bigint": 20}
+
+
+def wider_type(a: str | None, b: str | None) -> str:
+    """The narrowest dictionary type that holds the values of both."""
+    if a is None or b is None:
+        return a or b
+    order = list(INTEGERS)
+    if a in INTEGERS and b in INTEGERS:
+        return max(a, b, key=order.index)
+    length = lambda t: INTEGERS[t] if t in INTEGERS else int(t[8:-1])
+    return f"varchar({max(length(a), length(b))})"
+
+
+def load_dimension(df: DataFrame, path: str, owner: str, as_of: str | None = None) -> dict[str, str]:
+    """PIPE-04 with its I/O: a dictionary sheet's rows are added to their table, whose column types widen when they have to.
+
+    The registry of types (SNK-07, from all loads so far) is kept with each version.
+    Integers widen in place: stored files stay and are read as the wider type.  A column that turns
+    from integer to text has the stored rows written again, in the same commit.  Returns the registry.
+    """
+    typed, found = typed_dimension(df, owner, as_of)
+    spark, base = df.sparkSession, versions.latest(df.sparkSession, path)
+    known = base.notes.get("types", {}) if base else {}
+    types = {c: wider_type(known.get(c), found.get(c)) for c in {**known, **found}}
+    as_type = lambda frame: frame.select([shape.qcol(c).cast("string" if types[c].startswith("varchar") else types[c]).alias(c) for c in frame.columns])
+    turned = any(known.get(c) in INTEGERS and types[c] not in INTEGERS for c in types)
+    if turned:
+        versions.commit(shape.stack_vintages([as_type(versions.read(spark, path)), as_type(typed)]), path, replaces=versions.everything, notes={"types": types}, retype=True)
+    else:
+        versions.commit(as_type(typed), path, replaces=versions.nothing, notes={"types": types})
+    return types
+
+
 # --------------------------------------------------------------------------
 # The pipelines with their I/O (staging, validation, partitioned warehouse)
 # --------------------------------------------------------------------------
 #: Planning a load: constraints inferred from a filter over many raw columns would double with every renamed column.
 PLANNING = {"spark.sql.constraintPropagation.enabled": "false"}
+#: The links table's lookup column inside (ano, uf): rows of a file are in its order, and its row groups carry a Bloom filter.
+LOOKUP = ("municipio",)
 #: Slices of a file: a load replaces all of them, also those that the file no longer has.
 SAME_FILE = versions.same("ano", "arquivo")
 
@@ -214,6 +251,17 @@ def read_estab(spark: SparkSession, path: str | Sequence[str], encoding: str = "
                             known_headers=known_headers, check=vintage.check_estab)
 
 
+def bloom_filters(columns: Iterable[str], values: int = 10_000) -> dict[str, str]:
+    """Parquet writer options: a Bloom filter in each row group for columns of at most about ``values`` different values in it."""
+    return {k: v for c in columns for k, v in ((f"parquet.bloom.filter.enabled#{c}", "true"), (f"parquet.bloom.filter.expected.ndv#{c}", str(values)))}
+
+
+def links_of_place(spark: SparkSession, table_path: str, municipio: int, uf: str | None = None) -> DataFrame:
+    """All links of one municipality: one state's slices if it is named, and in them the row groups that can hold it."""
+    rows = versions.read(spark, table_path).filter(F.col("municipio") == municipio)
+    return rows.filter(F.col("uf") == uf) if uf else rows
+
+
 def _refresh(spark: SparkSession, staging: str, table: str) -> tuple[versions.Version, list[int]]:
     """Staging's newest version, and the years in which it differs from the version the table was built from."""
     now, built = versions.latest(spark, staging), versions.latest(spark, table)
@@ -268,7 +316,8 @@ def rebuild_links(spark: SparkSession, staging_path: str, table_path: str, years
         _quarantine(spark, staging_path, now, touched, quarantine_path)
         sinks.check_schema(ok, schemas.SCHEMA_LINKS)
         versions.commit(ok, table_path, ("ano", "uf"), versions.where(lambda s: s["ano"] is not None and int(s["ano"]) in touched),
-                        notes={"staging": now.number}, salt_buckets=salt_buckets, metrics=profile.load_metrics(ok, total="vinculo_ativo_31_12", state="uf"))
+                        notes={"staging": now.number}, salt_buckets=salt_buckets, metrics=profile.load_metrics(ok, total="vinculo_ativo_31_12", state="uf"),
+                        sort_by=LOOKUP, options=bloom_filters(LOOKUP))
     return rejected
 
 

@@ -11,7 +11,7 @@ hand over the same Python values.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import readers, sinks, versions
 from ..streaming.incremental import load_new_files
-from . import analyses, flows
+from . import analyses, flows, marts
 
 OWNER = "regstat"
 AS_OF = "2024-01-31"
@@ -109,10 +109,10 @@ def q_src02_read_latin1(spark, sf):
     return df.select([F.col(n) for n, _ in fx.links_exprs(fx.SPARK)])
 
 
-def mixed_vintages(spark, sf, path: str) -> None:
+def mixed_vintages(spark, sf, path: str, years: Iterable[int] = range(2014, 2021)) -> None:
     """Every year's links extract with the columns of its own vintage, in an order of its own, all under one folder."""
     raw = fx.raw_links(spark, sf)
-    for year in range(2014, 2021):
+    for year in years:
         own = [c for c in raw.columns if c != "ano" and fx.in_vintage(c, year)]
         turn = year % len(own)
         write_text(raw.filter(F.col("ano") == year).select([shape.qcol(c) for c in own[turn:] + own[:turn]]), f"{path}/ano={year}")
@@ -191,7 +191,7 @@ def q_src05_load_dimensions(spark, sf):
 def _staged_links(spark, sf) -> str:
     path = scratch_path(spark, "staging")
     stage1 = flows.links_stage1(fx.raw_links(spark, sf), OWNER, AS_OF)
-    sinks.append_staging(stage1, path, partition_by=("ano",), salt_buckets=4)
+    sinks.append_staging(stage1, path, partition_by=("ano", "uf"), salt_buckets=4)
     return path
 
 
@@ -252,6 +252,39 @@ def q_src09_incremental(spark, sf):
                                           + [F.col("ano").cast("int").alias("ano")])
 
 
+def malformed_orders(spark, sf, path: str) -> None:
+    """Orders as text of three fields; one record in 97 lacks its last field, one in 101 has a fourth."""
+    key = F.col("o_orderkey")
+    line = F.concat_ws(";", key.cast("string"), "o_orderstatus", F.when((key % 97 != 0) | (key % 101 == 0), F.col("o_orderpriority")), F.when(key % 101 == 0, F.lit("x")))
+    (fx.read_table(spark, sf, "orders").select(line.alias("chave;situacao;prioridade")).write.option("header", "true").option("sep", "\u0001").csv(path))
+
+
+def q_src01_malformed(spark, sf):
+    """SRC-01: records with a field too few or too many are marked with their text and file, the others are read as ever."""
+    path = scratch_path(spark, "malformed")
+    malformed_orders(spark, sf, path)
+    df = readers.read_raw(spark, path, malformed=True, file_col="arquivo")
+    return df.select("chave", "situacao", "prioridade", readers.MALFORMED, F.col("arquivo").startswith("part-").alias("com_arquivo"))
+
+
+def q_src02_file_headers(spark, sf):
+    """SRC-01/02, SRC-07: the headers of a folder of files of many layouts, read by the executors; known files are not opened again."""
+    root = scratch_path(spark, "headers")
+    mixed_vintages(spark, sf, f"{root}/in")
+    readers.file_headers(spark, f"{root}/in/ano=2014", "ISO-8859-1", known=f"{root}/known")
+    found = readers.file_headers(spark, f"{root}/in", "ISO-8859-1", known=f"{root}/known")
+    return found.select(F.regexp_extract("path", "ano=([0-9]{4})", 1).cast("int").alias("ano"), F.size(F.split("header", ";")).alias("n_colunas")).distinct()
+
+
+def q_src09_stream_mixed(spark, sf):
+    """SRC-09 + PIPE-02: files of seven layouts dropped into one inbox in two goes, streamed into the typed table; a third run finds nothing."""
+    root = scratch_path(spark, "stream")
+    for years in (range(2014, 2018), range(2018, 2021), ()):
+        mixed_vintages(spark, sf, f"{root}/in", years)
+        flows.stream_links(spark, f"{root}/in", f"{root}/staging", f"{root}/table", f"{root}/ckpt", OWNER, AS_OF)
+    return comparable(versions.read(spark, f"{root}/table"))
+
+
 # --------------------------------------------------------------------------
 # 2.2 sinks
 # --------------------------------------------------------------------------
@@ -278,6 +311,14 @@ def q_snk03_replace_table(spark, sf):
     return versions.read(spark, path).agg(F.count(F.lit(1)).alias("n_linhas"), F.lit(n).cast("bigint").alias("n_lido"))
 
 
+def q_snk03_replace_from_itself(spark, sf):
+    """SNK-03: a table replaced from its own rows."""
+    path = scratch_path(spark, "snk03_itself")
+    sinks.replace_table(gdp_rows(spark, sf), path)
+    sinks.replace_table(sinks.read_back(spark, path).filter("ano <> 2010"), path)
+    return sinks.read_back(spark, path)
+
+
 def q_snk04_range_bucket(spark, sf):
     """SNK-04 on the links years 2014..2020 with ranges of 3 from 2010 to 2018."""
     return sinks.flag_range(links_typed(spark, sf), "ano", 2010, 3, 2018).groupBy("ano_de", "ano_ate").agg(F.count(F.lit(1)).alias("n_linhas"))
@@ -292,6 +333,23 @@ def q_snk07_infer_types(spark, sf):
     return profile.infer_narrow_types(estab_treated(spark, sf))
 
 
+def q_snk07_widening(spark, sf):
+    """SNK-07 over several loads: a first sheet of small codes, a second of larger ones, a third whose code is text."""
+    path = scratch_path(spark, "widening")
+    part = fx.read_table(spark, sf, "part")
+    code = F.col("p_partkey")
+    sheets = [part.filter("p_partkey % 3 = 0").select((code % 1000).cast("string").alias("codigo"), F.col("p_brand").alias("descricao")),
+              part.filter("p_partkey % 3 = 1").select((code + 100000).cast("string").alias("codigo"), F.col("p_type").alias("descricao")),
+              part.filter("p_partkey % 3 = 2").select(F.concat(F.lit("P"), code).alias("codigo"), (code + 3000000000).cast("string").alias("descricao"))]
+    history = None
+    for i, sheet in enumerate(sheets):
+        types = flows.load_dimension(sheet, path, OWNER, AS_OF)
+        now = versions.read(spark, path).agg(F.count(F.lit(1)).alias("n_linhas"), F.max(F.length(F.col("codigo").cast("string"))).alias("max_len"))
+        row = now.select(F.lit(i + 1).alias("carga"), F.lit(types["codigo"]).alias("tipo_codigo"), F.lit(types["descricao"]).alias("tipo_descricao"), "n_linhas", "max_len")
+        history = row if history is None else history.unionByName(row)
+    return history
+
+
 def q_snk08_write_dimension(spark, sf):
     path = scratch_path(spark, "snk08")
     sinks.write_dimension(dimensions_long(spark, sf), path)
@@ -467,6 +525,30 @@ def q_agg06_column_profile(spark, sf):
                                   ["sigla_uf", "nat_jur", "cnae_2_subclasse", "setor_ibge", "porte_sebrae", "cep"])
 
 
+def _load_estab(spark, sf, path: str, keep=None, **kw) -> None:
+    layouts = [f if keep is None else f.filter(keep) for f in fx.raw_estab_layouts(spark, sf)]
+    flows.load_estab(layouts, OWNER, activity_dim(spark), dims.size_dimension(spark), path, AS_OF, **kw)
+
+
+def q_agg05_load_report(spark, sf):
+    """AGG-01..05 as the load's own report: collected in the tasks that write the table."""
+    path = scratch_path(spark, "report")
+    _load_estab(spark, sf, path)
+    return profile.load_report(spark, path)
+
+
+PROFILED = ["sigla_uf", "nat_jur", "cnae_2_subclasse", "setor_ibge", "porte_sebrae", "cep"]
+
+
+def q_agg06_profile_by_year(spark, sf):
+    """AGG-06 kept up to date: the profile of a table after its first years, then after the rest, which alone is read."""
+    root = scratch_path(spark, "profile")
+    for keep in ("ano <= 2012", "ano > 2012"):
+        _load_estab(spark, sf, f"{root}/table", keep)
+        out = profile.refresh_profile(spark, f"{root}/table", f"{root}/state", PROFILED)
+    return out
+
+
 # --------------------------------------------------------------------------
 # 2.8 analyses, 2.10 sorts, 2.14 composed flows
 # --------------------------------------------------------------------------
@@ -557,6 +639,56 @@ def q_set02_two_files_one_year(spark, sf):
     return comparable(back.select([F.col(f.name).cast(schemas.sql_type(f.dataType)).alias(f.name) for f in schemas.SCHEMA_LINKS.fields]))
 
 
+def q_set02_corrected_file(spark, sf):
+    """SET-02: a file loaded, then its corrected form without one state's rows of one year: none of them stay."""
+    root = scratch_path(spark, "corrected")
+    raw = fx.raw_links(spark, sf)
+    flows.load_links(raw, OWNER, f"{root}/staging", f"{root}/table", AS_OF, batch="a")
+    ro = F.col("Município").startswith("11")
+    flows.load_links(raw.filter((F.col("ano") == 2018) & ~F.coalesce(ro, F.lit(False))), OWNER, f"{root}/staging", f"{root}/table", AS_OF, batch="a")
+    return comparable(versions.read(spark, f"{root}/table"))
+
+
+def q_set02_load_made_up(spark, sf):
+    """SET-02: a load that dies between staging and table is made up for by the next one, whichever file it is of."""
+    root = scratch_path(spark, "made_up")
+    raw = fx.raw_links(spark, sf).withColumn("arquivo", F.concat(F.lit("f"), F.col("ano").cast("string")))
+    stage1 = flows.links_stage1(raw.filter("ano <= 2016"), OWNER, AS_OF)
+    versions.commit(stage1, f"{root}/staging", ("ano", "arquivo", "uf"), flows.SAME_FILE)        # staged, and no more
+    flows.load_links(raw.filter("ano > 2016"), OWNER, f"{root}/staging", f"{root}/table", AS_OF)
+    return comparable(versions.read(spark, f"{root}/table"))
+
+
+def q_qry01_headcount_mart(spark, sf):
+    """QRY-01 from its mart: after a state's reload only its slice is aggregated again."""
+    root = scratch_path(spark, "mart01")
+    typed = links_typed(spark, sf)
+    versions.commit(typed, f"{root}/table", ("ano", "uf"))
+    marts.refresh(spark, "headcount", f"{root}/table", f"{root}/mart")
+    again = typed.filter("ano = 2018 and uf = 'SP' and sexo_trabalhador = 1")
+    versions.commit(again, f"{root}/table", ("ano", "uf"), versions.same("ano", "uf"))
+    if marts.refresh(spark, "headcount", f"{root}/table", f"{root}/mart") != [{"ano": "2018", "uf": "SP"}]:
+        raise AssertionError("more than the reloaded slice was read")
+    return marts.result(spark, "headcount", f"{root}/mart")
+
+
+def q_qry04_breakdown_mart(spark, sf):
+    """QRY-04 from its mart, loaded in two goes."""
+    root = scratch_path(spark, "mart04")
+    for keep in ("ano <= 2013", "ano > 2013"):
+        _load_estab(spark, sf, f"{root}/table", keep)
+        marts.refresh(spark, "estab_breakdown", f"{root}/table", f"{root}/mart")
+    return marts.result(spark, "estab_breakdown", f"{root}/mart")
+
+
+def q_snk05_place_lookup(spark, sf):
+    """SNK-05's index on a place: the links of the smallest municipality code of one state, from the table ordered and filtered by it."""
+    root = scratch_path(spark, "lookup")
+    flows.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging", f"{root}/table", AS_OF)
+    place = versions.read(spark, f"{root}/table").filter("uf = 'SP'").agg(F.min("municipio")).first()[0]
+    return comparable(flows.links_of_place(spark, f"{root}/table", place, "SP"))
+
+
 def q_estab_two_files(spark, sf):
     """SET-02 on establishments: two files of every year, the first one loaded twice."""
     path = scratch_path(spark, "estab_two")
