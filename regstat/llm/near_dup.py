@@ -1,7 +1,7 @@
 """MinHash near-dedup with bottom-k sketches from one hash function.
 
-A document's set holds the 64-bit hashes of its different 2-word shingles
-(ASCII letters lower-cased; a one-word text is one shingle).  The sketch is
+A document's set holds the 64-bit hashes of its different shingles of ``width`` words
+(five unless the caller says otherwise; ASCII letters lower-cased; a text of fewer words is one shingle).  The sketch is
 the ``K`` smallest hashes.
 
 1. Every row has a key of its own (the id, unless some are null or repeated); equal
@@ -21,7 +21,9 @@ the ``K`` smallest hashes.
    links most copies; then, inside families of several components, the
    remaining pairs between different components, in blocks of ``BLOCK`` sets (set
    intersections by blocked products; of the links found a task returns a spanning forest); then pairs
-   that share a list but no family.
+   of different families whose lists meet.  Those are found by an exact prefix filter: a pair at 0.8 shares
+   one of the rarest fifth (plus one) of each full set's values, under any common order.  So texts that share a template,
+   but no more, meet in no list, however many they are.
 5. Connected components of the exact links by large-star/small-star rounds.
 
 Defined cases: texts without words have an empty set, link with nothing and
@@ -56,6 +58,8 @@ ORDERS = 3                 # random orders of all sets; each list takes its pivo
 BLOCK = 128
 COLUMNS = 1 << 13          # set values multiplied at once
 MEMO_WORDS = 200_000
+WIDTH = 5                  # words of a shingle
+ORDER_BITS = 18            # values are ordered by the count of their first bits: a table of fixed size
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,7 +71,7 @@ class _WordHash(dict):
         return h
 
 
-def shingles(text: bytes, words_hash: dict, width: int = 2) -> np.ndarray:
+def shingles(text: bytes, words_hash: dict, width: int = WIDTH) -> np.ndarray:
     """Sorted hashes of the different shingles of ``width`` words."""
     words = text.lower().split()
     h = np.fromiter(map(words_hash.__getitem__, words), np.uint64, len(words))
@@ -114,12 +118,12 @@ def union_estimate(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.append(twice, False)[at].sum()) / max(len(at), 1)
 
 
-def sketched(rows: DataFrame) -> DataFrame:
+def sketched(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     """key, doc_id, n_shingles, set_key, sketch of every row (key, doc_id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _WordHash()
         for batch in sub_batches(batches):
-            sets = [shingles(t, memo) for t in texts(batch)]
+            sets = [shingles(t, memo, width) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
@@ -128,12 +132,12 @@ def sketched(rows: DataFrame) -> DataFrame:
     return small_batches(rows.select("key", "doc_id", "text")).mapInArrow(run, "key long, doc_id long, n_shingles long, set_key binary, sketch binary")
 
 
-def full_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
+def full_sets(rows: DataFrame, keys: DataFrame, width: int = WIDTH) -> DataFrame:
     """rep and its whole set, from the whole texts of the rows named in ``keys`` (rep)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _WordHash()
         for batch in sub_batches(batches, 256):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t, memo).tobytes() for t in texts(batch)], pa.binary())], names=["rep", "members"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t, memo, width).tobytes() for t in texts(batch)], pa.binary())], names=["rep", "members"])
 
     wanted = rows.select(F.col("key").alias("rep"), "text").join(keys, "rep")
     return wanted.select("rep", "text").mapInArrow(run, "rep long, members binary")
@@ -289,14 +293,14 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(roots)
 
 
-def links(rows: DataFrame, reps: DataFrame) -> DataFrame:
+def links(rows: DataFrame, reps: DataFrame, width: int = WIDTH) -> DataFrame:
     """Exact links (a, b) between sets, enough to join every component: all pairs that share a list are linked, tested or already joined."""
     members = staged(inverted_lists(reps), "lists")
     star = (members.filter("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct())
     loose = staged(estimated(star, reps), "loose-pairs")
     family = staged(components(loose.select("a", "b"), "families"), "family")
     keys = family.select(F.col("node").alias("rep"))
-    sets = staged(full_sets(rows, keys), "sets")
+    sets = staged(full_sets(rows, keys, width), "sets")
 
     ends = loose.select(F.col("a").alias("rep"), "a", "b", "estimate").unionByName(loose.select(F.col("b").alias("rep"), "a", "b", "estimate"))
     best = ends.groupBy("rep").agg(F.max(F.struct("estimate", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
@@ -307,25 +311,69 @@ def links(rows: DataFrame, reps: DataFrame) -> DataFrame:
     placed = named.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("family", F.coalesce("comp", "rep").alias("comp"), "rep")
     second = staged(block_links(placed, sets), "second-links")
 
-    # pairs that meet in a list but belong to no common family; pairs with the pivot are tested already
-    apart = members.filter("rep <> pivot").join(named, "rep", "left").select("key", "rep", "n", F.coalesce("family", "rep").alias("family"))
-    other = apart.select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("family").alias("family2"))
+    # sets in lists of several families; pairs with the pivot are tested already
+    apart = members.filter("rep <> pivot").join(named, "rep", "left").select("key", "rep", F.coalesce("family", "rep").alias("family"))
     split = apart.groupBy("key").agg(F.min("family").alias("x"), F.max("family").alias("y")).filter("x <> y").select("key")
-    across = (apart.join(split, "key").join(other, "key").filter((F.col("rep") < F.col("rep2")) & (F.col("family") != F.col("family2")) & _size_fits("n", "n2"))
-              .select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct())
-    third_pairs = staged(estimated(across, reps), "across-pairs")
-    more = third_pairs.select(F.col("a").alias("rep")).unionByName(third_pairs.select(F.col("b").alias("rep"))).distinct().join(keys, "rep", "left_anti")
-    third = verified(third_pairs, sets.unionByName(full_sets(rows, more)))
+    outer = staged(apart.join(split, "key").select("rep", "family").distinct(), "apart")
+    more = outer.select("rep").join(keys, "rep", "left_anti")
+    whole = staged(outer.join(sets.unionByName(full_sets(rows, more, width)), "rep"), "apart-sets")
+    third_pairs = staged(estimated(across(whole), reps), "across-pairs")
+    third = verified(third_pairs, whole.select("rep", "members"))
     return first.unionByName(second).unionByName(third)
 
 
-def marked(rows: DataFrame) -> DataFrame:
+def _order(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
+
+
+def across(whole: DataFrame) -> DataFrame:
+    """a, b: pairs of different families that share one of the rarest values of each set; no pair at the threshold is left out.
+
+    ``whole`` has (rep, family, members).  A set of n values at 0.8 with another shares 0.8 n of
+    them at least, so one of its first n - 0.8 n + 1 under an order common to all sets is also among
+    the other's first ones.  The order puts rare values first.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << ORDER_BITS, np.int64)
+        for batch in sub_batches(batches, 256):
+            seen += np.bincount(_order(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)), minlength=1 << ORDER_BITS)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["place", "n"])
+
+    counts = np.zeros(1 << ORDER_BITS, np.int64)
+    for place, n in whole.select("members").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n")).collect():    # 2 ** ORDER_BITS rows at most
+        counts[place] = n
+    ranks = whole.sparkSession.sparkContext.broadcast(counts)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sub_batches(batches, 256):
+            keys, sizes, each = [], [], []
+            for members in batch.column(2).to_pylist():
+                v = np.frombuffer(members, np.uint64)
+                length = len(v) - -(-PERCENT * len(v) // 100) + 1
+                keys.append(v[np.lexsort((v, ranks.value[_order(v)]))[:length]])
+                sizes.append(len(v))
+                each.append(length)
+            repeat = np.repeat(np.arange(len(each)), each)
+            if len(repeat):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), batch.column(0).take(pa.array(repeat)), batch.column(1).take(pa.array(repeat)),
+                                                  pa.array(np.array(sizes)[repeat])], names=["value", "rep", "family", "n"])
+
+    rare = whole.select("rep", "family", "members").mapInArrow(first, "value long, rep long, family long, n long")
+    spread = rare.groupBy("value").agg(F.min("family").alias("x"), F.max("family").alias("y")).filter("x <> y").select("value")
+    rare = staged(rare.join(spread, "value"), "rare-values")
+    other = rare.select("value", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("family").alias("family2"))
+    return (rare.join(other, "value").filter((F.col("rep") < F.col("rep2")) & (F.col("family") != F.col("family2")) & _size_fits("n", "n2"))
+            .select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct())
+
+
+def marked(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     """key, doc_id, n_shingles, component_id, kept of every row (key, doc_id, text)."""
-    found = staged(sketched(rows), "sketches")
+    found = staged(sketched(rows, width), "sketches")
     reps = staged(found.filter("doc_id is not null and n_shingles > 0").groupBy("set_key")
                   .agg(F.min(F.struct("key", "doc_id")).alias("x"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
                   .select("set_key", F.col("x.key").alias("rep"), F.col("x.doc_id").alias("id"), "n", "sketch"), "sets-of-copies")
-    comps = components(links(rows, reps), "components").join(reps.select(F.col("rep").alias("comp"), F.col("id").alias("name")), "comp")
+    comps = components(links(rows, reps, width), "components").join(reps.select(F.col("rep").alias("comp"), F.col("id").alias("name")), "comp")
     named = (reps.select("set_key", "rep", "id").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
              .select("set_key", F.coalesce("comp", "rep").alias("comp"), F.coalesce("name", "id").alias("name")))
     out = found.select("key", "doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
@@ -334,13 +382,13 @@ def marked(rows: DataFrame) -> DataFrame:
                       (alone | (F.col("comp") == F.col("key"))).alias("kept"))
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
-    return marked(keyed(docs)).drop("key")
+    return marked(keyed(docs), width).drop("key")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The documents, all columns, that stand for their component; rows with a null id stay."""
     rows = keyed(docs, F.struct(*docs.columns).alias("row"))
-    gone = staged(marked(rows).filter(~F.col("kept")).select("key"), "copies")
+    gone = staged(marked(rows, width).filter(~F.col("kept")).select("key"), "copies")
     return rows.join(gone, "key", "left_anti").select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

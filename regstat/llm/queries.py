@@ -35,7 +35,7 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.dedup(table(spark, sf_dir, "documents"))
+    return near_dup.dedup(table(spark, sf_dir, "documents"), width=2)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,12 +11,12 @@ from regstat.llm.common import table
 from . import odd
 
 
-def brute(texts):
+def brute(texts, width=2):
     """component of each id by exact Jaccard of all pairs."""
     sets = {}
     for i, t in texts.items():
         w = (t or "").encode().lower().split()
-        sets[i] = {tuple(w[k:k + 2]) for k in range(max(len(w) - 1, 1))} if w else set()
+        sets[i] = {tuple(w[k:k + width]) for k in range(max(len(w) - width + 1, 1))} if w else set()
     comp = {i: i for i in sets}
 
     def root(x):
@@ -34,17 +34,51 @@ def brute(texts):
     return {i: (root(i), len(sets[i])) for i in ids}
 
 
-def check(spark, texts):
-    out = near_dup.dedup(odd.plain(spark, texts)).collect()
+def check(spark, texts, width=2):
+    out = near_dup.dedup(odd.plain(spark, texts), width).collect()
     assert len(out) == len(texts)
-    want = brute(dict(enumerate(texts)))
+    want = brute(dict(enumerate(texts)), width)
     assert {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in out} == want
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
 
 
-def test_matches_all_pairs_on_documents(spark):
+@pytest.mark.parametrize("width", [2, 5])
+def test_matches_all_pairs_on_documents(spark, width):
     rows = table(spark, "/root/testdata/sf0.001", "documents").toPandas().sort_values("doc_id")
-    check(spark, rows["text"].tolist())
+    check(spark, rows["text"].tolist(), width)
+
+
+def templated(n, seed=3):
+    """Texts of 200 words, 120 of them one template, the others random: no pair is near."""
+    rng = random.Random(seed)
+    template = [f"t{i}" for i in range(120)]
+    return [" ".join(template + [f"r{rng.randrange(10**9)}" for _ in range(80)]) for _ in range(n)]
+
+
+def test_templated_texts_make_no_pairs(spark, monkeypatch):
+    """Candidates of texts that share a template grow with the texts, not with their square."""
+    made, across = [], near_dup.across
+    monkeypatch.setattr(near_dup, "across", lambda whole: made.append(across(whole).cache()) or made[-1])
+    for n in (150, 300):
+        out = near_dup.dedup(odd.plain(spark, templated(n)), 2)
+        assert out.filter("kept").count() == n
+    assert [m.count() <= n for m, n in zip(made, (150, 300), strict=True)] == [True, True]
+
+
+def test_prefix_filter_loses_no_pair(spark):
+    """Without families every link has to come across: near copies inside a crowd of one template."""
+    rng = random.Random(12)
+    texts = templated(60)
+    for t in texts[:12]:
+        words = t.split()
+        for k in rng.sample(range(200), 9):
+            words[k] = f"n{rng.randrange(10**9)}"
+        texts.append(" ".join(words))
+    check(spark, texts, 2)
+    sets = {i: near_dup.shingles(t.encode(), near_dup._WordHash(), 2) for i, t in enumerate(texts)}
+    whole = spark.createDataFrame([(i, i, bytearray(v.tobytes())) for i, v in sets.items()], "rep long, family long, members binary")
+    near = {(a, b) for a in sets for b in sets if a < b and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
+    assert len(near) >= 12 and near <= {tuple(r) for r in near_dup.across(whole).collect()}
 
 
 def test_family_of_near_copies(spark, monkeypatch):
@@ -101,7 +135,7 @@ def test_components_of_a_chain(spark):
 @pytest.mark.parametrize("some", [None, []])
 def test_odd_cases(spark, some):
     docs = odd.docs(spark, some)
-    out = near_dup.dedup(docs).collect()
+    out = near_dup.dedup(docs, 2).collect()
     assert len(out) == docs.count()
     by = {}
     for r in out:
@@ -111,7 +145,7 @@ def test_odd_cases(spark, some):
         assert by[4][0]["n_shingles"] == 0 and by[4][0]["kept"] and by[5][0]["kept"] and by[7][0]["kept"]
         assert by[6][0]["n_shingles"] == 1
         assert {r["component_id"] for r in by[3]} == {1}
-    left = near_dup.one_of_each(docs)
+    left = near_dup.one_of_each(docs, 2)
     assert left.columns == docs.columns
     assert left.count() == sum(r["kept"] for r in out) or some is None
 
@@ -144,8 +178,8 @@ def test_rows_with_repeated_ids(spark, case):
     docs = odd.docs(spark) if case == "odd" else spark.createDataFrame(repeated_ids(), "doc_id long, text string")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     names, want = survivors(rows)
-    left = near_dup.one_of_each(docs)
+    left = near_dup.one_of_each(docs, 2)
     assert left.columns == docs.columns
     assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == want
-    marks = [(r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.dedup(docs).collect() if r["doc_id"] is not None]
+    marks = [(r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.dedup(docs, 2).collect() if r["doc_id"] is not None]
     assert sorted(marks) == sorted((i, name, kept) for i, _, name, kept in names)

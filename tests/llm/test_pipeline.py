@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 def test_registered():
     assert [n for n, _ in c.STAGES] == ["quality_rules", "near_duplicates", "repeated_strings", "decontamination", "encoding"]
     names = [q for q in entry.queries() if q.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(queries.QUERIES) <= set(entry.queries())
 
 
@@ -32,7 +32,7 @@ def test_stages(spark):
         if name == "quality_rules":
             assert all(len(r["text"].split()) >= 20 for r in after.values()) and len(after) > 0.7 * len(before)
         if name == "near_duplicates":
-            assert set(after) == {i for i, (comp, _) in near_copies({i: r["text"] for i, r in before.items()}).items() if comp == i}
+            assert set(after) == {i for i, (comp, _) in near_copies({i: r["text"] for i, r in before.items()}, 5).items() if comp == i}
         if name == "repeated_strings":
             want = {r[0]: r[1] - r[2] for r in repeated(sorted((i, r["text"]) for i, r in before.items()))}
             assert set(after) == set(before) and all(0 <= want[i] - len(r["text"].encode()) <= 6 and r["n_chars"] == len(r["text"]) for i, r in after.items())
