@@ -18,7 +18,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from . import dims
-from .plans import analyses, flows
+from .plans import analyses, flows, marts
 from .session import SETTINGS
 from .sources import readers, sinks, versions
 
@@ -71,7 +71,10 @@ REPORTS = {
 
 
 def cmd_report(spark, a) -> None:
-    REPORTS[a.name](versions.read(spark, a.table)).write.mode("overwrite").parquet(a.out)
+    if a.mart:
+        marts.refresh(spark, a.name, a.table, a.mart)
+    result = marts.result(spark, a.name, a.mart) if a.mart else REPORTS[a.name](versions.read(spark, a.table))
+    result.write.mode("overwrite").parquet(a.out)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -132,6 +135,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("name", choices=sorted(REPORTS))
     r.add_argument("--table", required=True)
     r.add_argument("--out", required=True)
+    r.add_argument("--mart", help=f"folder that keeps the report's partial aggregates ({', '.join(marts.MARTS)}): only changed slices are read")
     r.set_defaults(fn=cmd_report)
     return p
 

@@ -83,6 +83,15 @@ def test_transactions_load_once_and_metrics_stay(spark, tmpdir_fresh):
     assert versions.read(spark, p).count() == 3
 
 
+def test_empty_loads_end(spark, tmpdir_fresh):
+    p = f"{tmpdir_fresh}/t"
+    v = table(spark, [], p, metrics={"n": F.count(F.lit(1))})
+    assert v.notes["metrics"].get("n", 0) in (0, None) and versions.read(spark, p).count() == 0 and versions.read(spark, p).columns == ["ano", "uf", "v"]
+    raw = fx.raw_links(spark, SF).filter("ano = 2018")
+    rejected = flows.load_links(raw, "t", f"{tmpdir_fresh}/stg", f"{tmpdir_fresh}/tb", "2024-01-31", years=(2010, 2012))
+    assert versions.read(spark, f"{tmpdir_fresh}/tb").count() == 0 and rejected.count() == raw.count()
+
+
 def test_types_widen_and_columns_are_added(spark, tmpdir_fresh):
     p = f"{tmpdir_fresh}/t"
     versions.commit(spark.range(3).select(F.col("id").cast("smallint").alias("k")), p)
