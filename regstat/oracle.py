@@ -9,7 +9,6 @@ DataFrame operators it checks.
 from __future__ import annotations
 
 from . import dims, schemas
-from .functions import columns as C
 from .operators.vintage import INT_COLUMNS, MONTHS, PAY_COLUMNS
 from .plans import flows as P
 from .plans.analyses import BREAKDOWN
@@ -17,6 +16,16 @@ from .plans.queries import AS_OF, ESTAB_RAW_COLUMNS, OWNER, PROFILED, STAGING_VI
 from .sources import fixtures as fx
 
 D = fx.DUCK
+# Fixed values, written here a second time: a wrong entry in the engine's own lists must show.
+STATES = [("11", "RO"), ("12", "AC"), ("13", "AM"), ("14", "RR"), ("15", "PA"), ("16", "AP"), ("17", "TO"),
+          ("21", "MA"), ("22", "PI"), ("23", "CE"), ("24", "RN"), ("25", "PB"), ("26", "PE"), ("27", "AL"), ("28", "SE"), ("29", "BA"),
+          ("31", "MG"), ("32", "ES"), ("33", "RJ"), ("35", "SP"), ("41", "PR"), ("42", "SC"), ("43", "RS"),
+          ("50", "MS"), ("51", "MT"), ("52", "GO"), ("53", "DF")]
+NOT_ENTERPRISE = ["84", "94", "99"]
+NATURES = ["2046", "2054", "2062", "2135", "2232", "2240", "2259", "2267", "2283", "2291",
+           "2305", "2313", "2321", "2330", "2348", "4014", "4022", "4081", "4111", "4120"]
+UNKNOWN_ESTAB = ["0000-1", "000-1", "00-1", "0-1", "{ñ", "{ñ class}", "{ñ c", "{ñ clas", "{ñ cl"]
+UNKNOWN_LINKS = [*UNKNOWN_ESTAB[:-1], "{ñ cl}"]
 WS = r"[\t\n\x0B\f\r \x{00A0}]"
 
 
@@ -32,12 +41,12 @@ def in_list(values) -> str:
     return "(" + ", ".join(q(v) for v in values) + ")"
 
 
-def decode(x: str, spellings=C.SENTINELS) -> str:
+def decode(x: str, spellings=UNKNOWN_ESTAB) -> str:
     return f"CASE WHEN {x} IN {in_list(spellings)} THEN '-1' ELSE {x} END"
 
 
 def uf_case(code: str) -> str:
-    whens = " ".join(f"WHEN {q(c)} THEN {q(s)}" for c, s in dims.UF_CODES)
+    whens = " ".join(f"WHEN {q(c)} THEN {q(s)}" for c, s in STATES)
     return f"coalesce(CASE {code} {whens} END, 'NI')"
 
 
@@ -91,8 +100,8 @@ def estab_treated() -> str:
           f"ELSE cnae_2_subclasse END AS cnae_2_subclasse) FROM ({t1}) t1")
     div = "lpad(CAST(TRY_CAST(cnae_2_subclasse AS INTEGER) AS VARCHAR), 2, '0')"
     t3 = (f"SELECT * REPLACE (CAST(TRY_CAST(tam_estab AS INTEGER) AS VARCHAR) AS tam_estab), "
-          f"CASE WHEN NOT ({div} IN {in_list(dims.NON_ENTERPRISE_DIVISIONS)}) "
-          f"AND nat_jur IN {in_list(dims.ENTERPRISE_NATURES)} THEN 1 ELSE 0 END AS padrao_sebrae FROM ({t2}) t2")
+          f"CASE WHEN NOT ({div} IN {in_list(NOT_ENTERPRISE)}) "
+          f"AND nat_jur IN {in_list(NATURES)} THEN 1 ELSE 0 END AS padrao_sebrae FROM ({t2}) t2")
     t4 = (f"SELECT t3.*, coalesce(a_ibge, '-1') AS setor_ibge, coalesce(a_sebrae, '-1') AS setor_sebrae "
           f"FROM ({t3}) t3 LEFT JOIN {activity_values()} ON t3.cnae_2_subclasse = a_code")
     t5 = (f"SELECT t4.*, coalesce(s_porte, '-1') AS porte_sebrae FROM ({t4}) t4 "
@@ -183,7 +192,7 @@ def links_typed(uf: str | None = None) -> str:
     src_of = {v: k for k, v in rename.items()}
     for f in schemas.SCHEMA_LINKS.fields:
         src = src_of.get(f.name, f.name)
-        e = decode(src, C.SENTINELS_LINKS) if src in text else src
+        e = decode(src, UNKNOWN_LINKS) if src in text else src
         if f.name == "uf":
             e = "coalesce(uf, 'NI')"
         if f.name == "tempo_emprego":
@@ -285,8 +294,8 @@ def _estab_decoded() -> str:
 
 
 def _flag(div: str) -> str:
-    return (f"CASE WHEN NOT ({div} IN {in_list(dims.NON_ENTERPRISE_DIVISIONS)}) "
-            f"AND nat_jur IN {in_list(dims.ENTERPRISE_NATURES)} THEN 1 ELSE 0 END")
+    return (f"CASE WHEN NOT ({div} IN {in_list(NOT_ENTERPRISE)}) "
+            f"AND nat_jur IN {in_list(NATURES)} THEN 1 ELSE 0 END")
 
 
 def build() -> dict[str, str]:
@@ -331,7 +340,7 @@ def build() -> dict[str, str]:
         FROM ({lk}) l GROUP BY ALL"""
     o["snk05_validate"] = f"""
         SELECT ano, uf, count(*) AS n_linhas,
-               coalesce(uf IN {in_list(dims.UF_VALID)}, true) AND coalesce(ano BETWEEN 2010 AND 2019, false) AS aceito
+               coalesce(uf IN {in_list([s for _, s in STATES] + ['NI'])}, true) AND coalesce(ano BETWEEN 2010 AND 2019, false) AS aceito
         FROM ({lk}) l GROUP BY ALL"""
     narrow = []
     for i, c in enumerate(schemas.ESTAB_OUTPUT_ORDER):
@@ -406,7 +415,7 @@ def build() -> dict[str, str]:
                              f"FROM ({_estab_decoded()}) d LEFT JOIN {activity_values()} ON cnae_2_subclasse = a_code "
                              f"GROUP BY ALL")
     o["lkp03_porte"] = f"SELECT setor_ibge, tam_estab, porte_sebrae, count(*) AS n_linhas FROM ({e}) e GROUP BY ALL"
-    uf_vals = dims.values_sql([(int(c), s) for c, s in dims.UF_CODES] + [(99, "NI")], ["u_code", "uf"])
+    uf_vals = dims.values_sql([(int(c), s) for c, s in STATES] + [(99, "NI")], ["u_code", "uf"])
     sectors = f"(SELECT DISTINCT a_ibge, a_sebrae FROM {activity_values()}) s"
     o["lkp04_star_join"] = (f"SELECT ano, uf, a_sebrae AS setor_sebrae_dim, count(*) AS n_linhas, "
                             f"CAST(sum(qtd_vinc_ativos) AS BIGINT) AS estoque FROM ({e}) e "
@@ -519,7 +528,7 @@ def later_rounds(o: dict[str, str], lk: str, gdp: str) -> None:
     parts = ["SELECT 'linhas' AS medida, '' AS coluna, count(*) AS valor FROM t", "SELECT 'total', 'qtd_vinc_ativos', sum(qtd_vinc_ativos) FROM t"]
     parts += [f"SELECT 'nulos', '{f.name}', count(*) FILTER (WHERE {f.name} IS NULL) FROM t" for f in schemas.SCHEMA_ESTAB_TABLE.fields]
     parts += [f"SELECT 'menos_um', '{c}', count(*) FILTER (WHERE {c} = -1) FROM t" for c in ints]
-    for code, letters in dims.UF_CODES:
+    for code, letters in STATES:
         parts += [f"SELECT 'linhas_uf', '{letters}', count(*) FILTER (WHERE sigla_uf = {int(code)}) FROM t",
                   f"SELECT 'total_uf', '{letters}', coalesce(sum(qtd_vinc_ativos) FILTER (WHERE sigla_uf = {int(code)}), 0) FROM t"]
     o["agg05_load_report"] = f"WITH t AS MATERIALIZED (SELECT * FROM ({t}) e WHERE ano BETWEEN 2010 AND 2027) SELECT medida, coluna, CAST(valor AS BIGINT) AS valor FROM ({' UNION ALL '.join(parts)}) u"

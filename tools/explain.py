@@ -1,5 +1,5 @@
-"""Write PLANS.md: the physical operator tree of the headline queries (``explain("formatted")``
-header section), so plan shapes can be reviewed without running Spark.
+"""Write PLANS.md: the physical operator tree of the headline flows (``explain("formatted")``
+header section), over the same stored extracts as the bench, and the size of the methods that each stage compiles to.
 
 usage: python tools/explain.py [SF_DIR]
 """
@@ -9,11 +9,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from bench import HEADLINE  # noqa: E402
-from regstat.plans.queries import QUERIES  # noqa: E402
-from regstat.session import local_session  # noqa: E402
-
-EXTRA = ["lkp04_orphans", "estab_load", "links_load", "src08_year_slices"]
+from bench import flows_over  # noqa: E402
+from regstat.session import SETTINGS, local_session  # noqa: E402
 
 
 def tree(df) -> str:
@@ -23,19 +20,24 @@ def tree(df) -> str:
     return re.sub(r"file:[^\s,\]]+", "…", head)
 
 
+def method_sizes(df) -> list[int]:
+    """Bytes of the largest generated method of each whole-stage subtree."""
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+
+
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8)
+    limit = int(SETTINGS["spark.sql.codegen.hugeMethodLimit"])
     out = ["# Physical plans", "",
-           f"`python tools/explain.py {sf}`: operator trees of the headline queries (AQE on, so "
-           "shuffles show as `Exchange` before runtime re-planning). The `Exchange` right above a "
-           "test-table scan is the round-robin split of a single small Parquet file over the cores "
-           "(`fixtures.read_table`); a large input has its own splits and no such exchange.", ""]
-    for name in HEADLINE + EXTRA:
-        if name in ("estab_load", "links_load"):
-            continue        # they run their writes while being built; their plans are in tests/test_plans.py
-        df = QUERIES[name](spark, sf)
-        out += [f"## {name}", "", "```", tree(df), "```", ""]
+           f"`python tools/explain.py {sf}`: operator trees of the bench's flows over stored extracts (AQE on, so shuffles show as "
+           "`Exchange` before runtime re-planning), and the bytes of the largest generated method of each whole-stage subtree. "
+           f"A stage with a method over {limit} runs by operators, whose projections are generated in small methods.", ""]
+    for name, flow in flows_over(spark, sf).items():
+        df = flow()
+        sizes = method_sizes(df)
+        out += [f"## {name}", "", "```", tree(df), "```", "", f"Largest generated methods: {', '.join(map(str, sizes)) or 'none'}.", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(out))
 
