@@ -11,8 +11,8 @@ n_words > 30``, and the list becomes one ordered Spark ``CASE`` expression; what
 rule covers is kept.
 
 Defined cases: a null or empty text has no words and fails the base rule;
-without labels of both classes the list is empty; repeated rows each get a
-row; an empty table gives an empty result; other columns are ignored.
+without labels of both classes the list is empty; of a labelled id's several
+texts the one with the smallest counts is learned; repeated rows each get a row; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ at most ``MAX_LABELLED`` documents and ``MAX_PAIRS`` pairs drawn from their
 two classes; scoring runs over every whole text in its scan.
 
 Defined cases: null and empty texts are scored on zero counts; without labels
-of both classes every score is 0.5; repeated rows each get a row; a null id is
+of both classes every score is 0.5; of a labelled id's several texts the one
+with the smallest counts is learned; repeated rows each get a row; a null id is
 scored and never held out; an empty table gives an empty result.
 """
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regstat.llm.common import held_out, small_batches
-from regstat.llm.text_stats import COUNTS, count_batches, labelled_sample, text_stats, with_labels
+from regstat.llm.text_stats import COUNTS, count_batches, counted, labelled_sample, with_labels
 
 MAX_LABELLED = 20_000     # labelled documents of the fit
 MAX_PAIRS = 200_000       # preference pairs of the fit
@@ -98,10 +99,9 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 
 def text_stats_with_labels(docs: DataFrame, labels: DataFrame, column: str, limit: int) -> np.ndarray:
     """Counts and label of the bounded labelled sample, in the order of the ids, on the driver."""
-    sample = labelled_sample(labels, column, limit)
-    marked = with_labels(docs, sample)
-    found = text_stats(marked).join(F.broadcast(sample), "doc_id").select("doc_id", *COUNTS, "label").toPandas()
-    return found.sort_values(list(found.columns)).drop_duplicates("doc_id").drop(columns="doc_id").to_numpy(np.int64)
+    marked = counted(with_labels(docs, labelled_sample(labels, column, limit)))
+    one = marked.groupBy("doc_id").agg(F.min(F.struct(*COUNTS, "label")).alias("x"))      # a repeated id sends one row
+    return one.select("doc_id", "x.*").toPandas().sort_values("doc_id").drop(columns="doc_id").to_numpy(np.int64)
 
 
 def rank(docs: DataFrame, model: Ranker | None) -> DataFrame:
