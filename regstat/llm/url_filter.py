@@ -1,7 +1,8 @@
 """URL filter: ratio of two smoothed variable-order Markov models of characters (built-in functions only).
 
 Host and path rules decide the urls they fit (the longest rule wins).  The
-urls that rules allow and block train one character model each; all counts
+urls that rules allow and block train one character model each, from scheme
+to fragment with the host in lower case; all counts
 are tables that Spark groups and joins, nothing of them goes to the driver.
 A character's probability is Witten-Bell smoothed: the counts after its
 longest context, backed off to ever shorter ones and at last to a uniform
@@ -10,13 +11,15 @@ alphabet.  A url's score is the mean over its characters of
 urls that the counts leave out: the score that best parts the two classes.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path,
-fits no rule and is scored as the empty string; repeated rows each get the
+fits no rule and is scored as it stands (null as the empty string); repeated rows each get the
 verdict of their url; without urls of both classes the score is 0 and the
 verdict of unruled urls is ``allow``; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,10 +52,19 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return name, verdict
 
 
+def sequence(url: Column) -> Column:
+    """What the models read: the whole url, scheme, query and fragment included, its host in lower case; null is empty."""
+    host, _ = host_path(url)
+    at = F.instr(url, "://")
+    rest = F.substring(url, at + 3 + F.length(host), F.length(url))
+    return F.coalesce(F.when(at > 0, F.concat(F.substring(url, F.lit(1), at + 2), host, rest)).otherwise(url), F.lit(""))
+
+
 def _grams(seq: Column) -> Column:
-    """Each character with its ORDER predecessors, the end mark included."""
-    padded = F.concat(F.lit(START * ORDER), seq, F.lit(END))
-    return F.transform(F.sequence(F.lit(1), F.length(seq) + 1), lambda i: F.substring(padded, i, F.lit(ORDER + 1)))
+    """Each character with its ORDER predecessors, the end mark included; takes time in proportion to the length."""
+    chars = F.split(F.concat(F.lit(START * ORDER), seq, F.lit(END)), "")
+    shifted = [F.slice(chars, F.lit(k + 1), F.length(seq) + 1) for k in range(ORDER + 1)]
+    return reduce(lambda a, b: F.zip_with(a, b, lambda x, y: F.concat(x, y)), shifted)
 
 
 def gram_scores(grams: DataFrame) -> DataFrame:
@@ -88,9 +100,9 @@ def gram_scores(grams: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict and the model's score of every page."""
     host, path = host_path(F.col("url").cast("string"))
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
+    rows = pages.select("page_id", host.alias("host"), path.alias("path"), sequence(F.col("url").cast("string")).alias("seq"))
     name, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
-    rows = rows.select("*", name.alias("rule"), verdict.alias("ruled"), F.concat("host", "path").alias("seq")).withColumn("key", F.md5(F.col("seq").cast("binary")))
+    rows = rows.select("*", name.alias("rule"), verdict.alias("ruled")).withColumn("key", F.md5(F.col("seq").cast("binary")))
 
     # one row per different url; its class, and whether its counts are left out for the calibration
     urls = staged(rows.groupBy("key").agg(F.first("seq").alias("seq"), F.first("ruled").alias("ruled"), F.count(F.lit(1)).alias("n"))
@@ -98,7 +110,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     fit = ~F.col("left_out")
     weight = lambda v: F.when((F.col("ruled") == v) & fit, F.col("n")).otherwise(0)
     chars = urls.select("key", weight("allow").alias("a"), weight("block").alias("b"), F.explode(_grams(F.col("seq"))).alias("gram"))
-    ratios = gram_scores(chars.groupBy("gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    ratios = gram_scores(staged(chars.groupBy("gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "url-grams"))      # counted once for all orders
     # a frequent gram is in almost every url: spread it over salted copies of its one model row
     salted = ratios.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     scores = (chars.select("key", "gram", F.pmod(F.crc32(F.col("key").cast("binary")), F.lit(SALTS)).cast("int").alias("salt"))

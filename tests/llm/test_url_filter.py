@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -20,6 +21,14 @@ def parts(url):
     return host.translate(upper), re.match(r"[^?#]*", rest[len(host):])[0]
 
 
+def sequence(url):
+    host, _ = parts(url)
+    if url is None or "://" not in url:
+        return url or ""
+    scheme, rest = url.split("://", 1)
+    return f"{scheme}://{host}{rest[len(host):]}"
+
+
 def rule_of(host, path):
     fits = [(h + p, v) for h, p, v in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
     return max(fits, key=lambda r: len(r[0]), default=(None, None))
@@ -70,14 +79,13 @@ def test_scores_match_brute_force(spark):
     rows = {}
     from regstat.llm.common import held_out
     for r in pages.select("page_id", "url").collect():
-        host, path = parts(r["url"])
-        rows.setdefault(host + path, [rule_of(host, path)[1], 0])[1] += 1
+        rows.setdefault(sequence(r["url"]), [rule_of(*parts(r["url"]))[1], 0])[1] += 1
     keys = spark.createDataFrame([(s,) for s in rows], "seq string").select("seq", held_out(F.md5(F.col("seq").cast("binary"))).alias("left"))
     left = {r["seq"]: r["left"] for r in keys.collect()}
     fit = [(s, n if v == "allow" and not left[s] else 0, n if v == "block" and not left[s] else 0) for s, (v, n) in rows.items()]
     ratios = brute_ratios(fit)
-    for r in out.values():
-        seq = r["host"] + r["path"]
+    for r in pages.join(url_filter.judge(pages).select("page_id", "score"), "page_id").collect():
+        seq = sequence(r["url"])
         padded = url_filter.START * url_filter.ORDER + seq + url_filter.END
         grams = [padded[i:i + url_filter.ORDER + 1] for i in range(len(seq) + 1)]
         assert r["score"] == pytest.approx(sum(ratios[g] for g in grams) / len(grams), abs=1e-8)
@@ -87,8 +95,26 @@ def test_scores_match_brute_force(spark):
     assert allowed and blocked and min(allowed) > max(blocked)
 
 
+def test_sequences_and_grams(spark):
+    urls = [*URLS, "http://A.b/日本😀?Q=É#x"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, url string").select("i", url_filter.sequence(F.col("url")).alias("seq"))
+    for r in df.select("i", "seq", url_filter._grams(F.col("seq")).alias("g")).collect():
+        seq = sequence(urls[r["i"]])
+        padded = url_filter.START * url_filter.ORDER + seq + url_filter.END
+        assert r["seq"] == seq and r["g"] == [padded[k:k + url_filter.ORDER + 1] for k in range(len(seq) + 1)]
+
+
+def test_very_long_url(spark):
+    """A few urls of 400,000 characters: cut in proportion to their length (by position each took minutes)."""
+    pages = spark.createDataFrame([(i, f"http://x.org/fr/{i}?" + "yz" * 200_000) for i in range(3)] + [(9, "http://z.net/")], "page_id long, url string")
+    t0 = time.monotonic()
+    assert {r["page_id"]: r["verdict"] for r in url_filter.judge(pages).collect()} == {0: "allow", 1: "allow", 2: "allow", 9: "block"}
+    assert time.monotonic() - t0 < 60
+
+
 def test_no_python_in_the_plan(spark):
-    plan = url_filter.judge(table(spark, "/root/testdata/sf0.001", "pages"))._jdf.queryExecution().toString()
+    pages = table(spark, "/root/testdata/sf0.001", "pages")
+    plan = url_filter.judge(pages)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "MapInArrow" not in plan
 
 
