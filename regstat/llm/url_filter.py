@@ -111,8 +111,8 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     weight = lambda v: F.when((F.col("ruled") == v) & fit, F.col("n")).otherwise(0)
     chars = urls.select("key", weight("allow").alias("a"), weight("block").alias("b"), F.explode(_grams(F.col("seq"))).alias("gram"))
     ratios = gram_scores(staged(chars.groupBy("gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "url-grams"))      # counted once for all orders
-    # a frequent gram is in almost every url: spread it over salted copies of its one model row
-    salted = ratios.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # a frequent gram is in almost every url: spread it over salted copies of its one model row (merged: their size is estimated without the copies)
+    salted = ratios.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
     scores = (chars.select("key", "gram", F.pmod(F.crc32(F.col("key").cast("binary")), F.lit(SALTS)).cast("int").alias("salt"))
               .join(salted, ["gram", "salt"]).groupBy("key").agg(F.avg("ratio").alias("score")))
     scored = staged(urls.select("key", "ruled", "left_out", "n").join(scores, "key").withColumn("score", F.round("score", 9)), "url-scores")
