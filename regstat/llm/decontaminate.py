@@ -8,8 +8,8 @@ the others are one piece.
    frequencies are counted over all documents.
 2. Latent space: randomised SVD of the TF-IDF rows of passages (``WIDTH`` words
    every ``STRIDE``).  Tasks add up ``A' A Omega`` and then the small Rayleigh-Ritz matrix
-   of their passages; the basis is fitted on the passages of at most
-   ``FIT_DOCS`` documents, picked by a hash of the id, and on the items' pieces.
+   of their passages; the basis is fitted on the passages of all documents and on the
+   items' pieces.  The rows are sparse: they are written once, and both passes read them.
 3. Search: every passage of every document is projected, and each item that has a
    piece with a cosine of at least ``COSINE`` is a candidate; there is no limit on candidates.
 4. Check: the longest common subsequence of words of the item and the
@@ -42,7 +42,6 @@ from regstat.llm.common import small_batches, staged, sub_batches, texts
 
 WIDTH, STRIDE = 64, 32
 RANK, EXTRA = 192, 16
-FIT_DOCS = 4_000
 MAX_SHARE, RAREST = 0.02, 8
 COSINE = 0.3
 LCS, LCS_ANSWER, ANSWER = 0.75, 0.5, 0.6
@@ -50,7 +49,8 @@ RARE = 0.6                     # share of the item's vocabulary words in common
 AROUND = 12                    # words looked at beyond the item's words found
 BLOCK_BYTES = 4 << 20
 SLAB = 256                     # rows of the summed matrices that travel together
-ENTRIES = 1 << 15              # entries of sparse rows multiplied at once
+ENTRIES = 1 << 10              # entries of sparse rows multiplied at once
+PASSAGES = 4_096               # passages multiplied at once
 HITS = "doc_id long, item_id long, cosine double, lcs_share double, answer_share double, position long"
 
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 48 or 57 < c < 65 or 90 < c < 97 or 122 < c < 128 else c for c in range(256))
@@ -101,14 +101,14 @@ class Rows(NamedTuple):
     def times(self, m: np.ndarray) -> np.ndarray:
         return _gathered(self.row, self.col, self.value, m, self.shape[0])
 
-    def transposed_times(self, m: np.ndarray) -> np.ndarray:
+    def transposed_times(self, m: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
         order = np.argsort(self.col, kind="stable")
-        return _gathered(self.col[order], self.row[order], self.value[order], m, self.shape[1])
+        return _gathered(self.col[order], self.row[order], self.value[order], m, self.shape[1], out)
 
 
-def _gathered(to: np.ndarray, of: np.ndarray, value: np.ndarray, m: np.ndarray, n: int) -> np.ndarray:
-    """Row ``to[k]`` of the result is the sum of ``value[k] * m[of[k]]``; ``to`` is sorted."""
-    out = np.zeros((n, m.shape[1]))
+def _gathered(to: np.ndarray, of: np.ndarray, value: np.ndarray, m: np.ndarray, n: int, out: np.ndarray | None = None) -> np.ndarray:
+    """Row ``to[k]`` of the result is the sum of ``value[k] * m[of[k]]``, added to ``out`` if given; ``to`` is sorted."""
+    out = np.zeros((n, m.shape[1])) if out is None else out
     for lo in range(0, len(to), ENTRIES):
         part = slice(lo, lo + ENTRIES)
         rows, first = np.unique(to[part], return_index=True)
@@ -166,16 +166,15 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[np.ndarra
 def passages(words: list[bytes], index: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place, term) of the vocabulary words of a text, and the starts of its passages that hold any."""
     if len(words) < 256 or not index.keys().isdisjoint(words):
-        get = index.get
-        term = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
-        place = np.flatnonzero(term >= 0)
+        held = [i for i, w in enumerate(words) if w in index]
+        place, term = np.array(held, np.int64), np.array([index[words[i]] for i in held], np.int32)
     else:
         term, place = np.zeros(0, np.int32), np.zeros(0, np.int64)
     if not len(place):
-        return place, term[:0], place
+        return place, term, place
     slots = np.unique(np.concatenate([place // STRIDE, place // STRIDE - 1]))
     last = max(0, -(-(len(words) - WIDTH) // STRIDE))        # the last passage that adds words
-    return place, term[place], np.unique(np.clip(slots, 0, last)) * STRIDE
+    return place, term, np.unique(np.clip(slots, 0, last)) * STRIDE
 
 
 def _sums(place: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -184,44 +183,69 @@ def _sums(place: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> np.ndarray
     return total[np.searchsorted(place, starts + WIDTH)] - total[np.searchsorted(place, starts)]
 
 
-def _summed(docs: DataFrame, index: dict[bytes, int], weighted: np.ndarray, ritz: bool) -> np.ndarray:
-    """``A' (A M)`` (or ``(A M)' (A M)``, for ``ritz``) over the unit TF-IDF rows A of the passages; M is ``weighted`` without its idf."""
+def passage_terms(docs: DataFrame, index: dict[bytes, int]) -> DataFrame:
+    """The vocabulary words of every passage that holds any, in all documents: how many each passage has, then the words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sub_batches(batches):
+            sizes, terms = [], []
+            for text in texts(batch):
+                place, term, starts = passages(words_of(text), index)
+                for at in range(0, len(starts), PASSAGES):
+                    some = starts[at:at + PASSAGES]
+                    a, b = np.searchsorted(place, some), np.searchsorted(place, some + WIDTH)
+                    sizes.append((b - a).astype(np.int32).tobytes())
+                    terms.append(np.concatenate([term[x:y] for x, y in zip(a, b, strict=True)]).astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.binary()), pa.array(terms, pa.binary())], names=["sizes", "terms"])
+
+    return small_batches(docs.select("text")).mapInArrow(run, "sizes binary, terms binary")
+
+
+def _passage_rows(sizes: list[bytes], terms: list[bytes], idf: np.ndarray) -> Iterator[Rows]:
+    """The unit TF-IDF rows of stored passages, about ``PASSAGES`` at a time."""
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    for i, pair in enumerate(zip(sizes, terms, strict=True)):
+        waiting.append((np.frombuffer(pair[0], np.int32), np.frombuffer(pair[1], np.int32)))
+        if i + 1 < len(sizes) and sum(len(n) for n, _ in waiting) < PASSAGES:
+            continue
+        n = np.concatenate([n for n, _ in waiting])
+        key, times = np.unique(np.repeat(np.arange(len(n)), n) * len(idf) + np.concatenate([t for _, t in waiting]), return_counts=True)
+        waiting = []
+        row, col = key // len(idf), key % len(idf)
+        value = times * idf[col]
+        norm = np.sqrt(np.bincount(row, value * value, len(n)))
+        yield Rows(row, col, value / np.maximum(norm, 1e-9)[row], (len(n), len(idf)))
+
+
+def _summed(stored: DataFrame, weighted: np.ndarray, ritz: bool) -> np.ndarray:
+    """``A' (A M)`` (or ``(A M)' (A M)``, for ``ritz``) over the unit TF-IDF rows A of stored passages; M is ``weighted`` without its idf."""
     idf, m = weighted[:, 0], weighted[:, 1:]
     size = m.shape[1] if ritz else len(idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((size, m.shape[1]))
         for batch in sub_batches(batches):
-            for text in texts(batch):
-                place, term, starts = passages(words_of(text), index)
-                if not len(starts):
-                    continue
-                a, b = np.searchsorted(place, starts), np.searchsorted(place, starts + WIDTH)
-                row = np.repeat(np.arange(len(starts)), b - a)
-                col = np.concatenate([term[x:y] for x, y in zip(a, b, strict=True)])
-                dense = np.zeros((len(starts), len(idf)), np.float32) if len(starts) * len(idf) < 1 << 22 else None
-                for lo in range(0, len(starts), 512) if dense is None else (0,):
-                    part = (row >= lo) & (row < lo + 512) if dense is None else slice(None)
-                    d = np.zeros((min(512, len(starts) - lo), len(idf)), np.float32) if dense is None else dense
-                    np.add.at(d, (row[part] - (lo if dense is None else 0), col[part]), idf[col[part]])
-                    d /= np.maximum(np.linalg.norm(d, axis=1, keepdims=True), 1e-9)
-                    y = d @ m
-                    out += y.T @ y if ritz else d.T @ y
+            for rows in _passage_rows(batch.column(0).to_pylist(), batch.column(1).to_pylist(), idf):
+                y = rows.times(m)
+                if ritz:
+                    out += y.T @ y
+                else:
+                    rows.transposed_times(y, out)
         for lo in range(0, size, SLAB):
             yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([out[lo:lo + SLAB].tobytes()], pa.binary())], names=["slab", "part"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"slab": [pdf["slab"].iat[0]], "part": [sum(np.frombuffer(p) for p in pdf["part"]).tobytes()]})
 
-    parts = docs.select("text").mapInArrow(run, "slab long, part binary").groupBy("slab").applyInPandas(add, "slab long, part binary").collect()
+    few = stored.coalesce(max(1, stored.sparkSession.sparkContext.defaultParallelism))      # what travels is one sum a core
+    parts = few.mapInArrow(run, "slab long, part binary").groupBy("slab").applyInPandas(add, "slab long, part binary").collect()
     out = np.zeros((size, m.shape[1]))
     for slab, part in parts:
         out[slab:slab + SLAB] = np.frombuffer(part).reshape(-1, m.shape[1])
     return out
 
 
-def fit(docs: DataFrame, items: list[Item], n_fit: int = FIT_DOCS) -> Space | None:
-    """The latent space of one block of items."""
+def fit(docs: DataFrame, items: list[Item], n_fit: int | None = None) -> Space | None:
+    """The latent space of one block of items, fitted on all documents (on about ``n_fit`` of them only if a caller asks)."""
     terms = sorted({w for item in items for w in item.words})
     if not terms:
         return None
@@ -239,12 +263,12 @@ def fit(docs: DataFrame, items: list[Item], n_fit: int = FIT_DOCS) -> Space | No
     own = tfidf(pieces, index, idf)
 
     rank = min(RANK + EXTRA, len(vocabulary))
-    part = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(max(n, 1))) < n_fit        # about n_fit documents, all of them if there are fewer
-    sample = staged(docs.filter(part), "fit-passages")
+    some = docs if n_fit is None else docs.filter(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(n)) < n_fit)
+    stored = staged(passage_terms(some, index), "fit-passages")
     basis = np.random.default_rng(6).standard_normal((len(vocabulary), rank))
-    spread = _summed(sample, index, np.column_stack([idf, basis]), ritz=False) + len(pieces) * own.transposed_times(own.times(basis))
+    spread = _summed(stored, np.column_stack([idf, basis]), ritz=False) + len(pieces) * own.transposed_times(own.times(basis))
     q, _ = np.linalg.qr(spread)
-    small = _summed(sample, index, np.column_stack([idf, q]), ritz=True) + len(pieces) * own.times(q).T @ own.times(q)
+    small = _summed(stored, np.column_stack([idf, q]), ritz=True) + len(pieces) * own.times(q).T @ own.times(q)
     values, inner = np.linalg.eigh(small)
     v = q @ inner[:, np.argsort(-values)[:RANK]]
     latent = own.times(v)

@@ -203,3 +203,27 @@ def test_recall_of_a_space_fitted_on_few_documents(spark, monkeypatch):
     few = rows()
     print("decontamination: rows found by a fit on all documents", len(whole), "on about 20", len(few), "both", len(whole & few))
     assert whole and len(whole & few) >= 0.98 * len(whole)
+
+
+def test_the_space_is_fitted_on_the_passages_of_all_documents(spark, monkeypatch):
+    """The leading directions are those of all documents' passages and the items, by a full decomposition on the side."""
+    monkeypatch.setattr(d, "RANK", 4)
+    monkeypatch.setattr(d, "EXTRA", 100)      # every direction is drawn, so the fit is exact
+    rng = random.Random(21)
+    names = [f"t{i}" for i in range(40)]
+    items = d.items_of([(i, " ".join(rng.sample(names, 10)).encode()) for i in range(6)])
+    docs = [" ".join(rng.choice(names[:3 + i % 38]) for _ in range(rng.randint(1, 12))) for i in range(4_600)] + ["", "other words", " ".join(names * 4)]
+    space = d.fit(odd.plain(spark, docs), items)
+    held = sorted(space.index, key=space.index.get)
+    of = np.array([sum(w in text.split() for text in docs) for w in (t.decode() for t in held)])
+    idf = np.log((len(docs) + 1) / (of + 0.5)).clip(min=0.05)
+
+    def gram(pieces):
+        rows = np.array([[piece.count(w) for w in held] for piece in pieces]) * idf
+        rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+        return rows.T @ rows
+
+    passages = [words[s:s + d.WIDTH] for words in (t.encode().split() for t in docs) for s in range(0, max(1, len(words) - d.WIDTH + d.STRIDE), d.STRIDE)]
+    want = np.linalg.eigh(gram(passages) + len(items) * gram([item.words for item in items]))[1][:, -4:]
+    got = space.vectors / idf[:, None]
+    assert np.linalg.svd(want.T @ got)[1] == pytest.approx(np.ones(4), abs=1e-4)
