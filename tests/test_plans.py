@@ -113,3 +113,19 @@ def test_rebalanced_write_plan(spark, tmpdir_fresh):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
     sinks.write_partitioned(df, f"{tmpdir_fresh}/r", partition_by=("ano",), mode="overwrite")
     assert spark.read.parquet(f"{tmpdir_fresh}/r").count() == 100
+
+
+def test_links_projections_compile_in_a_plain_session(spark):
+    """Spark's default leaves a wide projection to the JVM's interpreter; the flow brings its own limit and keeps a lower one."""
+    name, was = "spark.sql.codegen.hugeMethodLimit", spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    raw = spark.createDataFrame([], fx.raw_links(spark, "/root/testdata/sf0.001").schema)
+    steps = [lambda: fx.raw_links(spark, "/root/testdata/sf0.001"), lambda: flows.links_stage1(raw, "t", "2024-01-31"),
+             lambda: flows.standardize_links(raw, "t", "2024-01-31")]
+    try:
+        for step in steps:
+            for given, want in (("65535", 8000), ("4000", 4000)):
+                spark.conf.set(name, given)
+                step()
+                assert int(spark.conf.get(name)) == want
+    finally:
+        spark.conf.set(name, was)
