@@ -29,6 +29,7 @@ and text; empty tables give an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -99,7 +100,16 @@ class Rows(NamedTuple):
     shape: tuple[int, int]
 
     def times(self, m: np.ndarray) -> np.ndarray:
-        return _gathered(self.row, self.col, self.value, m, self.shape[0])
+        """The first entries of all rows at once, then the second ones, and so on; rows with more entries come first."""
+        n = np.bincount(self.row, minlength=self.shape[0])
+        order, first = np.argsort(-n, kind="stable"), np.cumsum(n) - n
+        sums = np.zeros((self.shape[0], m.shape[1]))
+        for k in range(n.max(initial=0)):
+            at = first[order[:np.count_nonzero(n > k)]] + k
+            sums[:len(at)] += self.value[at, None] * m[self.col[at]]
+        out = np.empty_like(sums)
+        out[order] = sums
+        return out
 
     def transposed_times(self, m: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
         order = np.argsort(self.col, kind="stable")
@@ -151,9 +161,10 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[np.ndarra
         sums, rows = np.zeros(len(terms), np.int64), 0
         for batch in sub_batches(batches):
             rows += batch.num_rows
+            held: list[int] = []
             for text in texts(batch):
-                for i in {index[w] for w in index.keys() & set(words_of(text))}:
-                    sums[i] += 1
+                held += map(index.get, index.keys() & set(words_of(text)))
+            sums += np.bincount(np.array(held, np.int64), minlength=len(terms))
         yield pa.RecordBatch.from_arrays([pa.array(np.append(np.flatnonzero(sums), -1)), pa.array(np.append(sums[sums > 0], rows))], names=["term", "n"])
 
     found = small_batches(docs.select("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
@@ -166,15 +177,17 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[np.ndarra
 def passages(words: list[bytes], index: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place, term) of the vocabulary words of a text, and the starts of its passages that hold any."""
     if len(words) < 256 or not index.keys().isdisjoint(words):
-        held = [i for i, w in enumerate(words) if w in index]
-        place, term = np.array(held, np.int64), np.array([index[words[i]] for i in held], np.int32)
+        found = [*map(index.get, words)]
+        held = [i for i, t in enumerate(found) if t is not None]
+        place, term = np.array(held, np.int64), np.array([found[i] for i in held], np.int32)
     else:
         term, place = np.zeros(0, np.int32), np.zeros(0, np.int64)
     if not len(place):
         return place, term, place
-    slots = np.unique(np.concatenate([place // STRIDE, place // STRIDE - 1]))
     last = max(0, -(-(len(words) - WIDTH) // STRIDE))        # the last passage that adds words
-    return place, term, np.unique(np.clip(slots, 0, last)) * STRIDE
+    slots = {i // STRIDE for i in held}
+    slots = {min(max(slot, 0), last) for slot in slots | {slot - 1 for slot in slots}}
+    return place, term, np.array(sorted(slots), np.int64) * STRIDE
 
 
 def _sums(place: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -289,16 +302,18 @@ def _narrowed(rare: list[bytes], words: list[bytes]) -> tuple[int, int]:
     return b - end(rare[::-1], words[:b][::-1]), b - 1
 
 
-def _check(words: list[bytes], place: np.ndarray, term: np.ndarray, start: int, item: Item, own: set[int], index: dict[bytes, int]) -> tuple[float, float, int] | None:
+def _check(words: list[bytes], place: list[int], term: list[int], start: int, item: Item, own: set[int], rare: list[bytes], index: dict[bytes, int]) -> tuple[float, float, int] | None:
     """(share of the item, share of the answer, place) of the common subsequence around a passage; None if too few rare words are in it.
 
-    For an item of several pieces, ``start`` stands for all starts below ``start + len(item.words)``.
+    For an item of several pieces, ``start`` stands for all starts below ``start + len(item.words)``.  ``own`` and ``rare``
+    are the item's vocabulary words, as terms and in order.
     """
     n, long = len(item.words), len(item.words) > WIDTH
-    a, b = np.searchsorted(place, [start - n - STRIDE, start + n + WIDTH + n + STRIDE] if long else [start - STRIDE, start + WIDTH + STRIDE])
-    mine = [p for p, t in zip(place[a:b].tolist(), term[a:b].tolist(), strict=True) if t in own]
-    rare = [w for w in item.words if w in index]
-    if lcs_length(rare, [words[p] for p in mine]) < RARE * len(rare):
+    lo, hi = (start - n - STRIDE, start + n + WIDTH + n + STRIDE) if long else (start - STRIDE, start + WIDTH + STRIDE)
+    a = bisect_left(place, lo)
+    b = bisect_left(place, hi, a)
+    mine = [p for p, t in zip(place[a:b], term[a:b], strict=True) if t in own]
+    if len(mine) < RARE * len(rare) or lcs_length(rare, [words[p] for p in mine]) < RARE * len(rare):      # no subsequence is longer than the text
         return None
     around = AROUND
     if long:      # where the rare words are; the rest of the item may stand on either side
@@ -318,6 +333,7 @@ class Matcher:
     def __init__(self, space: Space, items: list[Item]):
         self.space, self.items = space, items
         self.terms = [{space.index[w] for w in item.words if w in space.index} for item in items]
+        self.rare = [[w for w in item.words if w in space.index] for item in items]
         self.owner = np.repeat(np.arange(len(items)), [len(pieces_of(item.words)) for item in items]).tolist()
 
     def found(self, text: bytes) -> dict[int, tuple[float, float, float, int]]:
@@ -325,19 +341,21 @@ class Matcher:
         index, vectors, latent = self.space
         words = words_of(text)
         place, term, starts = passages(words, index)
+        at_word, of_term = place.tolist(), term.tolist()
         best: dict[int, tuple[float, float, float, int]] = {}
         for at in range(0, len(starts), 4096):
             some = starts[at:at + 4096]
             projected = _sums(place, vectors[term], some)
             cosine = projected @ latent.T / np.maximum(np.linalg.norm(projected, axis=1, keepdims=True), 1e-9)
             candidates: dict[tuple[int, int], float] = {}
-            for i, piece in zip(*np.nonzero(cosine >= COSINE), strict=True):
-                j, start = self.owner[piece], int(some[i])
+            near = np.nonzero(cosine >= COSINE)
+            for start, piece, c in zip(some[near[0]].tolist(), near[1].tolist(), cosine[near].tolist(), strict=True):
+                j = self.owner[piece]
                 n = len(self.items[j].words)
                 key = j, start // n * n if n > WIDTH else start      # one check of a long item for each stretch of its length
-                candidates[key] = max(candidates.get(key, 0.0), float(cosine[i, piece]))
+                candidates[key] = max(candidates.get(key, 0.0), c)
             for (j, start), c in candidates.items():
-                checked = _check(words, place, term, start, self.items[j], self.terms[j], index)
+                checked = _check(words, at_word, of_term, start, self.items[j], self.terms[j], self.rare[j], index)
                 if checked is None:
                     continue
                 share, answer, lo = checked

@@ -227,3 +227,24 @@ def test_the_space_is_fitted_on_the_passages_of_all_documents(spark, monkeypatch
     want = np.linalg.eigh(gram(passages) + len(items) * gram([item.words for item in items]))[1][:, -4:]
     got = space.vectors / idf[:, None]
     assert np.linalg.svd(want.T @ got)[1] == pytest.approx(np.ones(4), abs=1e-4)
+
+
+def test_candidates_with_too_few_words_need_no_subsequence(monkeypatch):
+    item = d.Item(1, [b"w%d" % i for i in range(10)], [b"w7", b"w8", b"w9"])
+    space = d.Space({w: i for i, w in enumerate(item.words)}, np.eye(10, dtype=np.float32), np.full((1, 10), 10 ** -0.5, np.float32))
+    asked = []
+    monkeypatch.setattr(d, "lcs_length", lambda a, b, real=d.lcs_length: asked.append(len(b)) or real(a, b))
+    matcher = d.Matcher(space, [item])
+    assert matcher.found(b"far w3 " + b"away " * 20) == {} and not asked          # a cosine of 0.32, one word of ten
+    assert list(matcher.found(b"far " + b" ".join(item.words) + b" away")) == [0] and asked
+
+
+def test_sparse_products_are_the_dense_ones():
+    rng = np.random.default_rng(1)
+    dense = rng.random((40, 25)) * (rng.random((40, 25)) < 0.15)
+    dense[[0, 7, 39]] = 0                                                        # rows without entries
+    row, col = np.nonzero(dense)
+    rows, m, y = d.Rows(row, col, dense[row, col], dense.shape), rng.random((25, 6)), rng.random((40, 6))
+    assert np.allclose(rows.times(m), dense @ m) and np.allclose(rows.transposed_times(y), dense.T @ y)
+    empty = d.Rows(row[:0], col[:0], dense[0, :0], dense.shape)
+    assert not empty.times(m).any()
