@@ -23,7 +23,7 @@ from .. import dims
 from ..schemas import ESTAB_HEADERS, GDP_DROP, GDP_HEADERS
 from ..functions.columns import SENTINELS_LINKS, normalize_name
 from ..operators.vintage import MONTHS
-from ..session import wide
+from ..session import spread, wide
 
 
 @dataclass(frozen=True)
@@ -297,10 +297,16 @@ def links_exprs(d: Dialect) -> list[tuple[str, str]]:
     return e
 
 
+#: The lineitem columns that the links are derived from.
+LINK_SOURCES = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_extendedprice", "l_quantity"]
+
+
 def raw_links_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw link rows under target names; the narrow rows are dealt over all cores before they become wide ones."""
     base = [f"{e} AS {n}" for n, e in links_base(SPARK)]
     exprs = [f"{e} AS `{n}`" for n, e in links_exprs(SPARK)]
-    return wide(read_table(spark, sf_dir, "lineitem").selectExpr(*base).selectExpr(*exprs))
+    lines = spread(read_table(spark, sf_dir, "lineitem").select(*LINK_SOURCES))
+    return wide(lines.selectExpr(*base).selectExpr(*exprs))
 
 
 def raw_links(spark: SparkSession, sf_dir: str) -> DataFrame:

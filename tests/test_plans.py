@@ -129,3 +129,15 @@ def test_links_projections_compile_in_a_plain_session(spark):
                 assert int(spark.conf.get(name)) == want
     finally:
         spark.conf.set(name, was)
+
+
+def test_links_of_one_row_group_are_made_on_all_cores(spark, tmpdir_fresh):
+    """A Parquet file of one row group is read by one task; the wide rows on top of it are made by all of them, none lost."""
+    lines = spark.range(0, 4000, numPartitions=1).selectExpr(
+        "id div 2 AS l_orderkey", "1 AS l_linenumber", "if(id % 50 = 0, null, id) AS l_partkey", "cast(id % 30 + 1 AS double) AS l_quantity",
+        "cast(id AS double) AS l_extendedprice", "timestamp_ntz'1996-05-01 00:00:00' AS l_shipdate")
+    lines.unionByName(lines.limit(10)).coalesce(1).write.parquet(f"{tmpdir_fresh}/lineitem.parquet")     # some rows twice
+    raw = fx.raw_links(spark, tmpdir_fresh)
+    assert raw.count() == 4010 and raw.filter("`Mun Trab` is null").count() == 81
+    tasks = raw.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= spark.sparkContext.defaultParallelism
