@@ -191,7 +191,7 @@ def q_src05_load_dimensions(spark, sf):
 def _staged_links(spark, sf) -> str:
     path = scratch_path(spark, "staging")
     stage1 = flows.links_stage1(fx.raw_links(spark, sf), OWNER, AS_OF)
-    sinks.append_staging(stage1, path, partition_by=("ano", "uf"), salt_buckets=4)
+    sinks.append_staging(stage1, path, partition_by=("ano", "uf"), salt_buckets=4, options=flows.plain_values(flows.AMOUNTS))
     return path
 
 
@@ -654,7 +654,7 @@ def q_set02_load_made_up(spark, sf):
     root = scratch_path(spark, "made_up")
     raw = fx.raw_links(spark, sf).withColumn("arquivo", F.concat(F.lit("f"), F.col("ano").cast("string")))
     stage1 = flows.links_stage1(raw.filter("ano <= 2016"), OWNER, AS_OF)
-    versions.commit(stage1, f"{root}/staging", ("ano", "arquivo", "uf"), flows.SAME_FILE)        # staged, and no more
+    versions.commit(stage1, f"{root}/staging", ("ano", "arquivo", "uf"), flows.SAME_FILE, options=flows.plain_values(flows.AMOUNTS))        # staged, and no more
     flows.load_links(raw.filter("ano > 2016"), OWNER, f"{root}/staging", f"{root}/table", AS_OF)
     return comparable(versions.read(spark, f"{root}/table"))
 
@@ -663,10 +663,10 @@ def q_qry01_headcount_mart(spark, sf):
     """QRY-01 from its mart: after a state's reload only its slice is aggregated again."""
     root = scratch_path(spark, "mart01")
     typed = links_typed(spark, sf)
-    versions.commit(typed, f"{root}/table", ("ano", "uf"))
+    versions.commit(typed, f"{root}/table", ("ano", "uf"), options=flows.plain_values(flows.AMOUNTS))
     marts.refresh(spark, "headcount", f"{root}/table", f"{root}/mart")
     again = typed.filter("ano = 2018 and uf = 'SP' and sexo_trabalhador = 1")
-    versions.commit(again, f"{root}/table", ("ano", "uf"), versions.same("ano", "uf"))
+    versions.commit(again, f"{root}/table", ("ano", "uf"), versions.same("ano", "uf"), options=flows.plain_values(flows.AMOUNTS))
     if marts.refresh(spark, "headcount", f"{root}/table", f"{root}/mart") != [{"ano": "2018", "uf": "SP"}]:
         raise AssertionError("more than the reloaded slice was read")
     return marts.result(spark, "headcount", f"{root}/mart")

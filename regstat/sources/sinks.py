@@ -61,11 +61,11 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("
 
 # --- SNK-01 ---------------------------------------------------------------
 def append_staging(df: DataFrame, path: str, partition_by: Sequence[str] = ("ano",),
-                   salt_buckets: int | None = None, replace_partitions: bool = False) -> None:
+                   salt_buckets: int | None = None, replace_partitions: bool = False, options: Mapping[str, str] | None = None) -> None:
     """Append treated rows to staging.  Plain append by default (a re-run appends
     again, as the reference's staging does); ``replace_partitions=True`` makes a
     re-run replace the years it loads instead."""
-    write_partitioned(df, path, partition_by, "overwrite" if replace_partitions else "append", salt_buckets)
+    write_partitioned(df, path, partition_by, "overwrite" if replace_partitions else "append", salt_buckets, options=options)
 
 
 # --- SNK-02 ---------------------------------------------------------------
