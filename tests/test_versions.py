@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from regstat import dims, schemas
 from regstat.operators import profile, shape, vintage
-from regstat.plans import analyses, flows, marts
-from regstat.plans.queries import activity_dim, mixed_vintages
+from regstat.plans import analyses, flows, marts, queries
+from regstat.plans.queries import activity_dim, mixed_vintages, write_text
 from regstat.sources import fixtures as fx
 from regstat.sources import readers, sinks, versions
 from regstat.streaming import incremental
@@ -298,3 +298,73 @@ def test_lookup_reads_few_rows(spark, tmpdir_fresh):
         for child in inner:
             yield from scans(child)
     assert sum(scans(found._jdf.queryExecution().executedPlan())) < 40_000
+
+
+# --- disk -------------------------------------------------------------------
+def shuffle_files(spark):
+    java = spark._jvm
+    kept = java.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName() for f in java.scala.jdk.javaapi.CollectionConverters.asJava(kept) if f.getName().startswith("shuffle_")}
+
+
+def loads_of(path):
+    return [f for f in os.listdir(f"{path}/_dados") if f.startswith("carga=")]
+
+
+def test_shuffle_files_go_with_their_job(spark, tmpdir_fresh):
+    before, name = shuffle_files(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    df = spark.range(2000).selectExpr("cast(id % 3 + 2015 AS int) AS ano", "id")
+    versions.commit(df, f"{tmpdir_fresh}/t", ("ano",))
+    sinks.append_staging(df, f"{tmpdir_fresh}/s", salt_buckets=3)
+    assert not shuffle_files(spark) - before and spark.conf.get(name, None) is None       # the caller's setting is back
+    assert versions.read(spark, f"{tmpdir_fresh}/t").count() == spark.read.parquet(f"{tmpdir_fresh}/s").count() == 2000
+
+
+def test_rounds_write_every_row_once(spark, tmpdir_fresh):
+    rows = [(y, uf, i) for i, y in enumerate((None, 2009, 2010, 2015, 2016, 2023, -1)) for uf in ("SP", None) for _ in range(2)]
+    df = spark.createDataFrame(rows, "ano int, uf string, v int")
+    want = sorted(rows, key=str)
+    for n in (1, 2, 8, 50):
+        made = versions.commit(df, f"{tmpdir_fresh}/t{n}", ("ano", "uf"), rounds=n)
+        sinks.append_staging(df, f"{tmpdir_fresh}/s{n}", ("ano", "uf"), salt_buckets=2, rounds=n)
+        for back in (versions.read(spark, f"{tmpdir_fresh}/t{n}"), spark.read.parquet(f"{tmpdir_fresh}/s{n}")):
+            assert sorted((tuple(r) for r in back.select("ano", "uf", "v").collect()), key=str) == want
+        assert made.number == 1 and len(made.sizes) == 1 and len(made.slices) == 14                    # one load, published once
+    sinks.append_staging(df, f"{tmpdir_fresh}/s8", ("ano", "uf"), replace_partitions=True, rounds=8)
+    assert spark.read.parquet(f"{tmpdir_fresh}/s8").count() == len(rows)
+    with pytest.raises(ValueError, match="rounds"):
+        versions.commit(df, f"{tmpdir_fresh}/m", ("ano", "uf"), rounds=2, metrics={"n": F.count(F.lit(1))})
+
+
+def test_a_kept_version_count_frees_replaced_loads(spark, tmpdir_fresh, monkeypatch):
+    raw, told, commit = fx.raw_links(spark, SF).filter("ano >= 2017"), [], versions.commit
+    monkeypatch.setattr(versions, "commit", lambda df, path, *a, **k: told.append(k.get("gathered")) or commit(df, path, *a, **k))
+    stg, tb = f"{tmpdir_fresh}/stg", f"{tmpdir_fresh}/tb"
+    for keep, loads in ((None, 1), (None, 2), (1, 1)):
+        rejected = flows.load_links(raw, "t", stg, tb, "2024-01-31", (2017, 2017), keep=keep, rounds=2 if keep else None)
+        assert len(loads_of(stg)) == len(loads_of(tb)) == loads
+    assert versions.read(spark, stg).count() == raw.count() and versions.read(spark, tb).count() == raw.filter("ano = 2017").count()
+    assert rejected.count() == raw.filter("ano > 2017").count()                    # still readable
+    assert told == [None, True] * 3                                                # staging is shuffled, the table not again
+
+
+def test_many_small_files_are_still_brought_together(spark, tmpdir_fresh):
+    at = lambda files, loads=1: versions.Version(1, T.StructType(), ("ano", "arquivo", "uf"), {f"ano=2015/arquivo=f{i}/uf=SP": ("x",) * loads for i in range(files)} | {f"ano={versions.NULL_SLICE}/arquivo=f/uf=SP": ("x",)})
+    assert flows._gathered(at(flows.FEW), [2015]) and not flows._gathered(at(flows.FEW + 1), [2015]) and not flows._gathered(at(1, flows.FEW + 1), [2015])
+    raw = fx.raw_links(spark, SF).filter("ano = 2018")
+    some = raw.withColumn("arquivo", F.concat(F.lit("f"), F.col("Idade").cast("int") % 20))
+    flows.load_links(some, "t", f"{tmpdir_fresh}/stg", f"{tmpdir_fresh}/tb", "2024-01-31")
+    assert not flows._gathered(versions.latest(spark, f"{tmpdir_fresh}/stg"), [2018])
+    assert versions.read(spark, f"{tmpdir_fresh}/tb").count() == raw.count()
+
+
+def test_text_extracts_are_packed(spark, tmpdir_fresh, monkeypatch):
+    monkeypatch.setitem(queries.PACKED, "maxRecordsPerFile", "100")
+    before = shuffle_files(spark)
+    df = spark.range(250).repartition(2, "id").selectExpr("cast(id AS string) AS `Mês`", "if(id % 9 = 0, null, ' ñ;\"á ') AS t", "cast(id % 2 + 2015 AS int) AS ano")
+    write_text(df.coalesce(1), f"{tmpdir_fresh}/x", partition_by=("ano",))
+    assert not shuffle_files(spark) - before
+    files = [f for y in (2015, 2016) for f in os.listdir(f"{tmpdir_fresh}/x/ano={y}") if f.startswith("part-")]
+    assert len(files) == 4 and all(f.endswith(".gz") for f in files)                # at most 100 records each
+    back = readers.read_raw(spark, f"{tmpdir_fresh}/x", "ISO-8859-1").select("Mês", "t", "ano")
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
