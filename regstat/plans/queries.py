@@ -57,10 +57,15 @@ def gdp_rows(spark: SparkSession, sf: str) -> DataFrame:
     return flows.conformed_gdp(fx.raw_gdp_vintages(spark, sf), OWNER, as_of=AS_OF)
 
 
-def write_text(df: DataFrame, path: str, encoding: str = "ISO-8859-1", mode: str = "append") -> None:
+#: Text extracts are packed, as the registers publish them; a packed file is read by one task, so its records are bounded.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "500000"}
+
+
+def write_text(df: DataFrame, path: str, encoding: str = "ISO-8859-1", mode: str = "append", partition_by: Iterable[str] = ()) -> None:
     """An extract file set as the registers publish them."""
-    (df.write.option("sep", ";").option("header", "true").option("encoding", encoding)
-     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").mode(mode).csv(path))
+    with settings(df.sparkSession, FREED):
+        (df.write.option("sep", ";").option("header", "true").option("encoding", encoding).options(**PACKED)
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").mode(mode).partitionBy(*partition_by).csv(path))
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -104,9 +109,7 @@ def q_src01_read_cp1252(spark, sf):
 def q_src02_read_latin1(spark, sf):
     """SRC-02 (+PRJ-03): links extract written as ISO-8859-1 text, read back, headers normalised."""
     path = scratch_path(spark, "src02")
-    (fx.raw_links(spark, sf).write.option("sep", ";").option("header", "true").option("encoding", "ISO-8859-1")
-     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-     .partitionBy("ano").mode("overwrite").csv(path))
+    write_text(fx.raw_links(spark, sf), path, partition_by=("ano",))
     df = shape.normalize_headers(readers.read_raw(spark, path, encoding="ISO-8859-1"))
     return df.select([F.col(n) for n, _ in fx.links_exprs(fx.SPARK)])
 
