@@ -648,9 +648,9 @@ def q_set02_corrected_file(spark, sf):
     """SET-02: a file loaded, then its corrected form without one state's rows of one year: none of them stay."""
     root = scratch_path(spark, "corrected")
     raw = fx.raw_links(spark, sf)
-    flows.load_links(raw, OWNER, f"{root}/staging", f"{root}/table", AS_OF, batch="a")
+    flows.load_links(raw, OWNER, f"{root}/staging", f"{root}/table", AS_OF, batch="a", keep=1, rounds=ROUNDS)
     ro = F.col("Município").startswith("11")
-    flows.load_links(raw.filter((F.col("ano") == 2018) & ~F.coalesce(ro, F.lit(False))), OWNER, f"{root}/staging", f"{root}/table", AS_OF, batch="a")
+    flows.load_links(raw.filter((F.col("ano") == 2018) & ~F.coalesce(ro, F.lit(False))), OWNER, f"{root}/staging", f"{root}/table", AS_OF, batch="a", keep=1, rounds=ROUNDS)
     return comparable(versions.read(spark, f"{root}/table"))
 
 
