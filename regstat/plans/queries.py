@@ -659,8 +659,8 @@ def q_set02_load_made_up(spark, sf):
     root = scratch_path(spark, "made_up")
     raw = fx.raw_links(spark, sf).withColumn("arquivo", F.concat(F.lit("f"), F.col("ano").cast("string")))
     stage1 = flows.links_stage1(raw.filter("ano <= 2016"), OWNER, AS_OF)
-    versions.commit(stage1, f"{root}/staging", ("ano", "arquivo", "uf"), flows.SAME_FILE, options=flows.plain_values(flows.AMOUNTS))        # staged, and no more
-    flows.load_links(raw.filter("ano > 2016"), OWNER, f"{root}/staging", f"{root}/table", AS_OF)
+    versions.commit(stage1, f"{root}/staging", ("ano", "arquivo", "uf"), flows.SAME_FILE, options=flows.plain_values(flows.AMOUNTS), rounds=ROUNDS)        # staged, and no more
+    flows.load_links(raw.filter("ano > 2016"), OWNER, f"{root}/staging", f"{root}/table", AS_OF, rounds=ROUNDS)
     return comparable(versions.read(spark, f"{root}/table"))
 
 
