@@ -689,7 +689,7 @@ def q_qry04_breakdown_mart(spark, sf):
 def q_snk05_place_lookup(spark, sf):
     """SNK-05's index on a place: the links of the smallest municipality code of one state, from the table ordered and filtered by it."""
     root = scratch_path(spark, "lookup")
-    flows.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging", f"{root}/table", AS_OF)
+    flows.load_links(fx.raw_links(spark, sf), OWNER, f"{root}/staging", f"{root}/table", AS_OF, rounds=ROUNDS)
     place = versions.read(spark, f"{root}/table").filter("uf = 'SP'").agg(F.min("municipio")).first()[0]
     return comparable(flows.links_of_place(spark, f"{root}/table", place, "SP"))
 
