@@ -668,7 +668,7 @@ def q_qry01_headcount_mart(spark, sf):
     """QRY-01 from its mart: after a state's reload only its slice is aggregated again."""
     root = scratch_path(spark, "mart01")
     typed = links_typed(spark, sf)
-    versions.commit(typed, f"{root}/table", ("ano", "uf"), options=flows.plain_values(flows.AMOUNTS))
+    versions.commit(typed, f"{root}/table", ("ano", "uf"), options=flows.plain_values(flows.AMOUNTS), rounds=ROUNDS)
     marts.refresh(spark, "headcount", f"{root}/table", f"{root}/mart")
     again = typed.filter("ano = 2018 and uf = 'SP' and sexo_trabalhador = 1")
     versions.commit(again, f"{root}/table", ("ano", "uf"), versions.same("ano", "uf"), options=flows.plain_values(flows.AMOUNTS))
