@@ -196,7 +196,7 @@ def q_src05_load_dimensions(spark, sf):
 def _staged_links(spark, sf) -> str:
     path = scratch_path(spark, "staging")
     stage1 = flows.links_stage1(fx.raw_links(spark, sf), OWNER, AS_OF)
-    sinks.append_staging(stage1, path, partition_by=("ano", "uf"), salt_buckets=4, options=flows.plain_values(flows.AMOUNTS))
+    sinks.append_staging(stage1, path, partition_by=("ano", "uf"), salt_buckets=4, options=flows.plain_values(flows.AMOUNTS), rounds=ROUNDS)
     return path
 
 
